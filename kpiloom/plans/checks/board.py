@@ -1 +1,26 @@
-"""Registered checks (filled in below)."""
+"""Priority-board checks: flat board columns (oracle) and the JSON payload (rows only)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from kpiloom.operators.board import BOARD_COLUMNS, priority_board, ranked_priorities
+from kpiloom.plans.checks.gold import Gold, gold_sql
+from kpiloom.plans.fixtures import Inputs
+from kpiloom.plans.registry import register, rounded
+
+FLAT = [c for c in BOARD_COLUMNS if c != "supporting_metrics_json"]
+
+
+@register("priority_board", gold_sql(board=True) + """
+select month, priority_id, priority_title, priority_category, round(priority_score, 9) as priority_score,
+       priority_rank, asset_name, primary_metric, summary_text, why_it_matters, suggested_next_investigation
+from BD
+""")
+def q_priority_board(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(ranked_priorities(Gold(Inputs(spark, sf)).inputs()).select(*FLAT), "priority_score")
+
+
+@register("priority_board_json")
+def q_priority_board_json(spark: SparkSession, sf: str) -> DataFrame:
+    return priority_board(Gold(Inputs(spark, sf)).inputs())

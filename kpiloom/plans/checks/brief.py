@@ -1 +1,76 @@
-"""Registered checks (filled in below)."""
+"""Monthly-brief checks: the flat items behind each JSON list, the summaries, and the JSON rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from kpiloom.operators.board import priority_board, ranked_priorities
+from kpiloom.operators.brief import (
+    benchmark_summary, brief_inputs, health_summary, top_anomaly_items, top_priority_items, top_signal_items,
+)
+from kpiloom.plans.checks.gold import Gold, gold_sql
+from kpiloom.plans.fixtures import Inputs
+from kpiloom.plans.registry import register
+
+
+@register("brief_priorities_flat", gold_sql(board=True) + """
+select month, priority_rank, priority_id, priority_title, priority_category, round(priority_score, 4) as priority_score
+from BD where priority_rank <= 3
+""")
+def q_brief_priorities_flat(spark: SparkSession, sf: str) -> DataFrame:
+    return top_priority_items(ranked_priorities(Gold(Inputs(spark, sf)).inputs()))
+
+
+@register("brief_anomalies_flat", gold_sql() + """
+select month, anomaly_rank, asset_name, metric_name, round(metric_value, 4) as metric_value,
+       round(deviation_from_rolling_avg, 4) as deviation_from_rolling_avg
+from (select *, row_number() over (partition by month order by abs(deviation_from_rolling_avg) desc, asset_name,
+                                  metric_name) as anomaly_rank
+      from H where health_status = 'review') t
+where anomaly_rank <= 3
+""")
+def q_brief_anomalies_flat(spark: SparkSession, sf: str) -> DataFrame:
+    return top_anomaly_items(Gold(Inputs(spark, sf)).health)
+
+
+@register("brief_signals_flat", gold_sql() + """
+select last_validated_month as month, signal_rank, signal_id, source_asset, source_metric, target_asset,
+       target_metric, lag_months, relationship_direction, round(strength_score, 4) as strength_score
+from (select *, row_number() over (partition by last_validated_month order by abs(strength_score) desc, signal_id)
+                as signal_rank
+      from (select *, source_asset || '__' || source_metric || '__' || target_asset || '__' || target_metric
+                      || '__' || cast(lag_months as varchar) as signal_id from SG) s) t
+where signal_rank <= 3
+""")
+def q_brief_signals_flat(spark: SparkSession, sf: str) -> DataFrame:
+    return top_signal_items(Gold(Inputs(spark, sf)).signals)
+
+
+@register("brief_summaries_flat", gold_sql() + """
+, hm as (select distinct month from H),
+bsum as (select month, count(*) as benchmarked_metric_count,
+                count(*) filter (where subject_rank >= 4) as benchmark_underperformance_count,
+                round(avg(gap_to_peer_median), 4) as avg_gap_to_peer_median,
+                round(min(gap_to_peer_median), 4) as worst_gap_to_peer_median
+         from B group by month),
+hsum as (select month, count(*) as metric_count, count(*) filter (where health_status = 'good') as good_count,
+                count(*) filter (where health_status = 'review') as review_count,
+                count(*) filter (where health_status = 'stable') as stable_count,
+                round(avg(abs(deviation_from_rolling_avg)), 4) as avg_abs_deviation
+         from H group by month)
+select hm.month, benchmarked_metric_count, benchmark_underperformance_count, avg_gap_to_peer_median,
+       worst_gap_to_peer_median, metric_count, good_count, review_count, stable_count, avg_abs_deviation
+from hm left join bsum on hm.month = bsum.month left join hsum on hm.month = hsum.month
+""")
+def q_brief_summaries_flat(spark: SparkSession, sf: str) -> DataFrame:
+    g = Gold(Inputs(spark, sf))
+    months = g.health.select("month").distinct()
+    return (months.join(benchmark_summary(g.bench), "month", "left")
+                  .join(health_summary(g.health), "month", "left"))
+
+
+@register("brief_inputs_json")
+def q_brief_inputs_json(spark: SparkSession, sf: str) -> DataFrame:
+    g = Gold(Inputs(spark, sf))
+    board = priority_board(g.inputs())
+    return brief_inputs(board, g.health, g.bench, g.signals)

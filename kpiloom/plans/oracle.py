@@ -28,7 +28,7 @@ F as (
 S as (select month, asset_name, metric_name, metric_value from F where club = 'NATION_0'),
 P as (select month, asset_name, metric_name, metric_value as peer_value, club from F where club <> 'NATION_0'),
 D as (
-  select * from (values ('order_count', 1, 0.55), ('net_sales', 1, 1.0), ('cart_value', 1, 0.75),
+  select metric_name, polarity, cast(commercial_weight as double) as commercial_weight from (values ('order_count', 1, 0.55), ('net_sales', 1, 1.0), ('cart_value', 1, 0.75),
                         ('discount_rate', -1, 0.55), ('return_rate', -1, 0.60), ('units', 0, 0.30))
          t(metric_name, polarity, commercial_weight)),
 E as (

@@ -1 +1,29 @@
-"""Registered checks (filled in below)."""
+"""Event-window check on the daily event series with large purchases as annotations."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from kpiloom.operators.events import event_windows
+from kpiloom.plans.fixtures import Inputs
+from kpiloom.plans.registry import register, rounded
+
+
+@register("event_windows", """
+, aw as (select A.event_id, A.asset_name, A.event_day, o.off as period_offset,
+                A.event_day + cast(o.off as integer) as day
+         from A join range(-3, 4) o(off) on true),
+ej as (select aw.event_id, aw.asset_name, E.metric_name, aw.event_day as event_period, aw.period_offset,
+              E.metric_value
+       from aw join E on E.asset_name = aw.asset_name and E.day = aw.day),
+eb as (select *, avg(case when period_offset < 0 then metric_value end)
+                   over (partition by event_id, asset_name, metric_name) as baseline from ej)
+select event_id, asset_name, metric_name, event_period, cast(period_offset as integer) as period_offset,
+       metric_value, round(baseline, 9) as baseline,
+       round(case when baseline <> 0 then (metric_value - baseline) / baseline end, 9) as deviation
+from eb
+""")
+def q_event_windows(spark: SparkSession, sf: str) -> DataFrame:
+    inp = Inputs(spark, sf)
+    out = event_windows(inp.daily_series(), inp.annotations(), before=3, after=3)
+    return rounded(out, "baseline", "deviation")

@@ -20,7 +20,7 @@ _WEIGHTS_TYPE = ("struct<formula_weights: struct<severity: double, persistence:
 
 def metric_dim_from_json(spark: SparkSession, path: str) -> DataFrame:
     """``{metric: {polarity, commercial_weight}}`` JSON file -> (metric_name, polarity, commercial_weight)."""
-    raw = spark.read.option("wholetext", "true").text(path)
+    raw = spark.read.text(path, wholetext=True)
     entries = raw.select(F.explode(F.from_json("value", _DICT_TYPE)).alias("metric_name", "props"))
     return entries.select(
         "metric_name",
@@ -42,6 +42,6 @@ def weights_from_json(spark: SparkSession, path: str | None) -> Weights:
     """
     if path is None:
         return Weights()
-    raw = spark.read.option("wholetext", "true").text(path)
+    raw = spark.read.text(path, wholetext=True)
     row = raw.select(F.from_json("value", _WEIGHTS_TYPE).alias("c")).select("c.formula_weights.*").first()
     return Weights(**row.asDict()).validate()

@@ -24,9 +24,12 @@ from kpiloom.config import (
     DQ_MONTH_COVERAGE_NAME, DQ_PEER_COVERAGE_DETAILS, DQ_PEER_COVERAGE_NAME, DQ_RATE_DETAILS, DQ_RATE_NAME,
     DQ_RATE_PATTERN,
 )
+from kpiloom.sources.config_json import literal_rows
 from kpiloom.sources.sinks import append_log
 
 RESULT_COLUMNS = ("run_id", "table_name", "check_name", "severity", "status", "issue_count", "issue_details")
+RESULT_SCHEMA = ("run_id string, table_name string, check_name string, severity string, status string, "
+                 "issue_count bigint, issue_details string")
 LOG_COLUMNS = RESULT_COLUMNS + ("run_timestamp",)
 REQUIRED = "REQUIRED"
 DEFAULT_CONDITIONS = (("No null months", "month IS NOT NULL"),
@@ -134,7 +137,7 @@ def quality_gate(results: DataFrame, log_path: str | None = None, log_format: st
     """
     spark = results.sparkSession
     rows = results.select(*RESULT_COLUMNS).collect()
-    local = spark.createDataFrame(rows, results.select(*RESULT_COLUMNS).schema)
+    local = literal_rows(spark, [tuple(r) for r in rows], RESULT_SCHEMA)
     if log_path is not None:
         append_log(local.withColumn("run_timestamp", F.current_timestamp()).select(*LOG_COLUMNS), log_path,
                    fmt=log_format)

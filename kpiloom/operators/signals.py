@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.config import SIGNAL_CANDIDATES, SIGNAL_TARGETS, SignalConfig
 from kpiloom.functions import pearson
+from kpiloom.sources.config_json import literal_rows
 
 SIGNAL_COLUMNS = (
     "source_asset", "source_metric", "target_asset", "target_metric", "lag_months",
@@ -71,7 +72,7 @@ def pair_table(spark: SparkSession, candidates: Sequence[tuple[str, str, str]],
             for ci, (ca, cm, tmpl) in enumerate(candidates)
             for ti, (ta, tm) in enumerate(targets)
             for lag in lags]
-    return spark.createDataFrame(rows, PAIR_SCHEMA)
+    return literal_rows(spark, rows, PAIR_SCHEMA)
 
 
 def lag_correlations(fact: DataFrame, candidates: Sequence[tuple[str, str, str]] = SIGNAL_CANDIDATES,

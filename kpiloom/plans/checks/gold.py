@@ -24,9 +24,8 @@ class Gold:
 
     def __init__(self, inp: Inputs, with_dictionary: bool = True):
         self.inp = inp
-        fact = inp.wide()
-        s = inp.subject_fact(inp.fact(fact))
-        p = inp.peer_fact(inp.fact(fact))
+        s = inp.subject_fact()
+        p = inp.peer_fact()
         self.dim = inp.metric_dim()
         self.health = kpi_health(s, self.dim)
         self.bench = peer_benchmark(s, p, self.dim)

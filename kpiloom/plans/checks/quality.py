@@ -14,9 +14,8 @@ DQ_CFG = QualityConfig(expected_clubs=24)
 
 
 def facts(inp: Inputs) -> tuple[DataFrame, DataFrame]:
-    fact = inp.fact()
-    internal = inp.subject_fact(fact)
-    bench = inp.peer_fact(fact).withColumnRenamed("peer_value", "metric_value")
+    internal = inp.subject_fact()
+    bench = inp.peer_fact().withColumnRenamed("peer_value", "metric_value")
     return internal, bench
 
 

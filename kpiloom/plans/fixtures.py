@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.operators.normalize import unpivot_to_fact
 from kpiloom.sources.config_json import metric_dim_from_dict
+from kpiloom.session import checkpoint_root
 from kpiloom.sources.tables import read_table
 
 SUBJECT = "NATION_0"
@@ -115,6 +116,7 @@ class Inputs:
         self.spark = spark
         self.data_dir = data_dir
         self.subject = subject
+        self._silver: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.data_dir, name)
@@ -131,13 +133,26 @@ class Inputs:
         """F: (month, club, asset_name, metric_name, metric_value), NULL measures dropped."""
         return unpivot_to_fact(self.wide() if wide is None else wide, W_IDS, W_MEASURES)
 
+    def silver(self) -> DataFrame:
+        """The fact, materialised once (eager checkpoint in the shared checkpoint folder).
+
+        Subject and peer rows both come from it; without the materialisation each branch would
+        re-derive the wide sheet from the order tables (the club filters differ, so the two
+        branches are not identical subtrees and no exchange is reused). The checkpoint also cuts
+        lineage: a lost executor never recomputes the order-table aggregation.
+        """
+        if self._silver is None:
+            checkpoint_root(self.spark)
+            self._silver = self.fact().checkpoint(eager=True)
+        return self._silver
+
     def subject_fact(self, fact: DataFrame | None = None) -> DataFrame:
-        f = self.fact() if fact is None else fact
+        f = self.silver() if fact is None else fact
         return f.filter(F.col("club") == self.subject).select("month", "asset_name", "metric_name",
                                                               "metric_value")
 
     def peer_fact(self, fact: DataFrame | None = None) -> DataFrame:
-        f = self.fact() if fact is None else fact
+        f = self.silver() if fact is None else fact
         return f.filter(F.col("club") != self.subject).select(
             "month", "asset_name", "metric_name", F.col("metric_value").alias("peer_value"), "club")
 

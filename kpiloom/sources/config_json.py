@@ -7,6 +7,7 @@ its size is bounded by the number of configured metrics.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,10 +30,23 @@ def metric_dim_from_json(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A tiny relation from local rows (SRC6), for parameter and configuration tables only.
+
+    Rows go through Arrow into a ``LocalTableScan`` on the JVM: unlike ``createDataFrame`` on a
+    Python list, no Python RDD is created, so the tasks that read it need no Python worker, and
+    the optimizer knows its size.
+    """
+    names = [f.strip().split(" ", 1)[0] for f in schema.split(",")]
+    pdf = pd.DataFrame.from_records(list(rows), columns=names).astype(object)
+    pdf = pdf.where(pd.notna(pdf), None)
+    return spark.createDataFrame(pdf, schema)
+
+
 def metric_dim_from_dict(spark: SparkSession, entries: dict[str, tuple[int | None, float | None]]) -> DataFrame:
     """Small in-memory dimension from ``{metric: (polarity, commercial_weight)}``."""
     rows = [(k, None if p is None else int(p), None if w is None else float(w)) for k, (p, w) in entries.items()]
-    return spark.createDataFrame(rows, DIM_SCHEMA)
+    return literal_rows(spark, rows, DIM_SCHEMA)
 
 
 def weights_from_json(spark: SparkSession, path: str | None) -> Weights:

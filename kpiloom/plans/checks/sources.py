@@ -68,3 +68,21 @@ def q_fact_sink_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     back = spark.read.parquet(target)
     return back.select("month", "club", "asset_name", "metric_name", "metric_value",
                        F.lit(n).cast("long").alias("written_rows"))
+
+
+@register("stream_ingest_lineage", """
+select month, club, asset_name, order_count, net_sales, cart_value, active_customers, discount_rate, return_rate,
+       units, 'csv' as source_format, true as has_load_time
+from W
+""")
+def q_stream_ingest_lineage(spark: SparkSession, sf: str) -> DataFrame:
+    """Land the wide sheet as one csv file per asset, ingest incrementally (availableNow), read back."""
+    from kpiloom.streaming import ingest_available
+
+    landing, target = scratch_path(spark, "landing_stream"), scratch_path(spark, "bronze_stream")
+    Inputs(spark, sf).wide().repartition("asset_name").write.option("header", "true").csv(landing)
+    ingest_available(spark, landing, WIDE_SCHEMA, target, "csv")
+    back = spark.read.parquet(target)
+    return back.select(*W_IDS, *W_MEASURES,
+                       F.regexp_extract("source_file_name", r"\.([a-z]+)$", 1).alias("source_format"),
+                       F.col("ingestion_timestamp").isNotNull().alias("has_load_time"))

@@ -24,3 +24,37 @@ def q_priority_board(spark: SparkSession, sf: str) -> DataFrame:
 @register("priority_board_json")
 def q_priority_board_json(spark: SparkSession, sf: str) -> DataFrame:
     return priority_board(Gold(Inputs(spark, sf)).inputs())
+
+
+PAYLOAD_TYPE = ("struct<score_components: struct<severity: double, persistence: double, peer_gap: double, "
+                "commercial_weight: double, supporting_evidence: double>, "
+                "severity_inputs: struct<metric_value: double, health_status: string, trend_direction: string, "
+                "deviation_from_rolling_avg: double, seasonal_z_score: double>, "
+                "persistence_inputs: struct<active_months_in_last_3: bigint, lookback_months: int>, "
+                "peer_context: struct<peer_rank: int, peer_club_count: bigint>, "
+                "linked_signal_references: array<struct<signal_role: string>>, "
+                "supporting_metric_rows: array<struct<metric_name: string>>>")
+
+
+@register("priority_board_json_roundtrip", gold_sql(board=True) + """
+select BR.priority_candidate_id as priority_id, BR.priority_rank, round(BR.severity_score, 9) as severity,
+       BR.persistence_score as persistence, BR.peer_gap_score as peer_gap,
+       BR.commercial_weight_score as commercial_weight, BR.supporting_evidence_score as supporting_evidence,
+       BR.health_status, BR.persistence_months as active_months_in_last_3, 3 as lookback_months,
+       BR.peer_rank, BR.n_support as supporting_rows,
+       (select count(*) from SG where (SG.source_asset = BR.asset_name and SG.source_metric = BR.metric_name)
+          or (SG.target_asset = BR.asset_name and SG.target_metric = BR.metric_name)) as linked_signals
+from BR
+""")
+def q_priority_board_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """The JSON payload parsed back (``from_json``) and flattened."""
+    from pyspark.sql import functions as F
+
+    board = priority_board(Gold(Inputs(spark, sf)).inputs())
+    p = F.from_json("supporting_metrics_json", PAYLOAD_TYPE)
+    out = board.select("priority_id", "priority_rank", p.alias("p")).select(
+        "priority_id", "priority_rank", "p.score_components.*", "p.severity_inputs.health_status",
+        "p.persistence_inputs.*", "p.peer_context.peer_rank",
+        F.size("p.supporting_metric_rows").alias("supporting_rows"),
+        F.size("p.linked_signal_references").cast("bigint").alias("linked_signals"))
+    return rounded(out, "severity")

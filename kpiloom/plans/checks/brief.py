@@ -74,3 +74,45 @@ def q_brief_inputs_json(spark: SparkSession, sf: str) -> DataFrame:
     g = Gold(Inputs(spark, sf))
     board = priority_board(g.inputs())
     return brief_inputs(board, g.health, g.bench, g.signals)
+
+
+BRIEF_ITEMS = ("array<struct<priority_id: string, priority_rank: int, priority_title: string, "
+               "priority_category: string, priority_score: double>>")
+ANOMALY_ITEMS = ("array<struct<anomaly_rank: int, asset_name: string, metric_name: string, metric_value: double, "
+                 "deviation_from_rolling_avg: double>>")
+HEALTH_SUMMARY = ("struct<metric_count: bigint, good_count: bigint, review_count: bigint, stable_count: bigint, "
+                  "avg_abs_deviation: double>")
+
+
+@register("brief_inputs_json_roundtrip", gold_sql(board=True) + """
+, hm as (select distinct month from H),
+tp as (select month, count(*) as n_priorities, min(priority_id) filter (where priority_rank = 1) as first_priority_id
+       from BD where priority_rank <= 3 group by month),
+ta as (select month, count(*) as n_anomalies from
+         (select month, row_number() over (partition by month order by abs(deviation_from_rolling_avg) desc,
+                                            asset_name, metric_name) as r
+          from H where health_status = 'review') x where r <= 3 group by month),
+hs as (select month, count(*) as metric_count, count(*) filter (where health_status = 'review') as review_count
+       from H group by month),
+sgc as (select last_validated_month as month, count(*) as n_signals from SG group by 1)
+select hm.month, coalesce(tp.n_priorities, 0) as n_priorities, tp.first_priority_id,
+       coalesce(ta.n_anomalies, 0) as n_anomalies, coalesce(sgc.n_signals, 0) as n_signals,
+       hs.metric_count, hs.review_count
+from hm left join tp on hm.month = tp.month left join ta on hm.month = ta.month
+        left join sgc on hm.month = sgc.month left join hs on hm.month = hs.month
+""")
+def q_brief_inputs_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """The brief's JSON payloads parsed back and summarised per month."""
+    from pyspark.sql import functions as F
+
+    g = Gold(Inputs(spark, sf))
+    brief = brief_inputs(priority_board(g.inputs()), g.health, g.bench, g.signals)
+    pri = F.from_json("top_priority_ids_json", BRIEF_ITEMS)
+    hs = F.from_json("health_summary_json", HEALTH_SUMMARY)
+    return brief.select(
+        "month", F.size(pri).cast("bigint").alias("n_priorities"),
+        F.get(F.filter(pri, lambda x: x["priority_rank"] == 1), 0)["priority_id"].alias("first_priority_id"),
+        F.size(F.from_json("top_anomalies_json", ANOMALY_ITEMS)).cast("bigint").alias("n_anomalies"),
+        F.size(F.from_json("strongest_signal_ids_json", "array<struct<signal_rank: int>>")).cast("bigint")
+        .alias("n_signals"),
+        hs["metric_count"].alias("metric_count"), hs["review_count"].alias("review_count"))

@@ -11,6 +11,8 @@ Plan: one Spark job, no driver loop.
 * the distinct-month list is tiny (one row per calendar month) and is the only data ever ordered
   without a partition key; it is numbered and broadcast;
 * the (candidate, target, lag) list is a broadcast parameter table, bounded by its own size;
+* only the configured series are aggregated (broadcast semi-join before the shuffle); the month
+  list alone is taken from the whole fact;
 * series rows meet pairs by an equi-join on (pair, position + lag = position); no range join,
   no cross join, no pivot;
 * count and correlation are partial aggregates per pair, so a long series never lands whole in
@@ -82,7 +84,11 @@ def lag_correlations(fact: DataFrame, candidates: Sequence[tuple[str, str, str]]
     spark = fact.sparkSession
     pairs = F.broadcast(pair_table(spark, candidates, targets, lags))
     pos = F.broadcast(month_positions(fact))
-    series = (fact.groupBy("month", "asset_name", "metric_name").agg(F.max("metric_value").alias("v"))
+    # Only the configured series are shuffled: a broadcast semi-join on their keys runs map-side.
+    keys = [(a, m) for a, m, _ in candidates] + list(targets)
+    wanted = F.broadcast(literal_rows(spark, sorted(set(keys)), "asset_name string, metric_name string"))
+    series = (fact.join(wanted, ["asset_name", "metric_name"], "left_semi")
+                  .groupBy("month", "asset_name", "metric_name").agg(F.max("metric_value").alias("v"))
                   .join(pos, "month"))
     src = series.join(pairs, (F.col("asset_name") == F.col("source_asset"))
                       & (F.col("metric_name") == F.col("source_metric"))).select(

@@ -33,10 +33,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     On a cluster this is always set (a distributed file system path). Only when it is unset,
     as in unit tests, do we create a local folder and register it.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="kpiloom-ckpt-")
-        spark.sparkContext.setCheckpointDir(path)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)        # DataFrame.checkpoint() needs it registered on the context
     return path.rstrip("/")
 
 

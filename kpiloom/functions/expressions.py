@@ -68,3 +68,21 @@ def step_score(x: Column, steps: Sequence[tuple[int, float]], default: float = 0
 def title_case(text: Column) -> Column:
     """Capitalise each space-separated word (``initcap``)."""
     return F.initcap(text)
+
+
+DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
+
+
+def sized_broadcast(df, limit_bytes: int | None = None):
+    """Broadcast ``df`` only if the optimizer's size estimate is at most ``limit_bytes``.
+
+    Local parameter tables and dimensions have exact estimates. Above the limit (or when the
+    estimate is unknown) the plain DataFrame is returned: the join stays a shuffle join, and AQE
+    may still broadcast it if the size it measures at run time is small.
+    """
+    limit = DEFAULT_BROADCAST_LIMIT if limit_bytes is None else limit_bytes
+    try:
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - no estimate: leave the choice to the planner
+        return df
+    return F.broadcast(df) if size <= limit else df

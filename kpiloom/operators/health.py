@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.config import STATUS_GOOD, STATUS_REVIEW, STATUS_STABLE, HealthConfig
 from kpiloom.functions import first_match, guarded_relative_deviation, safe_z, signed_by_polarity, trend
+from kpiloom.functions.expressions import sized_broadcast
 
 SERIES = ("asset_name", "metric_name")
 HEALTH_COLUMNS = (
@@ -28,11 +29,11 @@ HEALTH_COLUMNS = (
 
 
 def with_polarity(df: DataFrame, metric_dim: DataFrame | None, default: int = 1) -> DataFrame:
-    """Attach ``polarity`` from the metric dimension (broadcast; bounded by configured metrics)."""
+    """Attach ``polarity`` from the metric dimension (broadcast when its estimated size is small)."""
     if metric_dim is None:
         return df.withColumn("polarity", F.lit(default))
     dim = metric_dim.select("metric_name", F.col("polarity").cast("int").alias("polarity"))
-    return (df.join(F.broadcast(dim), "metric_name", "left")
+    return (df.join(sized_broadcast(dim), "metric_name", "left")
               .withColumn("polarity", F.coalesce("polarity", F.lit(default))))
 
 

@@ -9,8 +9,9 @@ row per month, as in a month x feature pivot), so ``lag`` steps over that list,
 
 Plan: one Spark job, no driver loop.
 * the distinct-month list is tiny (one row per calendar month) and is the only data ever ordered
-  without a partition key; it is numbered and broadcast;
-* the (candidate, target, lag) list is a broadcast parameter table, bounded by its own size;
+  without a partition key; it is numbered, and joined by broadcast when the planner (or AQE, from
+  its measured size) sees it is small;
+* the (candidate, target, lag) list is a parameter table, broadcast behind a size check;
 * only the configured series are aggregated (broadcast semi-join before the shuffle); the month
   list alone is taken from the whole fact;
 * series rows meet pairs by an equi-join on (pair, position + lag = position); no range join,
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.config import SIGNAL_CANDIDATES, SIGNAL_TARGETS, SignalConfig
 from kpiloom.functions import pearson
+from kpiloom.functions.expressions import sized_broadcast
 from kpiloom.sources.config_json import literal_rows
 
 SIGNAL_COLUMNS = (
@@ -82,11 +84,11 @@ def lag_correlations(fact: DataFrame, candidates: Sequence[tuple[str, str, str]]
                      lags: Sequence[int] = SignalConfig().lags) -> DataFrame:
     """JN10 + AGG11: per (candidate, target, lag): aligned pair count and Pearson correlation."""
     spark = fact.sparkSession
-    pairs = F.broadcast(pair_table(spark, candidates, targets, lags))
-    pos = F.broadcast(month_positions(fact))
+    pairs = sized_broadcast(pair_table(spark, candidates, targets, lags))
+    pos = sized_broadcast(month_positions(fact))
     # Only the configured series are shuffled: a broadcast semi-join on their keys runs map-side.
     keys = [(a, m) for a, m, _ in candidates] + list(targets)
-    wanted = F.broadcast(literal_rows(spark, sorted(set(keys)), "asset_name string, metric_name string"))
+    wanted = sized_broadcast(literal_rows(spark, sorted(set(keys)), "asset_name string, metric_name string"))
     series = (fact.join(wanted, ["asset_name", "metric_name"], "left_semi")
                   .groupBy("month", "asset_name", "metric_name").agg(F.max("metric_value").alias("v"))
                   .join(pos, "month"))
@@ -94,8 +96,8 @@ def lag_correlations(fact: DataFrame, candidates: Sequence[tuple[str, str, str]]
                       & (F.col("metric_name") == F.col("source_metric"))).select(
         "source_ord", "target_ord", *PAIR_COLS, "template", "last_month",
         (F.col("pos") + F.col("lag_months")).alias("at"), F.col("v").alias("x"))
-    tkeys = F.broadcast(pair_table(spark, candidates, targets, lags)
-                        .select("target_asset", "target_metric").distinct())
+    tkeys = sized_broadcast(pair_table(spark, candidates, targets, lags)
+                            .select("target_asset", "target_metric").distinct())
     tgt = series.join(tkeys, (F.col("asset_name") == F.col("target_asset"))
                       & (F.col("metric_name") == F.col("target_metric"))).select(
         "target_asset", "target_metric", F.col("pos").alias("at"), F.col("v").alias("y"))

@@ -52,7 +52,7 @@ def q_metric_dim_lookup(spark: SparkSession, sf: str) -> DataFrame:
     dim = metric_dim_from_json(spark, write_dictionary(spark, FIXTURE_DIM))
     fact = Inputs(spark, sf).subject_fact()
     counts = fact.groupBy("metric_name").agg(F.count(F.lit(1)).alias("fact_rows"))
-    out = with_polarity(counts, dim).join(F.broadcast(dim.select("metric_name", "commercial_weight")),
+    out = with_polarity(counts, dim).join(dim.select("metric_name", "commercial_weight"),
                                          "metric_name", "left")
     return out.select("metric_name", F.col("polarity").cast("int").alias("polarity"),
                       F.coalesce("commercial_weight", F.lit(0.4)).alias("commercial_weight"), "fact_rows")

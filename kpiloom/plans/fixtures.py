@@ -9,8 +9,8 @@ Scale notes (``wide_monthly``):
 * orders are then rolled up per (customer, month) *before* the customer join, so a customer that
   holds a third of all orders arrives at that join as at most one row per month: no skewed
   partition, and ``count(distinct customer)`` becomes a plain count;
-* the nation dimension is broadcast (bounded: one row per nation); everything else is a shuffle
-  join sized by AQE.
+* the nation dimension is broadcast behind a size check (one row per nation); everything else
+  is a shuffle join sized by AQE.
 Money and quantities (2 decimals) are summed as whole cents, discounts (4 decimals) as basis
 points, in ``long``: exact in any summation order, and cheaper than decimal sums (which need
 ``BigDecimal`` arithmetic once the sum precision passes 18 digits). The double of ``cents / 100``
@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kpiloom.functions.expressions import sized_broadcast
 from kpiloom.operators.normalize import unpivot_to_fact
 from kpiloom.sources.config_json import metric_dim_from_dict
 from kpiloom.session import checkpoint_root
@@ -99,7 +100,7 @@ def wide_monthly(orders: DataFrame, lineitem: DataFrame, customer: DataFrame, na
                            F.lower("c_mktsegment").alias("asset_name"))
     nat = nation.select(F.col("n_nationkey"), F.col("n_name").alias("club"))
     j = (cm.join(cust, cm.o_custkey == cust.c_custkey)
-           .join(F.broadcast(nat), F.col("c_nationkey") == F.col("n_nationkey")))
+           .join(sized_broadcast(nat), F.col("c_nationkey") == F.col("n_nationkey")))
     m = _measures()
     return j.groupBy(*W_IDS).agg(*[m[k].alias(k) for k in W_MEASURES])
 
@@ -113,7 +114,7 @@ def wide_monthly_regions(orders: DataFrame, customer: DataFrame, nation: DataFra
            .join(region.select("r_regionkey", F.col("r_name").alias("club_name")),
                  F.col("n_regionkey") == F.col("r_regionkey")))
     j = (cm.join(cust, cm.o_custkey == cust.c_custkey)
-           .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey")))
+           .join(sized_broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey")))
     m = _measures()
     return j.groupBy("month", "club_name").agg(*[m[k].alias(k) for k in EXTRA_MEASURES])
 

@@ -50,6 +50,7 @@ class MedallionConfig:
     quality: QualityConfig = field(default_factory=QualityConfig)
     fail_on_quality: bool = False
     fmt: str = "parquet"
+    partition_by_month: bool = False   # month folders on the facts and health: month filters prune files
 
 
 @dataclass
@@ -78,11 +79,12 @@ class Medallion:
         return self.spark.read.format(self.fmt).load(path)
 
     def run(self, wide: DataFrame, metric_dim: DataFrame | None, cfg: MedallionConfig) -> dict[str, DataFrame]:
+        by_month = ("month",) if cfg.partition_by_month else ()
         bronze = self.persist("bronze_wide", wide)
         fact = unpivot_to_fact(bronze, cfg.ids, cfg.measures or None)
         is_subject = F.col("club") == cfg.subject
-        internal = self.persist("silver_internal", fact.filter(is_subject).drop("club"))
-        benchmark = self.persist("silver_benchmark", fact.filter(~is_subject))
+        internal = self.persist("silver_internal", fact.filter(is_subject).drop("club"), by_month)
+        benchmark = self.persist("silver_benchmark", fact.filter(~is_subject), by_month)
 
         t0 = time.time()
         try:
@@ -94,7 +96,7 @@ class Medallion:
                 raise
         self.results.append(StageResult("quality", f"{self.root}/quality_log", -1, time.time() - t0))
 
-        health = self.persist("gold_kpi_health", kpi_health(internal, metric_dim, cfg.health))
+        health = self.persist("gold_kpi_health", kpi_health(internal, metric_dim, cfg.health), by_month)
         peers = benchmark.select("month", "asset_name", "metric_name",
                                  F.col("metric_value").alias("peer_value"), "club")
         bench = self.persist("gold_peer_benchmark", peer_benchmark(internal, peers, metric_dim, cfg=cfg.peers))

@@ -35,3 +35,13 @@ def test_blocking_quality_gate(spark):
     with pytest.raises(QualityGateError):
         Medallion(spark, scratch_path(spark, "medallion_block")).run(inp.wide(), inp.metric_dim(),
                                                                      config(fail_on_quality=True))
+
+
+def test_month_partitioned_facts_prune(spark):
+    inp = Inputs(spark, SMOKE)
+    m = Medallion(spark, scratch_path(spark, "medallion_parts"))
+    out = m.run(inp.wide(), inp.metric_dim(), config(partition_by_month=True))
+    one = out["health"].filter("month = date'1996-01-01'")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan
+    assert one.count() == out["health"].filter("month = date'1996-01-01'").count()

@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from kpiloom.config import RAW_LABEL_COLUMNS
 
@@ -52,9 +53,12 @@ def tag_asset(df: DataFrame, asset_name: str | None = None, asset_type: str | No
 
 
 def measure_columns(df: DataFrame, ids: Sequence[str], allowlist: Iterable[str] | None) -> list[str]:
-    """Non-id columns that are on the allowlist (all non-id columns if no allowlist)."""
-    allowed = None if allowlist is None else set(allowlist)
-    return [c for c in df.columns if c not in ids and (allowed is None or c in allowed)]
+    """Non-id columns on the allowlist; without an allowlist, every numeric non-id column."""
+    if allowlist is None:
+        return [f.name for f in df.schema.fields
+                if f.name not in ids and isinstance(f.dataType, NumericType)]
+    allowed = set(allowlist)
+    return [c for c in df.columns if c not in ids and c in allowed]
 
 
 def prune_measures(df: DataFrame, ids: Sequence[str], allowlist: Iterable[str] | None) -> DataFrame:

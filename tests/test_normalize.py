@@ -56,3 +56,9 @@ def test_unpivot_is_narrow(spark):
     df = spark.createDataFrame([("2024-01-01", 1.0, 2.0)], "month string, a double, b double")
     plan = unpivot_to_fact(df, ("month",), None)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_without_allowlist_only_numeric_columns_are_measures(spark):
+    df = spark.createDataFrame([("2024-01-01", "x", 3, 1.5)], "month string, label string, visits int, rate double")
+    fact = unpivot_to_fact(df, ("month",), None)
+    assert sorted(r.metric_name for r in fact.collect()) == ["rate", "visits"]

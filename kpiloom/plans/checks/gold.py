@@ -24,6 +24,7 @@ class Gold:
 
     def __init__(self, inp: Inputs, with_dictionary: bool = True):
         self.inp = inp
+        inp.shared = True
         s = inp.subject_fact()
         p = inp.peer_fact()
         self.dim = inp.metric_dim()

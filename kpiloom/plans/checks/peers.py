@@ -72,7 +72,7 @@ select month, asset_name, metric_name, peer_median, round(peer_mean, 9) as peer_
        mn as peer_min_value, club_count from al
 """)
 def q_peer_stats(spark: SparkSession, sf: str) -> DataFrame:
-    inp = Inputs(spark, sf)
+    inp = Inputs(spark, sf, shared=True)
     st = peer_stats(inp.subject_fact(), inp.peer_fact(), inp.metric_dim())
     return rounded(st.select(*KEYS, "peer_median", "peer_mean", "peer_max_value", "peer_min_value",
                              "club_count"), "peer_mean")
@@ -83,7 +83,7 @@ select month, asset_name, metric_name, subject_value, peer_leader_value, subject
        gap_to_leader from g
 """)
 def q_peer_rank_gap(spark: SparkSession, sf: str) -> DataFrame:
-    inp = Inputs(spark, sf)
+    inp = Inputs(spark, sf, shared=True)
     g = peer_rank_gap(peer_stats(inp.subject_fact(), inp.peer_fact(), inp.metric_dim()))
     return g.select(*KEYS, "subject_value", "peer_leader_value", "subject_rank", "gap_to_peer_median",
                     "gap_to_leader")
@@ -91,13 +91,13 @@ def q_peer_rank_gap(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("peer_benchmark", BENCH_CTE.format(s="S", p="P", k=5) + BENCH_SELECT)
 def q_peer_benchmark(spark: SparkSession, sf: str) -> DataFrame:
-    inp = Inputs(spark, sf)
+    inp = Inputs(spark, sf, shared=True)
     return rounded(peer_benchmark(inp.subject_fact(), inp.peer_fact(), inp.metric_dim()), "peer_mean")
 
 
 @register("peer_benchmark_extra_source", EXTRA_CTE + BENCH_CTE.format(s="S2", p="P2", k=4) + BENCH_SELECT)
 def q_peer_benchmark_extra_source(spark: SparkSession, sf: str) -> DataFrame:
-    inp = Inputs(spark, sf)
+    inp = Inputs(spark, sf, shared=True)
     bench = peer_benchmark(inp.subject_fact(), inp.peer_fact(), inp.metric_dim(), extra=inp.wide_regions(),
                            extra_subject=SUBJECT_REGION, extra_asset="extra", extra_measures=EXTRA_MEASURES,
                            cfg=PeerConfig(min_clubs=4))

@@ -14,6 +14,7 @@ DQ_CFG = QualityConfig(expected_clubs=24)
 
 
 def facts(inp: Inputs) -> tuple[DataFrame, DataFrame]:
+    inp.shared = True
     internal = inp.subject_fact()
     bench = inp.peer_fact().withColumnRenamed("peer_value", "metric_value")
     return internal, bench

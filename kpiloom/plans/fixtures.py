@@ -122,10 +122,11 @@ def wide_monthly_regions(orders: DataFrame, customer: DataFrame, nation: DataFra
 class Inputs:
     """Lazily derived inputs for one data folder (each a DataFrame; nothing is collected)."""
 
-    def __init__(self, spark: SparkSession, data_dir: str, subject: str = SUBJECT):
+    def __init__(self, spark: SparkSession, data_dir: str, subject: str = SUBJECT, shared: bool = False):
         self.spark = spark
         self.data_dir = data_dir
         self.subject = subject
+        self.shared = shared              # several branches read the fact: materialise it once
         self._silver: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
@@ -156,13 +157,17 @@ class Inputs:
             self._silver = self.fact().checkpoint(eager=True)
         return self._silver
 
+    def base_fact(self) -> DataFrame:
+        """The materialised fact when several branches share it, else the lazy derivation."""
+        return self.silver() if self.shared else self.fact()
+
     def subject_fact(self, fact: DataFrame | None = None) -> DataFrame:
-        f = self.silver() if fact is None else fact
+        f = self.base_fact() if fact is None else fact
         return f.filter(F.col("club") == self.subject).select("month", "asset_name", "metric_name",
                                                               "metric_value")
 
     def peer_fact(self, fact: DataFrame | None = None) -> DataFrame:
-        f = self.silver() if fact is None else fact
+        f = self.base_fact() if fact is None else fact
         return f.filter(F.col("club") != self.subject).select(
             "month", "asset_name", "metric_name", F.col("metric_value").alias("peer_value"), "club")
 

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiloom.config import PeerConfig
+from kpiloom.config import SOCIAL_MEASURES, PeerConfig
 from kpiloom.operators.health import with_polarity
 from kpiloom.operators.normalize import unpivot_to_fact
 
@@ -86,7 +86,7 @@ def with_changes(df: DataFrame, lag: int = 12) -> DataFrame:
 
 def peer_benchmark(subject: DataFrame, peers: DataFrame, metric_dim: DataFrame | None = None,
                    extra: DataFrame | None = None, extra_subject: str | None = None,
-                   extra_asset: str = "social_media", extra_measures: Sequence[str] = (),
+                   extra_asset: str = "social_media", extra_measures: Sequence[str] = SOCIAL_MEASURES,
                    cfg: PeerConfig = PeerConfig()) -> DataFrame:
     """PEER: subject fact + peer fact (+ optional wide extra source) -> benchmark contract.
 
@@ -98,8 +98,8 @@ def peer_benchmark(subject: DataFrame, peers: DataFrame, metric_dim: DataFrame |
     subj = subject.select(*KEYS, "metric_value")
     pe = peers.select(*KEYS, "peer_value", "club")
     if extra is not None:
-        if extra_subject is None or not extra_measures:
-            raise ValueError("extra source needs extra_subject and extra_measures")
+        if extra_subject is None:
+            raise ValueError("an extra source needs the subject's club id (extra_subject)")
         s2, p2 = split_extra_source(extra, extra_subject, extra_asset, extra_measures)
         subj = subj.unionByName(s2)
         pe = pe.unionByName(p2)

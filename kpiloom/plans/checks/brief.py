@@ -24,8 +24,8 @@ def q_brief_priorities_flat(spark: SparkSession, sf: str) -> DataFrame:
 @register("brief_anomalies_flat", gold_sql() + """
 select month, anomaly_rank, asset_name, metric_name, round(metric_value, 4) as metric_value,
        round(deviation_from_rolling_avg, 4) as deviation_from_rolling_avg
-from (select *, row_number() over (partition by month order by abs(deviation_from_rolling_avg) desc, asset_name,
-                                  metric_name) as anomaly_rank
+from (select *, cast(row_number() over (partition by month order by abs(deviation_from_rolling_avg) desc,
+                                       asset_name, metric_name) as integer) as anomaly_rank
       from H where health_status = 'review') t
 where anomaly_rank <= 3
 """)
@@ -36,8 +36,8 @@ def q_brief_anomalies_flat(spark: SparkSession, sf: str) -> DataFrame:
 @register("brief_signals_flat", gold_sql() + """
 select last_validated_month as month, signal_rank, signal_id, source_asset, source_metric, target_asset,
        target_metric, lag_months, relationship_direction, round(strength_score, 4) as strength_score
-from (select *, row_number() over (partition by last_validated_month order by abs(strength_score) desc, signal_id)
-                as signal_rank
+from (select *, cast(row_number() over (partition by last_validated_month order by abs(strength_score) desc,
+                                       signal_id) as integer) as signal_rank
       from (select *, source_asset || '__' || source_metric || '__' || target_asset || '__' || target_metric
                       || '__' || cast(lag_months as varchar) as signal_id from SG) s) t
 where signal_rank <= 3

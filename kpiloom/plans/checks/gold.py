@@ -61,8 +61,8 @@ psc as (
               else 0.0::double end as peer_gap_score
   from pj),
 pp as (
-  select *, sum(is_active) over (partition by asset_name, metric_name order by month
-                                 rows between 2 preceding and current row) as persistence_months
+  select *, cast(sum(is_active) over (partition by asset_name, metric_name order by month
+                                      rows between 2 preceding and current row) as bigint) as persistence_months
   from psc),
 pw as (
   select pp.*, least(1.0::double, cast(persistence_months as double) / 3.0::double) as persistence_score,
@@ -80,9 +80,9 @@ PA as (
          strftime(month, '%Y-%m-%d') || '_' || asset_name || '_' || metric_name as priority_candidate_id
   from pw where is_active = 1),
 ev as (
-  select a.month, a.asset_name, a.metric_name, count(o.metric_name) as n_support,
+  select a.month, a.asset_name, a.metric_name, cast(count(o.metric_name) as integer) as n_support,
          coalesce(string_agg(o.metric_name, ',' order by o.metric_name), '') as support_names,
-         count(o.metric_name) filter (where o.health_status = 'review') as support_review_count,
+         cast(count(o.metric_name) filter (where o.health_status = 'review') as integer) as support_review_count,
          max(o.metric_value) as support_max_value
   from PA a left join PA o on a.month = o.month and a.asset_name = o.asset_name and a.metric_name <> o.metric_name
   group by 1, 2, 3),
@@ -100,8 +100,8 @@ BOARD_CTE = """
                  or (SG.target_asset = PE.asset_name and SG.target_metric = PE.metric_name)) as has_signal
   from PE),
 BR as (
-  select * from (select *, row_number() over (partition by month order by priority_score desc, asset_name,
-                                                    metric_name) as priority_rank from BS) t
+  select * from (select *, cast(row_number() over (partition by month order by priority_score desc, asset_name,
+                                                         metric_name) as integer) as priority_rank from BS) t
   where priority_rank <= 10),
 BD as (
   select month, priority_candidate_id as priority_id,

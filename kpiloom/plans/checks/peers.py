@@ -32,14 +32,14 @@ rk as (
   select month, asset_name, metric_name,
          rank() over (partition by month, asset_name, metric_name order by adj desc) as r, is_s from rb),
 g as (
-  select al.*, rk.r as subject_rank,
+  select al.*, cast(rk.r as integer) as subject_rank,
          case when pol = -1 then mn else mx end as peer_leader_value,
          pol * (subject_value - peer_median) as gap_to_peer_median,
          pol * (subject_value - case when pol = -1 then mn else mx end) as gap_to_leader
   from al join rk on al.month = rk.month and al.asset_name = rk.asset_name and al.metric_name = rk.metric_name
   where rk.is_s = 1),
 B as (
-  select *, lag(subject_rank, 12) over w - subject_rank as rank_change_12m,
+  select *, cast(lag(subject_rank, 12) over w - subject_rank as integer) as rank_change_12m,
          gap_to_peer_median - lag(gap_to_peer_median, 12) over w as gap_change_12m
   from g window w as (partition by asset_name, metric_name order by month))
 """

@@ -3,12 +3,13 @@
 Each check yields one result row ``(run_id, table_name, check_name, severity, status,
 issue_count, issue_details)``; PASS iff no issue. The results are one lazy DataFrame.
 
-Plan: instead of one count job per check, each fact is scanned once. The internal fact is
-grouped by its key (month, asset, metric) with every row-level condition counted inside that
-partial aggregate; duplicate groups, condition and rate-bound violations and month coverage are
-then read off the (much smaller) grouped rows. The benchmark fact is grouped once by
-(key, club) for duplicates and then by key for club coverage. All aggregates are partial, so a
-hot key is pre-combined in every task. The gate collects the result rows (one per check).
+Plan: instead of one count job per check, each fact is scanned once, by one linear chain of
+aggregations with no branches (branches would each rescan the fact: column pruning makes their
+subplans differ, so Spark cannot reuse the shuffle). The internal fact is grouped by its key with
+every row-level condition counted in that aggregate, then by series (month coverage, duplicates),
+then by month count, then to one row; distinct months travel as bitmaps. The benchmark fact is
+grouped by (key, club), then by key, then to one row. All aggregates are partial, so a hot key is
+pre-combined in every task. The gate collects the result rows (one per check).
 """
 
 from __future__ import annotations
@@ -72,51 +73,76 @@ def _rows(run_id: str, severity: str, specs: Sequence[tuple[str, str, Column, Co
         for t, c, n, d in specs])
 
 
+MONTH_BASE_YEAR = 1000          # month bit positions cover 1000-01 .. 3729-12 (one 32768-bit bitmap)
+
+
+def month_bit(month: Column) -> Column:
+    """Bit position of a month in a single bitmap bucket; months outside the range are an error."""
+    pos = (F.year(month) - MONTH_BASE_YEAR) * 12 + F.month(month) - 1
+    return F.when(pos.between(0, 32767) | month.isNull(), pos).otherwise(
+        F.raise_error(F.lit("month outside the supported range 1000-01 .. 3729-12")))
+
+
 def internal_checks(fact: DataFrame, table_name: str, run_id: str,
                     cfg: QualityConfig = QualityConfig()) -> DataFrame:
-    """DQ2, DQ3, DQ5, DQ6 over the internal fact in one scan."""
+    """DQ2, DQ3, DQ5, DQ6 over the internal fact as one linear aggregation (one scan).
+
+    key -> series -> month-count -> one row. Distinct months travel as bitmaps (built-in bitmap
+    aggregates), so the overall month total and every series' coverage come out of the same pass;
+    the month-count level holds at most one row per possible count (bounded by the calendar).
+    """
     keys = list(cfg.internal_keys)
     rate_bad = F.col("metric_name").rlike(cfg.rate_pattern) & out_of_unit_range(F.col("metric_value"))
-    cond_cols = {f"c{i}": F.count_if(violated(expr)) for i, (_, expr) in enumerate(cfg.conditions)}
-    grouped = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count_if(rate_bad).alias("rate_bad"),
-                                      *[v.alias(k) for k, v in cond_cols.items()])
-    # Distinct months overall (a NULL month counts as one value) and per series (non-NULL only).
-    total = grouped.select((F.count_distinct("month") + F.max(F.col("month").isNull().cast("int")))
-                           .alias("t")).scalar()
-    series = grouped.groupBy("asset_name", "metric_name").agg(F.count("month").alias("months"))
-    coverage = series.agg(F.count_if(F.col("months") != total).alias("incomplete"))
-    summary = grouped.agg(F.count_if(F.col("n") > 1).alias("dupes"), F.sum("rate_bad").alias("rate_bad"),
-                          *[F.sum(k).alias(k) for k in cond_cols])
-    specs = [(table_name, name, F.coalesce(F.col(f"c{i}"), F.lit(0)), F.lit(DQ_CONDITION_DETAILS.format(expr)))
-             for i, (name, expr) in enumerate(cfg.conditions)]
-    specs.append((table_name, DQ_DUPLICATE_NAME.format(", ".join(keys)), F.col("dupes"),
-                  F.lit(DQ_DUPLICATE_DETAILS.format(keys))))
-    row_checks = summary.select(F.inline(_rows(run_id, cfg.severity, specs)))
-    rate = summary.select(F.inline(_rows(run_id, cfg.severity, [
-        (table_name, DQ_RATE_NAME, F.coalesce(F.col("rate_bad"), F.lit(0)), F.lit(DQ_RATE_DETAILS))])))
+    conds = [f"c{i}" for i in range(len(cfg.conditions))]
+    sums = ("rate_bad", *conds)
+    per_key = fact.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(rate_bad).alias("rate_bad"),
+        *[F.count_if(violated(expr)).alias(c) for c, (_, expr) in zip(conds, cfg.conditions)])
+    per_series = per_key.groupBy("asset_name", "metric_name").agg(
+        F.count("month").alias("months"),                     # non-NULL months of the series
+        F.count_if(F.col("n") > 1).alias("dupes"),
+        F.max(F.col("month").isNull().cast("int")).alias("null_month"),
+        F.bitmap_construct_agg(month_bit(F.col("month"))).alias("bits"),
+        *[F.sum(c).alias(c) for c in sums])
+    per_count = per_series.groupBy("months").agg(
+        F.count(F.lit(1)).alias("series"), F.sum("dupes").alias("dupes"), F.max("null_month").alias("null_month"),
+        F.bitmap_or_agg("bits").alias("bits"), *[F.sum(c).alias(c) for c in sums])
+    one = per_count.agg(
+        (F.bitmap_count(F.bitmap_or_agg("bits")) + F.max("null_month")).alias("months_total"),
+        F.collect_list(F.struct("months", "series")).alias("hist"),
+        F.sum("dupes").alias("dupes"), *[F.sum(c).alias(c) for c in sums])
+    total = F.col("months_total")
+    incomplete = F.aggregate(F.filter("hist", lambda h: h["months"] != total), F.lit(0).cast("long"),
+                             lambda acc, h: acc + h["series"])
     before, after = DQ_MONTH_COVERAGE_DETAILS.split("{}")
-    month_details = F.concat(F.lit(before), total.cast("string"), F.lit(after))
-    cov = coverage.select(F.inline(_rows(run_id, cfg.severity, [
-        (table_name, DQ_MONTH_COVERAGE_NAME, F.col("incomplete"), month_details)])))
-    return row_checks.unionByName(cov).unionByName(rate)
+    specs = [(table_name, name, F.coalesce(F.col(c), F.lit(0)), F.lit(DQ_CONDITION_DETAILS.format(expr)))
+             for c, (name, expr) in zip(conds, cfg.conditions)]
+    specs += [
+        (table_name, DQ_DUPLICATE_NAME.format(", ".join(keys)), F.coalesce(F.col("dupes"), F.lit(0)),
+         F.lit(DQ_DUPLICATE_DETAILS.format(keys))),
+        (table_name, DQ_MONTH_COVERAGE_NAME, incomplete,
+         F.concat(F.lit(before), F.coalesce(total, F.lit(0)).cast("string"), F.lit(after))),
+        (table_name, DQ_RATE_NAME, F.coalesce(F.col("rate_bad"), F.lit(0)), F.lit(DQ_RATE_DETAILS)),
+    ]
+    return one.select(F.inline(_rows(run_id, cfg.severity, specs)))
 
 
 def benchmark_checks(fact: DataFrame, table_name: str, run_id: str,
                      cfg: QualityConfig = QualityConfig()) -> DataFrame:
-    """DQ3 and DQ4 over the benchmark fact in one scan."""
+    """DQ3 and DQ4 over the benchmark fact as one linear aggregation (one scan)."""
     keys = list(cfg.benchmark_keys)
     group_keys = [k for k in keys if k != "club"]
     per_club = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    dupes = per_club.agg(F.count_if(F.col("n") > 1).alias("dupes"))
-    clubs = per_club.groupBy(*group_keys).agg(F.count("club").alias("clubs"))
-    bad_cov = clubs.agg(F.count_if(F.col("clubs") != cfg.expected_clubs).alias("bad"))
-    d = dupes.select(F.inline(_rows(run_id, cfg.severity, [
-        (table_name, DQ_DUPLICATE_NAME.format(", ".join(keys)), F.col("dupes"),
-         F.lit(DQ_DUPLICATE_DETAILS.format(keys)))])))
-    c = bad_cov.select(F.inline(_rows(run_id, cfg.severity, [
+    per_key = per_club.groupBy(*group_keys).agg(F.count("club").alias("clubs"),
+                                                F.count_if(F.col("n") > 1).alias("dupes"))
+    one = per_key.agg(F.sum("dupes").alias("dupes"),
+                      F.count_if(F.col("clubs") != cfg.expected_clubs).alias("bad"))
+    return one.select(F.inline(_rows(run_id, cfg.severity, [
+        (table_name, DQ_DUPLICATE_NAME.format(", ".join(keys)), F.coalesce(F.col("dupes"), F.lit(0)),
+         F.lit(DQ_DUPLICATE_DETAILS.format(keys))),
         (table_name, DQ_PEER_COVERAGE_NAME.format(cfg.expected_clubs), F.col("bad"),
-         F.lit(DQ_PEER_COVERAGE_DETAILS.format(cfg.expected_clubs)))])))
-    return d.unionByName(c)
+         F.lit(DQ_PEER_COVERAGE_DETAILS.format(cfg.expected_clubs))),
+    ])))
 
 
 def quality_checks(internal: DataFrame, benchmark: DataFrame, run_id: str,

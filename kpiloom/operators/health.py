@@ -63,15 +63,27 @@ def lags_and_rolling(df: DataFrame, cfg: HealthConfig = HealthConfig()) -> DataF
 
 
 def seasonal_stats(df: DataFrame) -> DataFrame:
-    """Mean, sample std and count of earlier rows with the same calendar month (WIN4-6)."""
-    w = (Window.partitionBy(*SERIES, F.month("month")).orderBy("month")
-         .rowsBetween(Window.unboundedPreceding, -1))
+    """Mean, sample std and count of earlier rows with the same calendar month (WIN4-6).
+
+    The sample variance comes from frame sums of values shifted by the first value of the
+    same-month series (``(S2 - S1^2/n) / (n - 1)`` on ``x - K``). Values of one series and calendar
+    month are close to K, so this is as well conditioned as Welford's update, and because every
+    term is a plain in-order frame sum the result is reproducible bit for bit, on any engine.
+    """
+    part = Window.partitionBy(*SERIES, F.month("month")).orderBy("month")
+    prior = part.rowsBetween(Window.unboundedPreceding, -1)
     v = F.col("metric_value")
-    return df.withColumns({
-        "seasonal_mean": F.avg(v).over(w),
-        "seasonal_std": F.stddev_samp(v).over(w),
-        "seasonal_count": F.count(v).over(w),
-    })
+    shifted = df.withColumn("_k", F.first(v).over(part.rowsBetween(Window.unboundedPreceding,
+                                                                  Window.unboundedFollowing)))
+    d = v - F.col("_k")
+    n = F.count(v).over(prior)
+    s1, s2 = F.sum(d).over(prior), F.sum(d * d).over(prior)
+    var = F.greatest(F.lit(0.0), (s2 - s1 * s1 / n) / (n - 1))
+    return shifted.withColumns({
+        "seasonal_mean": F.avg(v).over(prior),
+        "seasonal_std": F.when(n >= 2, F.sqrt(var)),
+        "seasonal_count": n,
+    }).drop("_k")
 
 
 def health_status(deviation, polarity, threshold: float):

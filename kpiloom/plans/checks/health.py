@@ -13,21 +13,30 @@ from kpiloom.plans.registry import register, rounded
 
 # Health of the subject series as independent SQL; {order} and {frames} switch row/calendar mode.
 HEALTH_CTE = """
-, hb as (
+, sk as (
+  select s.*, first(s.metric_value) over (partition by s.asset_name, s.metric_name, month(s.month)
+                                          order by s.month) as k
+  from S s),
+hb as (
   select s.month, s.asset_name, s.metric_name, s.metric_value, coalesce(d.polarity, 1) as pol,
          {prior} as prior_month_value,
          {season} as prior_season_same_month_value,
          avg(s.metric_value) over (w {rolling}) as rolling_12m_avg,
          avg(s.metric_value) over ws as s_mean,
-         stddev_samp(s.metric_value) over ws as s_std,
+         sum(s.metric_value - s.k) over ws as s_s1,
+         sum((s.metric_value - s.k) * (s.metric_value - s.k)) over ws as s_s2,
          count(s.metric_value) over ws as s_cnt
-  from S s left join D d on s.metric_name = d.metric_name
+  from sk s left join D d on s.metric_name = d.metric_name
   window w as (partition by s.asset_name, s.metric_name order by {order}),
          ws as (partition by s.asset_name, s.metric_name, month(s.month) order by s.month
                 rows between unbounded preceding and 1 preceding)),
+hs as (
+  select *, case when s_cnt >= 2
+                 then sqrt(greatest(0.0::double, (s_s2 - s_s1 * s_s1 / s_cnt) / (s_cnt - 1))) end as s_std
+  from hb),
 hd as (
   select *, case when rolling_12m_avg <> 0 then (metric_value - rolling_12m_avg) / rolling_12m_avg end as dev
-  from hb),
+  from hs),
 H as (
   select month, asset_name, metric_name, metric_value, prior_month_value, prior_season_same_month_value,
          rolling_12m_avg, dev as deviation_from_rolling_avg, s_mean, s_std, s_cnt,

@@ -86,3 +86,23 @@ def sized_broadcast(df, limit_bytes: int | None = None):
     except Exception:  # noqa: BLE001 - no estimate: leave the choice to the planner
         return df
     return F.broadcast(df) if size <= limit else df
+
+
+GRID = 1048576.0   # 2**20
+
+
+def split_mean(x: Column, window=None) -> Column:
+    """Mean as an aggregate that does not depend on summation order (in practice, bit for bit).
+
+    Each value is split exactly into a part on a 2^-20 grid and a remainder below 2^-20
+    (``a = x * 2^20``; ``fmod`` is exact). Sums of grid parts are exact in any order while the
+    running sum stays below 2^33; the remainder sum is about 2^20 times smaller than the grid
+    sum, so its order-dependent rounding essentially never changes the final double. Both sums
+    are partial aggregates, like ``avg``. With ``window`` it is the same mean over a window frame.
+    """
+    a = x * F.lit(GRID)
+    frac = a % F.lit(1.0)
+    parts = [F.sum((a - frac) / F.lit(GRID)), F.sum(frac / F.lit(GRID)), F.count(x)]
+    if window is not None:
+        parts = [p.over(window) for p in parts]
+    return (parts[0] + parts[1]) / parts[2]

@@ -8,7 +8,8 @@ Offsets without data are absent. The period unit is a day or a month.
 
 Plan: annotations are multiplied by the fixed offset list (``explode(sequence)``, at most
 before + after + 1 rows each) and equi-joined to the series on (asset, period); no range join.
-The baseline is a window per (event, metric), which holds at most before + after + 1 rows.
+The baseline is a window per (event, metric), which holds at most before + after + 1 rows; its
+mean is an order-independent split sum, so it does not depend on row order within the window.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiloom.functions import guarded_relative_deviation
+from kpiloom.functions import guarded_relative_deviation, split_mean
 
 WINDOW_COLUMNS = ("event_id", "asset_name", "metric_name", "event_period", "period_offset", "metric_value",
                   "baseline", "deviation")
@@ -34,7 +35,7 @@ def event_windows(series: DataFrame, annotations: DataFrame, before: int = 3, af
     ser = series.select(F.col(series_period).alias("period"), "asset_name", "metric_name", "metric_value")
     joined = ann.join(ser, ["asset_name", "period"])
     w = Window.partitionBy("event_id", "asset_name", "metric_name")
-    base = F.avg(F.when(F.col("period_offset") < 0, F.col("metric_value"))).over(w)
+    base = split_mean(F.when(F.col("period_offset") < 0, F.col("metric_value")), w)
     out = joined.withColumn("baseline", base)
     out = out.withColumn("deviation", guarded_relative_deviation(F.col("metric_value"), F.col("baseline")))
     return out.select(*WINDOW_COLUMNS)

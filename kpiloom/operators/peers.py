@@ -6,7 +6,8 @@ ahead) and their 12-row changes.
 
 Plan: peers are joined to the subject rows once, on the three keys, then *one* grouped aggregate
 computes every statistic and the rank. The rank is ``1 + count(peers strictly better)``, which is
-``rank()`` for a unique subject key but needs no sort and no second join. All aggregates are
+``rank()`` for a unique subject key but needs no sort and no second join. The mean is an
+order-independent split sum, so it is the same whatever the partitioning. All aggregates are
 partial (map-side) aggregates, so a key holding a third of all peer rows is pre-combined in every
 task instead of landing whole in one. The 12-row change is a window on (asset, metric) over the
 aggregated rows (one row per month per series).
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.config import SOCIAL_MEASURES, PeerConfig
+from kpiloom.functions import split_mean
 from kpiloom.operators.health import with_polarity
 from kpiloom.operators.normalize import unpivot_to_fact
 
@@ -54,7 +56,7 @@ def peer_stats(subject: DataFrame, peers: DataFrame, metric_dim: DataFrame | Non
     better = (F.col("peer_value") * F.col("polarity")) > (F.col("subject_value") * F.col("polarity"))
     stats = j.groupBy(*KEYS).agg(
         F.percentile_approx("peer_value", 0.5, cfg.median_accuracy).alias("peer_median"),
-        F.avg("peer_value").alias("peer_mean"),
+        split_mean(F.col("peer_value")).alias("peer_mean"),
         F.max("peer_value").alias("peer_max_value"),
         F.min("peer_value").alias("peer_min_value"),
         F.count_distinct("club").alias("club_count"),

@@ -7,18 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 from kpiloom.operators.board import BOARD_COLUMNS, priority_board, ranked_priorities
 from kpiloom.plans.checks.gold import Gold, gold_sql
 from kpiloom.plans.fixtures import Inputs
-from kpiloom.plans.registry import register, rounded
+from kpiloom.plans.registry import register
 
 FLAT = [c for c in BOARD_COLUMNS if c != "supporting_metrics_json"]
 
 
 @register("priority_board", gold_sql(board=True) + """
-select month, priority_id, priority_title, priority_category, round(priority_score, 9) as priority_score,
+select month, priority_id, priority_title, priority_category, priority_score,
        priority_rank, asset_name, primary_metric, summary_text, why_it_matters, suggested_next_investigation
 from BD
 """)
 def q_priority_board(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(ranked_priorities(Gold(Inputs(spark, sf)).inputs()).select(*FLAT), "priority_score")
+    return ranked_priorities(Gold(Inputs(spark, sf)).inputs()).select(*FLAT)
 
 
 @register("priority_board_json")
@@ -37,7 +37,7 @@ PAYLOAD_TYPE = ("struct<score_components: struct<severity: double, persistence:
 
 
 @register("priority_board_json_roundtrip", gold_sql(board=True) + """
-select BR.priority_candidate_id as priority_id, BR.priority_rank, round(BR.severity_score, 9) as severity,
+select BR.priority_candidate_id as priority_id, BR.priority_rank, BR.severity_score as severity,
        BR.persistence_score as persistence, BR.peer_gap_score as peer_gap,
        BR.commercial_weight_score as commercial_weight, BR.supporting_evidence_score as supporting_evidence,
        BR.health_status, BR.persistence_months as active_months_in_last_3, 3 as lookback_months,
@@ -57,4 +57,4 @@ def q_priority_board_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
         "p.persistence_inputs.*", "p.peer_context.peer_rank",
         F.size("p.supporting_metric_rows").alias("supporting_rows"),
         F.size("p.linked_signal_references").cast("bigint").alias("linked_signals"))
-    return rounded(out, "severity")
+    return out

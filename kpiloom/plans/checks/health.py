@@ -9,7 +9,7 @@ from kpiloom.config import HealthConfig
 from kpiloom.functions import guarded_relative_deviation, safe_z, trend
 from kpiloom.operators.health import kpi_health, lags_and_rolling, seasonal_stats
 from kpiloom.plans.fixtures import Inputs
-from kpiloom.plans.registry import register, rounded
+from kpiloom.plans.registry import register
 
 # Health of the subject series as independent SQL; {order} and {frames} switch row/calendar mode.
 HEALTH_CTE = """
@@ -30,13 +30,13 @@ hb as (
   window w as (partition by s.asset_name, s.metric_name order by {order}),
          ws as (partition by s.asset_name, s.metric_name, month(s.month) order by s.month
                 rows between unbounded preceding and 1 preceding)),
-hs as (
+hv as (
   select *, case when s_cnt >= 2
                  then sqrt(greatest(0.0::double, (s_s2 - s_s1 * s_s1 / s_cnt) / (s_cnt - 1))) end as s_std
   from hb),
 hd as (
   select *, case when rolling_12m_avg <> 0 then (metric_value - rolling_12m_avg) / rolling_12m_avg end as dev
-  from hs),
+  from hv),
 H as (
   select month, asset_name, metric_name, metric_value, prior_month_value, prior_season_same_month_value,
          rolling_12m_avg, dev as deviation_from_rolling_avg, s_mean, s_std, s_cnt,
@@ -59,7 +59,7 @@ HEALTH_ROWS = HEALTH_CTE.format(**ROW_MODE)
 HEALTH_CAL = HEALTH_CTE.format(**CAL_MODE)
 HEALTH_SELECT = """
 select month, asset_name, metric_name, metric_value, prior_month_value, prior_season_same_month_value,
-       rolling_12m_avg, deviation_from_rolling_avg, round(seasonal_z_score, 9) as seasonal_z_score,
+       rolling_12m_avg, deviation_from_rolling_avg, seasonal_z_score,
        trend_direction, health_status
 from H
 """
@@ -87,8 +87,8 @@ def q_kpi_rolling_deviation(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("kpi_seasonal_z", HEALTH_ROWS + """
-select month, asset_name, metric_name, s_mean as seasonal_mean, round(s_std, 9) as seasonal_std,
-       s_cnt as seasonal_count, round(seasonal_z_score, 9) as seasonal_z_score from H
+select month, asset_name, metric_name, s_mean as seasonal_mean, s_std as seasonal_std,
+       s_cnt as seasonal_count, seasonal_z_score from H
 """)
 def q_kpi_seasonal_z(spark: SparkSession, sf: str) -> DataFrame:
     cfg = HealthConfig()
@@ -96,17 +96,16 @@ def q_kpi_seasonal_z(spark: SparkSession, sf: str) -> DataFrame:
     out = df.select("month", "asset_name", "metric_name", "seasonal_mean", "seasonal_std", "seasonal_count",
                     safe_z(F.col("metric_value"), F.col("seasonal_mean"), F.col("seasonal_std"),
                            F.col("seasonal_count"), cfg.min_season_history).alias("seasonal_z_score"))
-    return rounded(out, "seasonal_std", "seasonal_z_score")
+    return out
 
 
 @register("kpi_health", HEALTH_ROWS + HEALTH_SELECT)
 def q_kpi_health(spark: SparkSession, sf: str) -> DataFrame:
     inp = Inputs(spark, sf)
-    return rounded(kpi_health(inp.subject_fact(), inp.metric_dim()), "seasonal_z_score")
+    return kpi_health(inp.subject_fact(), inp.metric_dim())
 
 
 @register("kpi_health_calendar", HEALTH_CAL + HEALTH_SELECT)
 def q_kpi_health_calendar(spark: SparkSession, sf: str) -> DataFrame:
     inp = Inputs(spark, sf)
-    health = kpi_health(inp.subject_fact(), inp.metric_dim(), HealthConfig(calendar=True))
-    return rounded(health, "seasonal_z_score")
+    return kpi_health(inp.subject_fact(), inp.metric_dim(), HealthConfig(calendar=True))

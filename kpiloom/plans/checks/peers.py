@@ -8,14 +8,16 @@ from pyspark.sql import functions as F
 from kpiloom.config import PeerConfig
 from kpiloom.operators.peers import KEYS, peer_benchmark, peer_rank_gap, peer_stats
 from kpiloom.plans.fixtures import EXTRA_MEASURES, SUBJECT_REGION, Inputs
-from kpiloom.plans.registry import register, rounded
+from kpiloom.plans.registry import register
 
 # Independent SQL: peer stats per key, rank() over peers + subject, gaps, 12-row lags.
 # {s} and {p} name the subject / peer relations, {k} is the minimum number of distinct clubs.
 BENCH_CTE = """
 , ps as (
   select month, asset_name, metric_name, quantile_disc(peer_value, 0.5) as peer_median,
-         avg(peer_value) as peer_mean, max(peer_value) as mx, min(peer_value) as mn,
+         (sum((peer_value * 1048576.0 - fmod(peer_value * 1048576.0, 1.0)) / 1048576.0)
+          + sum(fmod(peer_value * 1048576.0, 1.0) / 1048576.0)) / count(peer_value) as peer_mean,
+         max(peer_value) as mx, min(peer_value) as mn,
          count(distinct club) as club_count
   from {p} group by 1, 2, 3 having count(distinct club) >= {k}),
 al as (
@@ -44,7 +46,7 @@ B as (
   from g window w as (partition by asset_name, metric_name order by month))
 """
 BENCH_SELECT = """
-select month, asset_name, metric_name, subject_value, peer_median, round(peer_mean, 9) as peer_mean,
+select month, asset_name, metric_name, subject_value, peer_median, peer_mean,
        peer_leader_value, subject_rank, club_count, gap_to_peer_median, gap_to_leader, rank_change_12m,
        gap_change_12m
 from B
@@ -68,14 +70,13 @@ P2 as (select * from P union all
 
 
 @register("peer_stats", BENCH_CTE.format(s="S", p="P", k=5) + """
-select month, asset_name, metric_name, peer_median, round(peer_mean, 9) as peer_mean, mx as peer_max_value,
+select month, asset_name, metric_name, peer_median, peer_mean, mx as peer_max_value,
        mn as peer_min_value, club_count from al
 """)
 def q_peer_stats(spark: SparkSession, sf: str) -> DataFrame:
     inp = Inputs(spark, sf, shared=True)
     st = peer_stats(inp.subject_fact(), inp.peer_fact(), inp.metric_dim())
-    return rounded(st.select(*KEYS, "peer_median", "peer_mean", "peer_max_value", "peer_min_value",
-                             "club_count"), "peer_mean")
+    return st.select(*KEYS, "peer_median", "peer_mean", "peer_max_value", "peer_min_value", "club_count")
 
 
 @register("peer_rank_gap", BENCH_CTE.format(s="S", p="P", k=5) + """
@@ -92,7 +93,7 @@ def q_peer_rank_gap(spark: SparkSession, sf: str) -> DataFrame:
 @register("peer_benchmark", BENCH_CTE.format(s="S", p="P", k=5) + BENCH_SELECT)
 def q_peer_benchmark(spark: SparkSession, sf: str) -> DataFrame:
     inp = Inputs(spark, sf, shared=True)
-    return rounded(peer_benchmark(inp.subject_fact(), inp.peer_fact(), inp.metric_dim()), "peer_mean")
+    return peer_benchmark(inp.subject_fact(), inp.peer_fact(), inp.metric_dim())
 
 
 @register("peer_benchmark_extra_source", EXTRA_CTE + BENCH_CTE.format(s="S2", p="P2", k=4) + BENCH_SELECT)
@@ -101,4 +102,4 @@ def q_peer_benchmark_extra_source(spark: SparkSession, sf: str) -> DataFrame:
     bench = peer_benchmark(inp.subject_fact(), inp.peer_fact(), inp.metric_dim(), extra=inp.wide_regions(),
                            extra_subject=SUBJECT_REGION, extra_asset="extra", extra_measures=EXTRA_MEASURES,
                            cfg=PeerConfig(min_clubs=4))
-    return rounded(bench, "peer_mean")
+    return bench

@@ -14,7 +14,7 @@ SCORE_COLS = ("month", "priority_candidate_id", "asset_name", "metric_name", "he
               "severity_score", "persistence_months", "persistence_score", "peer_gap_score",
               "commercial_weight_score", "category")
 SCORE_SQL = """
-select month, priority_candidate_id, asset_name, metric_name, health_status, round(severity_score, 9) as severity_score,
+select month, priority_candidate_id, asset_name, metric_name, health_status, severity_score,
        persistence_months, persistence_score, peer_gap_score, commercial_weight_score, category from PA
 """
 
@@ -31,12 +31,12 @@ def q_persistence(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("priority_scores", gold_sql() + SCORE_SQL)
 def q_priority_scores(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(Gold(Inputs(spark, sf)).scored().select(*SCORE_COLS), "severity_score")
+    return Gold(Inputs(spark, sf)).scored().select(*SCORE_COLS)
 
 
 @register("priority_scores_fallback", gold_sql(fallback=True) + SCORE_SQL)
 def q_priority_scores_fallback(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(Gold(Inputs(spark, sf), with_dictionary=False).scored().select(*SCORE_COLS), "severity_score")
+    return Gold(Inputs(spark, sf), with_dictionary=False).scored().select(*SCORE_COLS)
 
 
 @register("priority_evidence", gold_sql() + """

@@ -82,7 +82,8 @@ def sized_broadcast(df, limit_bytes: int | None = None):
     """
     limit = DEFAULT_BROADCAST_LIMIT if limit_bytes is None else limit_bytes
     try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        size = raw if isinstance(raw, int) else int(raw.toString())   # py4j may already convert BigInt
     except Exception:  # noqa: BLE001 - no estimate: leave the choice to the planner
         return df
     return F.broadcast(df) if size <= limit else df

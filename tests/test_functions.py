@@ -31,3 +31,15 @@ def test_split_mean_window_and_nulls(spark):
 def test_pearson_zero_variance_is_null(spark):
     df = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0)], "x double, y double")
     assert df.agg(pearson("x", "y").alias("c")).first().c is None
+
+
+def test_sized_broadcast_hints_small_and_skips_large(spark):
+    from kpiloom.functions import sized_broadcast
+    from kpiloom.sources.config_json import literal_rows
+
+    small = literal_rows(spark, [("a", 1)], "k string, v int")
+    big = spark.range(10_000_000).withColumnRenamed("id", "v")
+    plan_small = spark.range(5).join(sized_broadcast(small), F.col("id") == F.col("v"))
+    assert "ResolvedHint" in plan_small._jdf.queryExecution().analyzed().toString() or \
+        "BroadcastHashJoin" in plan_small._jdf.queryExecution().executedPlan().toString()
+    assert sized_broadcast(big, limit_bytes=1024) is big

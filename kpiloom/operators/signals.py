@@ -17,6 +17,9 @@ Plan: one Spark job, no driver loop.
   no cross join, no pivot;
 * count and correlation are partial aggregates per pair, so a long series never lands whole in
   one task; the global top-k is a bounded ``TakeOrderedAndProject``.
+
+The fact is read in two branches (its month column, and the configured series), so pass a
+persisted or checkpointed fact (as the medallion run does), not an expensive lazy derivation.
 """
 
 from __future__ import annotations

@@ -24,6 +24,7 @@ PIVOT_FEATURES = tuple((a, m) for a in ("automobile", "machinery") for m in ("ne
 
 
 def fixture_signals(inp: Inputs) -> DataFrame:
+    inp.shared = True          # the month list and the series are two branches over the fact
     return discover_signals(inp.subject_fact(), FIXTURE_CANDIDATES, FIXTURE_TARGETS, FIXTURE_SIGNALS)
 
 
@@ -84,7 +85,7 @@ select source_asset, source_metric, target_asset, target_metric, lag_months, n_p
        round(strength_score, 9) as strength_score from cr
 """)
 def q_lag_correlations(spark: SparkSession, sf: str) -> DataFrame:
-    corr = lag_correlations(Inputs(spark, sf).subject_fact(), WIDE_CANDIDATES, WIDE_TARGETS)
+    corr = lag_correlations(Inputs(spark, sf, shared=True).subject_fact(), WIDE_CANDIDATES, WIDE_TARGETS)
     out = corr.select("source_asset", "source_metric", "target_asset", "target_metric", "lag_months",
                       "n_pairs", "strength_score")
     return rounded(out, "strength_score")

@@ -70,11 +70,12 @@ def seasonal_stats(df: DataFrame) -> DataFrame:
     month are close to K, so this is as well conditioned as Welford's update, and because every
     term is a plain in-order frame sum the result is reproducible bit for bit, on any engine.
     """
-    part = Window.partitionBy(*SERIES, F.month("month")).orderBy("month")
+    # The calendar month is a column, so every seasonal window shares one partitioning attribute.
+    part = Window.partitionBy(*SERIES, "_cal").orderBy("month")
     prior = part.rowsBetween(Window.unboundedPreceding, -1)
     v = F.col("metric_value")
-    shifted = df.withColumn("_k", F.first(v).over(part.rowsBetween(Window.unboundedPreceding,
-                                                                  Window.unboundedFollowing)))
+    shifted = df.withColumn("_cal", F.month("month")).withColumn(
+        "_k", F.first(v).over(part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     d = v - F.col("_k")
     n = F.count(v).over(prior)
     s1, s2 = F.sum(d).over(prior), F.sum(d * d).over(prior)
@@ -83,7 +84,7 @@ def seasonal_stats(df: DataFrame) -> DataFrame:
         "seasonal_mean": F.avg(v).over(prior),
         "seasonal_std": F.when(n >= 2, F.sqrt(var)),
         "seasonal_count": n,
-    }).drop("_k")
+    }).drop("_k", "_cal")
 
 
 def health_status(deviation, polarity, threshold: float):

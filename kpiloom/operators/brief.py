@@ -80,9 +80,12 @@ def _json_list(items: DataFrame, first: str, fields: list[str], out: str) -> Dat
         "items", lambda x: F.struct(*[x[f].alias(f) for f in fields]))).alias(out))
 
 
-def brief_inputs(board: DataFrame, health: DataFrame, bench: DataFrame, signals: DataFrame,
+def brief_inputs(board: DataFrame, health: DataFrame, bench: DataFrame, signals: DataFrame | None = None,
                  cfg: BriefConfig = BriefConfig()) -> DataFrame:
     """BRF: one row per health month with five JSON payloads ('[]' / '{}' when empty)."""
+    if signals is None:
+        from kpiloom.operators.signals import empty_signals
+        signals = empty_signals(health.sparkSession)
     months = health.select("month").distinct()
     pri = _json_list(top_priority_items(board, cfg), "priority_rank",
                      ["priority_id", "priority_rank", "priority_title", "priority_category", "priority_score"],

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.config import STATUS_GOOD, STATUS_REVIEW, STATUS_STABLE, HealthConfig
-from kpiloom.functions import first_match, guarded_relative_deviation, safe_z, signed_by_polarity, trend
+from kpiloom.functions import first_match, guarded_relative_deviation, safe_z, signed_by_polarity, split_mean, trend
 from kpiloom.functions.expressions import sized_broadcast
 
 SERIES = ("asset_name", "metric_name")
@@ -50,14 +50,14 @@ def lags_and_rolling(df: DataFrame, cfg: HealthConfig = HealthConfig()) -> DataF
         cols = {
             "prior_month_value": F.first(v).over(w.rangeBetween(-1, -1)),
             "prior_season_same_month_value": F.first(v).over(w.rangeBetween(-cfg.season_lag, -cfg.season_lag)),
-            "rolling_12m_avg": F.avg(v).over(w.rangeBetween(-(cfg.rolling_rows - 1), 0)),
+            "rolling_12m_avg": split_mean(v, w.rangeBetween(-(cfg.rolling_rows - 1), 0)),
         }
     else:
         w = Window.partitionBy(*SERIES).orderBy("month")
         cols = {
             "prior_month_value": F.lag(v, 1).over(w),
             "prior_season_same_month_value": F.lag(v, cfg.season_lag).over(w),
-            "rolling_12m_avg": F.avg(v).over(w.rowsBetween(-(cfg.rolling_rows - 1), 0)),
+            "rolling_12m_avg": split_mean(v, w.rowsBetween(-(cfg.rolling_rows - 1), 0)),
         }
     return df.withColumns(cols)
 
@@ -81,7 +81,7 @@ def seasonal_stats(df: DataFrame) -> DataFrame:
     s1, s2 = F.sum(d).over(prior), F.sum(d * d).over(prior)
     var = F.greatest(F.lit(0.0), (s2 - s1 * s1 / n) / (n - 1))
     return shifted.withColumns({
-        "seasonal_mean": F.avg(v).over(prior),
+        "seasonal_mean": split_mean(v, prior),
         "seasonal_std": F.when(n >= 2, F.sqrt(var)),
         "seasonal_count": n,
     }).drop("_k", "_cal")

@@ -15,14 +15,17 @@ from kpiloom.plans.registry import register
 HEALTH_CTE = """
 , sk as (
   select s.*, first(s.metric_value) over (partition by s.asset_name, s.metric_name, month(s.month)
-                                          order by s.month) as k
+                                          order by s.month) as k,
+         (s.metric_value * 1048576.0 - fmod(s.metric_value * 1048576.0, 1.0)) / 1048576.0 as hi,
+         fmod(s.metric_value * 1048576.0, 1.0) / 1048576.0 as lo
   from S s),
 hb as (
   select s.month, s.asset_name, s.metric_name, s.metric_value, coalesce(d.polarity, 1) as pol,
          {prior} as prior_month_value,
          {season} as prior_season_same_month_value,
-         avg(s.metric_value) over (w {rolling}) as rolling_12m_avg,
-         avg(s.metric_value) over ws as s_mean,
+         (sum(s.hi) over (w {rolling}) + sum(s.lo) over (w {rolling})) / count(s.metric_value) over (w {rolling})
+           as rolling_12m_avg,
+         (sum(s.hi) over ws + sum(s.lo) over ws) / count(s.metric_value) over ws as s_mean,
          sum(s.metric_value - s.k) over ws as s_s1,
          sum((s.metric_value - s.k) * (s.metric_value - s.k)) over ws as s_s2,
          count(s.metric_value) over ws as s_cnt

@@ -8,6 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kpiloom.llm.minhash import MinHash, near_duplicates
 from kpiloom.llm.spark import ship_package, table
+from kpiloom.llm.substring import Repeats, kept_words
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 20-word windows that occur earlier."""
+    ship_package(spark)
+    return kept_words(table(spark, sf_dir, "documents"), Repeats(window=20))
 
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,7 +23,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), MinHash(shingle=2))
 
 
-QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (op10_minhash_near_dedup,)
+QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (op9_substring_dedup, op10_minhash_near_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -9,6 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from kpiloom.llm.minhash import MinHash, near_duplicates
 from kpiloom.llm.spark import ship_package, table
 from kpiloom.llm.substring import Repeats, kept_words
+from kpiloom.llm.toxicity import Toxicity, fit, severity
+
+
+def op5_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity and verdict of every document."""
+    ship_package(spark)
+    docs, cfg = table(spark, sf_dir, "documents"), Toxicity()
+    return severity(docs, fit(docs, table(spark, sf_dir, "labels"), cfg), cfg)
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,7 +31,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), MinHash(shingle=2))
 
 
-QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (op9_substring_dedup, op10_minhash_near_dedup)
+QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (op5_toxicity_ordinal, op9_substring_dedup, op10_minhash_near_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -6,32 +6,53 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kpiloom.llm.idfiles import IdFiles, id_file_digests
 from kpiloom.llm.minhash import MinHash, near_duplicates
-from kpiloom.llm.spark import ship_package, table
+from kpiloom.llm.packing import Packing, pack
+from kpiloom.llm.spark import prepare, table
 from kpiloom.llm.substring import Repeats, kept_words
 from kpiloom.llm.toxicity import Toxicity, fit, severity
 
 
 def op5_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected severity and verdict of every document."""
-    ship_package(spark)
+    prepare(spark)
     docs, cfg = table(spark, sf_dir, "documents"), Toxicity()
     return severity(docs, fit(docs, table(spark, sf_dir, "labels"), cfg), cfg)
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file, installed on every node."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the id files of all documents hold, read back."""
+    prepare(spark)
+    return id_file_digests(table(spark, sf_dir, "documents"), IdFiles(vocabulary("byte_bpe_50k.json")))
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in sequences of 4096 tokens."""
+    prepare(spark)
+    return pack(table(spark, sf_dir, "documents"), Packing(vocabulary("word_bpe_49k.json")))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the 20-word windows that occur earlier."""
-    ship_package(spark)
+    prepare(spark)
     return kept_words(table(spark, sf_dir, "documents"), Repeats(window=20))
 
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of two-word shingles have similarity 0.8 or more."""
-    ship_package(spark)
+    prepare(spark)
     return near_duplicates(table(spark, sf_dir, "documents"), MinHash(shingle=2))
 
 
-QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (op5_toxicity_ordinal, op9_substring_dedup, op10_minhash_near_dedup)
+QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (op5_toxicity_ordinal, op6_token_id_files, op7_best_fit_packing, op9_substring_dedup, op10_minhash_near_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

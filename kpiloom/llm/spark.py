@@ -59,8 +59,8 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components: not settled after {max_rounds} rounds")
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Give this package to the Python workers once per application, as ``--py-files`` would."""
+def prepare(spark: SparkSession) -> None:
+    """This package for the Python workers, as by ``--py-files``."""
     sc = spark.sparkContext
     if getattr(sc, "_kpiloom_shipped", False):
         return

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.words import BYTE_VALUES, Words, mix, powers, slices, _BASE
+from kpiloom.llm.words import Words, byte_sums, range_hashes, slices
 
 _U = np.uint64
 
@@ -59,15 +59,12 @@ class Model:
 
 def stems(w: Words, sizes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
     """(hash, document) of the word beginnings of a slice."""
-    n = len(w.data)
-    power, inverse = powers(_BASE, n + 1)
-    prefix = np.zeros(n + 1, _U)
-    np.cumsum(BYTE_VALUES[True][w.data] * power[:n], out=prefix[1:])
+    sums = byte_sums(w.data, True)
     out, doc = [], []
     for k in sizes:
         at = np.flatnonzero(w.end - w.start >= k)
         s = w.start[at]
-        out.append(mix((prefix[s + k] - prefix[s]) * inverse[s] + _U(k)))
+        out.append(range_hashes(sums, s, s + k))
         doc.append(w.doc[at])
     return np.concatenate(out), np.concatenate(doc)
 

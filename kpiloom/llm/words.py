@@ -64,6 +64,8 @@ class Words:
     data: np.ndarray
     first: int          # documents first..last-1 of the batch
     last: int
+    text_start: np.ndarray      # byte range of each of these documents
+    text_end: np.ndarray
 
     def bounds(self) -> np.ndarray:
         """Offsets of each document's words, one more than there are documents."""
@@ -80,6 +82,20 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return off, (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8))
 
 
+def byte_sums(data: np.ndarray, lower: bool) -> np.ndarray:
+    """Running polynomial sums of bytes, from which any range's hash follows."""
+    power, _ = powers(_BASE, len(data) + 1)
+    sums = np.zeros(len(data) + 1, _U)
+    np.cumsum(BYTE_VALUES[lower][data] * power[:len(data)], out=sums[1:])
+    return sums
+
+
+def range_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the byte ranges [start, end)."""
+    _, inverse = powers(_BASE, len(sums))
+    return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(_U))
+
+
 def hash_words(off: np.ndarray, data: np.ndarray, first: int, last: int, lower: bool) -> Words:
     """Words of documents first..last-1."""
     base = int(off[first])
@@ -97,12 +113,10 @@ def hash_words(off: np.ndarray, data: np.ndarray, first: int, last: int, lower:
     ends[cut] |= word[cut]
     s = np.flatnonzero(starts)
     e = np.flatnonzero(ends) + 1
-    power, inverse = powers(_BASE, n + 1)
-    prefix = np.zeros(n + 1, _U)
-    np.cumsum(BYTE_VALUES[lower][b] * power[:n], out=prefix[1:])
-    h = mix((prefix[e] - prefix[s]) * inverse[s] + (e - s).astype(_U))
+    h = range_hashes(byte_sums(b, lower), s, e)
     doc = np.searchsorted(off[first:last + 1] - base, s, side="right") - 1 + first
-    return Words(h, doc, s, e, b, first, last)
+    cuts = off[first:last + 1] - base
+    return Words(h, doc, s, e, b, first, last, cuts[:-1], cuts[1:])
 
 
 def slices(column: pa.Array, lower: bool, limit: int = SLICE_BYTES) -> Iterator[Words]:

@@ -5,20 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kpiloom.llm.idfiles import IdFiles, id_file_digests
 from kpiloom.llm.minhash import MinHash, near_duplicates
 from kpiloom.llm.packing import Packing, pack
 from kpiloom.llm.spark import prepare, table
 from kpiloom.llm.substring import Repeats, kept_words
+from kpiloom.llm.topk import TopK, top_k
 from kpiloom.llm.toxicity import Toxicity, fit, severity
-
-
-def op5_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Expected severity and verdict of every document."""
-    prepare(spark)
-    docs, cfg = table(spark, sf_dir, "documents"), Toxicity()
-    return severity(docs, fit(docs, table(spark, sf_dir, "labels"), cfg), cfg)
+from kpiloom.llm.wordpiece import piece_counts
 
 
 def vocabulary(name: str) -> str:
@@ -28,6 +24,40 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_wordpiece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy word-piece length of every document."""
+    prepare(spark)
+    return piece_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every 50th vector among all other vectors."""
+    prepare(spark)
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, TopK())
+
+
+OP4_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as e
+  from embeddings
+  where embedding is not null and len(embedding) > 0 and vec_id is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+), s as (
+  select q.vec_id as query_id, c.vec_id, list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i]))::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id and q.vec_id % 50 = 0 and len(q.e) = len(c.e)
+)
+select query_id, rank::integer as rank, vec_id, score from (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) where rank <= 5
+"""
+
+
+def op5_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity and verdict of every document."""
+    prepare(spark)
+    docs, cfg = table(spark, sf_dir, "documents"), Toxicity()
+    return severity(docs, fit(docs, table(spark, sf_dir, "labels"), cfg), cfg)
+
+
 def op6_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the id files of all documents hold, read back."""
     prepare(spark)
@@ -52,7 +82,9 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), MinHash(shingle=2))
 
 
-QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (op5_toxicity_ordinal, op6_token_id_files, op7_best_fit_packing, op9_substring_dedup, op10_minhash_near_dedup)
+QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
+    op3_wordpiece_counts, op4_exact_top_k, op5_toxicity_ordinal, op6_token_id_files, op7_best_fit_packing,
+    op9_substring_dedup, op10_minhash_near_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -60,4 +92,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_exact_top_k": OP4_SQL}

@@ -14,9 +14,16 @@ from kpiloom.llm.spark import prepare, table
 from kpiloom.llm.substring import Repeats, kept_words
 from kpiloom.llm.topk import TopK, top_k
 from kpiloom.llm.toxicity import Toxicity, fit, severity
+from kpiloom.llm.urls import UrlFilter, judged
 from kpiloom.llm.wordpiece import piece_counts
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's url."""
+    prepare(spark)
+    return judged(table(spark, sf_dir, "pages"), UrlFilter())
+
+
 def vocabulary(name: str) -> str:
     """Path of a public tokenizer's file, installed on every node."""
     import public_tokenizers
@@ -83,7 +90,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
-    op3_wordpiece_counts, op4_exact_top_k, op5_toxicity_ordinal, op6_token_id_files, op7_best_fit_packing,
+    op2_url_filter, op3_wordpiece_counts, op4_exact_top_k, op5_toxicity_ordinal, op6_token_id_files, op7_best_fit_packing,
     op9_substring_dedup, op10_minhash_near_dedup)
 
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kpiloom.llm.decontaminate import Latent, leaks
 from kpiloom.llm.idfiles import IdFiles, id_file_digests
 from kpiloom.llm.minhash import MinHash, near_duplicates
 from kpiloom.llm.packing import Packing, pack
@@ -77,6 +78,12 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), Packing(vocabulary("word_bpe_49k.json")))
 
 
+def op8_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, and which."""
+    prepare(spark)
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Latent())
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the 20-word windows that occur earlier."""
     prepare(spark)
@@ -91,7 +98,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op2_url_filter, op3_wordpiece_counts, op4_exact_top_k, op5_toxicity_ordinal, op6_token_id_files, op7_best_fit_packing,
-    op9_substring_dedup, op10_minhash_near_dedup)
+    op8_latent_decontamination, op9_substring_dedup, op10_minhash_near_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -11,6 +11,7 @@ from kpiloom.llm.decontaminate import Latent, leaks
 from kpiloom.llm.idfiles import IdFiles, id_file_digests
 from kpiloom.llm.minhash import MinHash, near_duplicates
 from kpiloom.llm.packing import Packing, pack
+from kpiloom.llm.pitmanyor import PitmanYor, score_texts
 from kpiloom.llm.spark import prepare, table
 from kpiloom.llm.substring import Repeats, kept_words
 from kpiloom.llm.topk import TopK, top_k
@@ -19,6 +20,12 @@ from kpiloom.llm.urls import UrlFilter, judged
 from kpiloom.llm.wordpiece import piece_counts
 
 
+def op1_pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under the add-one base and the hierarchical model."""
+    prepare(spark)
+    return score_texts(table(spark, sf_dir, "documents"), PitmanYor())
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, rule and verdict of every page's url."""
     prepare(spark)
@@ -97,7 +104,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
-    op2_url_filter, op3_wordpiece_counts, op4_exact_top_k, op5_toxicity_ordinal, op6_token_id_files, op7_best_fit_packing,
+    op1_pitman_yor_scores, op2_url_filter, op3_wordpiece_counts, op4_exact_top_k, op5_toxicity_ordinal, op6_token_id_files, op7_best_fit_packing,
     op8_latent_decontamination, op9_substring_dedup, op10_minhash_near_dedup)
 
 

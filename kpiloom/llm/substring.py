@@ -248,10 +248,11 @@ def glue(starts: list[int], windows: list[int], size: int) -> list[tuple[int, in
 
 def with_spans(docs: DataFrame, cfg: Repeats, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, with their spans as array ``spans_`` (null: none)."""
-    found = (repeated_spans(docs, cfg, id_col, text_col).groupBy("id", "version")
+    found = (repeated_spans(docs, cfg, id_col, text_col).groupBy(F.col("id").alias("span_id_"), F.col("version").alias("span_version_"))
              .agg(F.collect_list(F.struct("start", "windows")).alias("spans_")))
     mine = docs.withColumn("id_", F.col(id_col).cast("long")).withColumn("version_", _version(F.col(text_col).cast("string")))
-    return mine.join(found, (F.col("id_") == found["id"]) & (F.col("version_") == found["version"]), "left").drop("id", "version", "id_", "version_")
+    fits = (F.col("id_") == F.col("span_id_")) & (F.col("version_") == F.col("span_version_"))
+    return mine.join(found, fits, "left").drop("span_id_", "span_version_", "id_", "version_")
 
 
 def kept_words(docs: DataFrame, cfg: Repeats = Repeats(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

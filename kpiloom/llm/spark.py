@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from kpiloom.session import checkpoint_root, scratch_path
 
 
+ARROW_ROWS = 1000
+ARROW_BYTES = 8 << 20
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write to a new table in the shared checkpoint folder and read it back: lineage is cut there."""
     spark = df.sparkSession
@@ -60,7 +64,9 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> None:
-    """This package for the Python workers, as by ``--py-files``."""
+    """Small Arrow batches (texts are long), and this package for the Python workers, as by ``--py-files``."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     sc = spark.sparkContext
     if getattr(sc, "_kpiloom_shipped", False):
         return

@@ -6,12 +6,13 @@
 3. Classes that share a band meet in a bucket. A bucket proposes a star only: each member with one
    centre, chosen anew for each band, so pairs grow with rows and not with their square.
 4. Every proposed pair is confirmed on the full sets. Confirmed links give components.
-5. Buckets whose members are still in several components could hide further links. Their members are
-   compared in blocks inside tasks by signature; only pairs of different components whose estimated
-   similarity is within ``margin`` of the threshold are emitted, then confirmed on the full sets.
+5. Buckets whose members are still in several components could hide further links. Their rows outside
+   the bucket's largest component meet all others in blocks inside tasks: signatures sort out pairs
+   more than ``margin`` below the threshold, the full sets decide the rest, and pairs whose components
+   have met are skipped. Only links come out, at most one per union.
 
 So no link is lost to the stars. What remains is the banding's own miss rate: 1.2e-7 for a pair at
-similarity 0.8 with 40 bands of 5 rows, and less above.
+similarity 0.8 with 40 bands of 5 rows, and less above. Sets are compared by 48-bit shingle hashes.
 
 Defined cases: null or empty texts and texts without words have the empty set, no links, and are kept;
 texts shorter than a shingle have their whole word sequence as one shingle; equal rows share a class;
@@ -42,7 +43,7 @@ class MinHash:
     rows: int = 5
     lower: bool = True      # lower-case A-Z
     margin: float = 0.15    # below the threshold, for the signature estimate of step 5 (five sigmas)
-    block: int = 512        # members of one bucket compared at once in step 5
+    block: int = 512        # rows of one bucket and side compared at once in step 5
 
     @property
     def bins(self) -> int:
@@ -116,7 +117,7 @@ def _sketches(cfg: MinHash):
                 node = np.array([int(mix(np.bitwise_xor.reduce(mix(s)) + s.sum()[None])[0] >> _U(1)) if len(s) else 0
                                  for s in sets], np.int64)
                 keys = band_keys(sig, cfg).view(np.int64)
-                small = (sig & _U(0xFFFF)).astype(np.uint16)
+                small = (sig & _U(0xFF)).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays([
                     ids.slice(first, len(sets)), pa.array(n), pa.array(node),
                     pa.ListArray.from_arrays(np.arange(0, keys.size + 1, cfg.bands, dtype=np.int32), pa.array(keys.reshape(-1))),
@@ -129,7 +130,7 @@ def _sets(cfg: MinHash):
         for batch in batches:
             for first, sets in shingle_sets(batch.column(1), cfg.shingle, cfg.lower):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(sets)),
-                                                  pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "members"])
+                                                  pa.array([store_set(s) for s in sets], pa.binary())], ["node", "members"])
     return run
 
 
@@ -137,37 +138,66 @@ def _confirm(cfg: MinHash):
     def run(batches):
         for batch in batches:
             a, b = batch.column(0), batch.column(1)
-            ok = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * both >= cfg.percent * (len(x) + len(y) - both))
-            keep = pa.array(ok, pa.bool_())
+            keep = pa.array([linked(load_set(x), load_set(y), cfg) for x, y in zip(batch.column(2), batch.column(3), strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], ["a", "b"])
     return run
 
 
+def store_set(s: np.ndarray) -> bytes:
+    """The leading 48 bits of sorted hashes."""
+    return np.ascontiguousarray((s >> _U(16)).view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def load_set(x: pa.Scalar) -> np.ndarray:
+    raw = np.frombuffer(x.as_buffer(), np.uint8).reshape(-1, 6)
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[:, :6] = raw
+    return out.view(_U).reshape(-1)
+
+
+def linked(x: np.ndarray, y: np.ndarray, cfg: MinHash) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= cfg.percent * (len(x) + len(y) - both)
+
+
 def _crossing(cfg: MinHash):
-    """Pairs of different components in one block (or two) of a bucket that may be links."""
+    """Links between different components of one bucket: rows of the left side with those of the right."""
     def run(key, rows):
-        i, j, band = key[1].as_py(), key[2].as_py(), key[3].as_py()
-        part = rows["part"].to_numpy()
-        node, comp, n = (rows[c].to_numpy() for c in ("node", "comp", "n"))
-        sig = np.frombuffer(b"".join(rows["sig"].to_pylist()), np.uint16).reshape(len(node), cfg.bins)
-        left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
+        band = key[1].as_py()
+        node, comp, n, left, right = (rows[c].to_numpy() for c in ("node", "comp", "n", "left", "right"))
+        sig = np.frombuffer(b"".join(rows["sig"].to_pylist()), np.uint8).reshape(len(node), cfg.bins)
+        members = rows["members"].combine_chunks()
+        sets: dict[int, np.ndarray] = {}
+        group = {int(c): int(c) for c in np.unique(comp)}
         least = (cfg.percent / 100 - cfg.margin) * cfg.bins
-        out_a, out_b = [], []
-        for x in left:
-            y = right[right > x] if i == j else right
-            y = y[(comp[y] != comp[x]) & (100 * np.minimum(n[y], n[x]) >= cfg.percent * np.maximum(n[y], n[x]))]
-            if len(y):
-                same = sig[y] == sig[x]
-                agree = same.reshape(len(y), cfg.bands, cfg.rows).all(axis=2)
-                y = y[(same.sum(axis=1) >= least) & ~agree[:, :band].any(axis=1)]   # told by its first shared band
-                out_a.append(np.minimum(node[y], node[x]))
-                out_b.append(np.maximum(node[y], node[x]))
-        cat = lambda v: np.concatenate(v) if v else np.zeros(0, np.int64)
-        return pa.table({"a": cat(out_a), "b": cat(out_b)})
+        out = []
+
+        def root(c: int) -> int:
+            while group[c] != c:
+                group[c] = c = group[group[c]]
+            return c
+
+        def full(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = load_set(members[i])
+            return sets[i]
+
+        others = np.flatnonzero(right)
+        for x in np.flatnonzero(left).tolist():
+            y = others[(comp[others] != comp[x]) & (100 * np.minimum(n[others], n[x]) >= cfg.percent * np.maximum(n[others], n[x]))]
+            if not len(y):
+                continue
+            same = sig[y] == sig[x]
+            agree = same.reshape(len(y), cfg.bands, cfg.rows).all(axis=2)
+            total = same.sum(axis=1)
+            maybe = np.flatnonzero((total >= least) & ~agree[:, :band].any(axis=1))     # met in their first shared band
+            for i in maybe[np.argsort(-total[maybe], kind="stable")].tolist():
+                z = int(y[i])
+                a, b = root(int(comp[x])), root(int(comp[z]))
+                if a != b and linked(full(x), full(z), cfg):
+                    group[max(a, b)] = min(a, b)
+                    out.append((int(node[x]), int(node[z])))
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
     return run
 
 
@@ -184,7 +214,7 @@ def near_duplicates(docs: DataFrame, cfg: MinHash = MinHash(), id_col: str = "do
     places = classes.select("node", F.posexplode("bands").alias("band", "key"))
     stars = (places.groupBy("band", "key").agg(F.count("*").alias("size"), F.min(F.col("node").bitwiseXOR(masks)).alias("low"))
              .where("size > 1").withColumn("centre", F.col("low").bitwiseXOR(masks)))
-    members = materialise(places.join(stars, ["band", "key"]).select("node", "band", "key", "size", "centre"), "members")
+    members = materialise(places.join(stars, ["band", "key"]).select("node", "band", "key", "centre"), "members")
 
     size = classes.select(F.col("node").alias("m"), F.col("n").alias("m_n"))
     near = lambda x, y: (F.lit(100) * F.least(x, y) >= F.lit(cfg.percent) * F.greatest(x, y))
@@ -206,18 +236,27 @@ def near_duplicates(docs: DataFrame, cfg: MinHash = MinHash(), id_col: str = "do
     links = materialise(confirmed(edges), "links")
     label = components(links)
 
-    # Buckets that still hold several components: compare in blocks, across components only.
-    grouped = members.join(label, members.node == label.id, "left").select(
-        "node", "band", "key", "size", F.coalesce("comp", "node").alias("comp"))
-    mixed = grouped.groupBy("band", "key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("band", "key")
-    parts = F.ceil(F.col("size") / cfg.block).cast("int")
-    open_rows = (grouped.join(mixed, ["band", "key"]).join(classes.select("node", "n", "sig"), "node")
-                 .withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
-                 .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-                 .select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "band",
-                         "node", "comp", "n", "sig", "part"))
-    crossing = (open_rows.groupBy("key", "i", "j", "band").applyInArrow(_crossing(cfg), "a long, b long").distinct())
-    more = materialise(confirmed(crossing), "more-links")
+    # Buckets that still hold several components: their smaller components against all others.
+    grouped = members.join(label, members.node == label.id, "left").select("node", "band", "key", F.coalesce("comp", "node").alias("comp"))
+    shares = grouped.groupBy("band", "key", "comp").agg(F.count("*").alias("k"))
+    mixed = (shares.groupBy("band", "key").agg(F.max(F.struct("k", "comp")).alias("top"), F.sum("k").alias("all"))
+             .where(F.col("all") > F.col("top.k")).select("band", "key", "all", F.col("top.k").alias("most"), F.col("top.comp").alias("main")))
+    rows = (grouped.join(mixed, ["band", "key"]).join(classes.select("node", "n", "sig"), "node").join(sets, "node")
+            .withColumn("small", F.col("comp") != F.col("main")))
+    own = F.when(F.col("small"), F.col("all") - F.col("most")).otherwise(F.col("most"))
+    parts = lambda size: F.ceil(size / cfg.block).cast("int")
+    mine = F.pmod(F.xxhash64("node"), parts(own)).cast("int")
+    small_parts, main_parts = parts(F.col("all") - F.col("most")), parts(F.col("most"))
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    place = lambda kind, i, j, left, right: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), left.alias("left"), right.alias("right"))
+    zero, yes, no = F.lit(0), F.lit(True), F.lit(False)
+    # Up to ``block`` rows: one group. Else small x main and small x small, part by part.
+    places_ = (F.when(F.col("all") <= cfg.block, F.array(place(0, zero, zero, F.col("small"), yes)))
+               .when(~F.col("small"), F.transform(upto(small_parts), lambda i: place(1, i, mine, no, yes)))
+               .otherwise(F.concat(F.transform(upto(main_parts), lambda j: place(1, mine, j, yes, no)),
+                                   F.transform(upto(small_parts), lambda o: place(2, F.least(mine, o), F.greatest(mine, o), mine <= o, mine >= o)))))
+    dealt = rows.withColumn("p", F.explode(places_)).select("key", "band", "p.*", "node", "comp", "n", "sig", "members")
+    more = materialise(dealt.groupBy("key", "band", "kind", "i", "j").applyInArrow(_crossing(cfg), "a long, b long"), "more-links")
     label = components(links.union(more))
 
     # Members of a class share a node, classes of a component its smallest document id.

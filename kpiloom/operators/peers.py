@@ -4,13 +4,14 @@ For every subject row (month, asset, metric) with enough peers: the peer median,
 the subject's rank among peers + subject (1 = best, ties share a rank), signed gaps (positive =
 ahead) and their 12-row changes.
 
-Plan: peers are joined to the subject rows once, on the three keys, then *one* grouped aggregate
-computes every statistic and the rank. The rank is ``1 + count(peers strictly better)``, which is
-``rank()`` for a unique subject key but needs no sort and no second join. The mean is an
-order-independent split sum, so it is the same whatever the partitioning. All aggregates are
-partial (map-side) aggregates, so a key holding a third of all peer rows is pre-combined in every
-task instead of landing whole in one. The 12-row change is a window on (asset, metric) over the
-aggregated rows (one row per month per series).
+Plan: a key that holds a third of all peer rows must not land in one task, so no raw peer row is
+shuffled by the keys alone. The statistics are partial aggregates of the peers, combined in every
+task before their shuffle; clubs are counted in two levels, by (key, club) and then by key. The
+rank is ``1 + count(peers strictly better)``, which is ``rank()`` for one subject row per key but
+needs no sort: peers meet the subject on the keys and a salt (the subject, one row per key, is
+repeated for each salt), are counted per salt, and the counts are added up. A repeated subject key
+counts as one row with its largest value. The 12-row change is a window on (asset, metric) over
+the aggregated rows (one row per month per series).
 """
 
 from __future__ import annotations
@@ -49,22 +50,25 @@ def split_extra_source(wide: DataFrame, subject_id: str, asset_name: str, measur
 def peer_stats(subject: DataFrame, peers: DataFrame, metric_dim: DataFrame | None = None,
                cfg: PeerConfig = PeerConfig()) -> DataFrame:
     """AGG1-2 + WIN7: one row per benchmarked subject key with stats, rank and polarity."""
-    subj = with_polarity(subject.select(*KEYS, F.col("metric_value").alias("subject_value")),
+    keys = list(KEYS)
+    subj = with_polarity(subject.groupBy(*KEYS).agg(F.max("metric_value").alias("subject_value")),
                          metric_dim, cfg.default_polarity)
     pe = peers.select(*KEYS, "peer_value", "club")
-    j = pe.join(subj, list(KEYS), "inner")
-    better = (F.col("peer_value") * F.col("polarity")) > (F.col("subject_value") * F.col("polarity"))
-    stats = j.groupBy(*KEYS).agg(
+    stats = pe.groupBy(*KEYS).agg(
         F.percentile_approx("peer_value", 0.5, cfg.median_accuracy).alias("peer_median"),
         split_mean(F.col("peer_value")).alias("peer_mean"),
         F.max("peer_value").alias("peer_max_value"),
         F.min("peer_value").alias("peer_min_value"),
-        F.count_distinct("club").alias("club_count"),
-        (F.count_if(better) + 1).cast("int").alias("subject_rank"),
-        F.max("subject_value").alias("subject_value"),
-        F.max("polarity").alias("polarity"),
     )
-    return stats.filter(F.col("club_count") >= cfg.min_clubs)
+    clubs = pe.groupBy(*KEYS, "club").agg(F.count("*").alias("rows")).groupBy(*KEYS).agg(F.count("club").alias("club_count"))
+    salted = pe.withColumn("salt", F.pmod(F.xxhash64("club", "peer_value"), F.lit(cfg.salts)))
+    spread = subj.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cfg.salts - 1).cast("long"))))
+    better = (F.col("peer_value") * F.col("polarity")) > (F.col("subject_value") * F.col("polarity"))
+    ahead = (salted.join(spread, [*keys, "salt"]).groupBy(*KEYS, "salt").agg(F.count_if(better).alias("ahead"))
+             .groupBy(*KEYS).agg((F.sum("ahead") + 1).cast("int").alias("subject_rank")))
+    joined = subj.join(stats, keys).join(clubs.filter(F.col("club_count") >= cfg.min_clubs), keys).join(ahead, keys)
+    return joined.select(*KEYS, "peer_median", "peer_mean", "peer_max_value", "peer_min_value", "club_count",
+                         "subject_rank", "subject_value", "polarity")
 
 
 def peer_rank_gap(stats: DataFrame) -> DataFrame:

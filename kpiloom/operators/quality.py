@@ -3,13 +3,9 @@
 Each check yields one result row ``(run_id, table_name, check_name, severity, status,
 issue_count, issue_details)``; PASS iff no issue. The results are one lazy DataFrame.
 
-Plan: instead of one count job per check, each fact is scanned once, by one linear chain of
-aggregations with no branches (branches would each rescan the fact: column pruning makes their
-subplans differ, so Spark cannot reuse the shuffle). The internal fact is grouped by its key with
-every row-level condition counted in that aggregate, then by series (month coverage, duplicates),
-then by month count, then to one row; distinct months travel as bitmaps. The benchmark fact is
-grouped by (key, club), then by key, then to one row. All aggregates are partial, so a hot key is
-pre-combined in every task. The gate collects the result rows (one per check).
+Plan: three aggregations of the internal fact (row conditions, keys, months) and one of the benchmark
+fact, all partial, so a hot key is pre-combined in every task. Any date is a month: months are counted
+as distinct values, with no range. The gate collects the result rows (one per check).
 """
 
 from __future__ import annotations
@@ -50,7 +46,12 @@ class QualityConfig:
     benchmark_keys: tuple[str, ...] = BENCHMARK_KEYS
     expected_clubs: int = 5
     rate_pattern: str = DQ_RATE_PATTERN
-    severity: str = REQUIRED
+    severity: str = REQUIRED                                # of every check that ``severities`` does not name
+    benchmark_conditions: tuple[tuple[str, str], ...] = ()
+    severities: tuple[tuple[str, str], ...] = ()            # (check name, severity); only REQUIRED ones block
+
+    def severity_of(self, check: str) -> str:
+        return dict(self.severities).get(check, self.severity)
 
 
 def violated(condition: str) -> Column:
@@ -63,86 +64,77 @@ def out_of_unit_range(value: Column) -> Column:
     return (value < 0) | (value > 1) | F.isnan(value)
 
 
-def _rows(run_id: str, severity: str, specs: Sequence[tuple[str, str, Column, Column]]) -> Column:
+def _rows(run_id: str, cfg: QualityConfig, specs: Sequence[tuple[str, str, Column, Column]]) -> Column:
     """Array of result structs from (table, check, issue_count, details) specs, for ``inline``."""
     return F.array(*[
         F.struct(F.lit(run_id).alias("run_id"), F.lit(t).alias("table_name"), F.lit(c).alias("check_name"),
-                 F.lit(severity).alias("severity"),
+                 F.lit(cfg.severity_of(c)).alias("severity"),
                  F.when(n == 0, F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"),
                  n.cast("long").alias("issue_count"), d.alias("issue_details"))
         for t, c, n, d in specs])
 
 
-MONTH_BASE_YEAR = 1000          # month bit positions cover 1000-01 .. 3729-12 (one 32768-bit bitmap)
+def condition_specs(table_name: str, conditions: Sequence[tuple[str, str]]) -> tuple[list[Column], list[tuple[str, str, Column, Column]]]:
+    """DQ2: aggregates that count violations, and the result rows that read them."""
+    names = [f"c{i}" for i in range(len(conditions))]
+    counts = [F.count_if(violated(expr)).alias(c) for c, (_, expr) in zip(names, conditions, strict=True)]
+    return counts, [(table_name, name, F.col(c), F.lit(DQ_CONDITION_DETAILS.format(expr)))
+                    for c, (name, expr) in zip(names, conditions, strict=True)]
+
+
+def duplicates(fact: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """DQ3: one row, the number of keys that occur more than once."""
+    return fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.count_if(F.col("n") > 1).alias("dupes"))
 
 
-def month_bit(month: Column) -> Column:
-    """Bit position of a month in a single bitmap bucket; months outside the range are an error."""
-    pos = (F.year(month) - MONTH_BASE_YEAR) * 12 + F.month(month) - 1
-    return F.when(pos.between(0, 32767) | month.isNull(), pos).otherwise(
-        F.raise_error(F.lit("month outside the supported range 1000-01 .. 3729-12")))
+def month_coverage(fact: DataFrame) -> DataFrame:
+    """DQ5 + AGG9: one row, distinct dates of the fact (NULL counts as one) and series with other counts."""
+    per_month = fact.groupBy("asset_name", "metric_name", "month").agg(F.count(F.lit(1)).alias("n"))
+    series = per_month.groupBy("asset_name", "metric_name").agg(F.count("month").alias("months"))
+    total = fact.select("month").distinct().agg(F.count(F.lit(1)).alias("months_total"))      # one row
+    return series.groupBy("months").agg(F.count(F.lit(1)).alias("series")).crossJoin(F.broadcast(total)).agg(
+        F.coalesce(F.max("months_total"), F.lit(0)).alias("months_total"),
+        F.coalesce(F.sum(F.when(F.col("months") != F.col("months_total"), F.col("series"))), F.lit(0)).alias("incomplete"))
 
 
 def internal_checks(fact: DataFrame, table_name: str, run_id: str,
                     cfg: QualityConfig = QualityConfig()) -> DataFrame:
-    """DQ2, DQ3, DQ5, DQ6 over the internal fact as one linear aggregation (one scan).
-
-    key -> series -> month-count -> one row. Distinct months travel as bitmaps (built-in bitmap
-    aggregates), so the overall month total and every series' coverage come out of the same pass;
-    the month-count level holds at most one row per possible count (bounded by the calendar).
-    """
+    """DQ2, DQ3, DQ5, DQ6 over the internal fact."""
     keys = list(cfg.internal_keys)
     rate_bad = F.col("metric_name").rlike(cfg.rate_pattern) & out_of_unit_range(F.col("metric_value"))
-    conds = [f"c{i}" for i in range(len(cfg.conditions))]
-    sums = ("rate_bad", *conds)
-    per_key = fact.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(rate_bad).alias("rate_bad"),
-        *[F.count_if(violated(expr)).alias(c) for c, (_, expr) in zip(conds, cfg.conditions)])
-    per_series = per_key.groupBy("asset_name", "metric_name").agg(
-        F.count("month").alias("months"),                     # non-NULL months of the series
-        F.count_if(F.col("n") > 1).alias("dupes"),
-        F.max(F.col("month").isNull().cast("int")).alias("null_month"),
-        F.bitmap_construct_agg(month_bit(F.col("month"))).alias("bits"),
-        *[F.sum(c).alias(c) for c in sums])
-    per_count = per_series.groupBy("months").agg(
-        F.count(F.lit(1)).alias("series"), F.sum("dupes").alias("dupes"), F.max("null_month").alias("null_month"),
-        F.bitmap_or_agg("bits").alias("bits"), *[F.sum(c).alias(c) for c in sums])
-    one = per_count.agg(
-        (F.bitmap_count(F.bitmap_or_agg("bits")) + F.max("null_month")).alias("months_total"),
-        F.collect_list(F.struct("months", "series")).alias("hist"),
-        F.sum("dupes").alias("dupes"), *[F.sum(c).alias(c) for c in sums])
-    total = F.col("months_total")
-    incomplete = F.aggregate(F.filter("hist", lambda h: h["months"] != total), F.lit(0).cast("long"),
-                             lambda acc, h: acc + h["series"])
+    counts, specs = condition_specs(table_name, cfg.conditions)
+    rows = fact.agg(F.count_if(rate_bad).alias("rate_bad"), *counts)
     before, after = DQ_MONTH_COVERAGE_DETAILS.split("{}")
-    specs = [(table_name, name, F.coalesce(F.col(c), F.lit(0)), F.lit(DQ_CONDITION_DETAILS.format(expr)))
-             for c, (name, expr) in zip(conds, cfg.conditions)]
-    specs += [
-        (table_name, DQ_DUPLICATE_NAME.format(", ".join(keys)), F.coalesce(F.col("dupes"), F.lit(0)),
-         F.lit(DQ_DUPLICATE_DETAILS.format(keys))),
-        (table_name, DQ_MONTH_COVERAGE_NAME, incomplete,
-         F.concat(F.lit(before), F.coalesce(total, F.lit(0)).cast("string"), F.lit(after))),
-        (table_name, DQ_RATE_NAME, F.coalesce(F.col("rate_bad"), F.lit(0)), F.lit(DQ_RATE_DETAILS)),
+    results = [
+        rows.select(F.inline(_rows(run_id, cfg, [
+            *specs, (table_name, DQ_RATE_NAME, F.col("rate_bad"), F.lit(DQ_RATE_DETAILS))]))),
+        duplicates(fact, keys).select(F.inline(_rows(run_id, cfg, [
+            (table_name, DQ_DUPLICATE_NAME.format(", ".join(keys)), F.col("dupes"), F.lit(DQ_DUPLICATE_DETAILS.format(keys)))]))),
+        month_coverage(fact).select(F.inline(_rows(run_id, cfg, [
+            (table_name, DQ_MONTH_COVERAGE_NAME, F.col("incomplete"),
+             F.concat(F.lit(before), F.col("months_total").cast("string"), F.lit(after)))]))),
     ]
-    return one.select(F.inline(_rows(run_id, cfg.severity, specs)))
+    return results[0].unionByName(results[1]).unionByName(results[2])
 
 
 def benchmark_checks(fact: DataFrame, table_name: str, run_id: str,
                      cfg: QualityConfig = QualityConfig()) -> DataFrame:
-    """DQ3 and DQ4 over the benchmark fact as one linear aggregation (one scan)."""
+    """DQ2, DQ3 and DQ4 over the benchmark fact; duplicates and coverage share one aggregation."""
     keys = list(cfg.benchmark_keys)
     group_keys = [k for k in keys if k != "club"]
     per_club = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     per_key = per_club.groupBy(*group_keys).agg(F.count("club").alias("clubs"),
                                                 F.count_if(F.col("n") > 1).alias("dupes"))
-    one = per_key.agg(F.sum("dupes").alias("dupes"),
+    one = per_key.agg(F.coalesce(F.sum("dupes"), F.lit(0)).alias("dupes"),
                       F.count_if(F.col("clubs") != cfg.expected_clubs).alias("bad"))
-    return one.select(F.inline(_rows(run_id, cfg.severity, [
-        (table_name, DQ_DUPLICATE_NAME.format(", ".join(keys)), F.coalesce(F.col("dupes"), F.lit(0)),
+    out = one.select(F.inline(_rows(run_id, cfg, [
+        (table_name, DQ_DUPLICATE_NAME.format(", ".join(keys)), F.col("dupes"),
          F.lit(DQ_DUPLICATE_DETAILS.format(keys))),
         (table_name, DQ_PEER_COVERAGE_NAME.format(cfg.expected_clubs), F.col("bad"),
          F.lit(DQ_PEER_COVERAGE_DETAILS.format(cfg.expected_clubs))),
     ])))
+    counts, specs = condition_specs(table_name, cfg.benchmark_conditions)
+    return out.unionByName(fact.agg(*counts).select(F.inline(_rows(run_id, cfg, specs)))) if specs else out
 
 
 def quality_checks(internal: DataFrame, benchmark: DataFrame, run_id: str,
@@ -170,5 +162,5 @@ def quality_gate(results: DataFrame, log_path: str | None = None, log_format: st
     failures = [r for r in rows if r.severity == REQUIRED and r.issue_count > 0]
     if failures:
         lines = [f"{r.table_name} :: {r.check_name} :: {r.issue_count} issues" for r in failures]
-        raise QualityGateError("Quality gate failed. Required checks did not pass:\n- " + "\n- ".join(lines))
+        raise QualityGateError(f"{len(lines)} required quality check(s) failed:\n- " + "\n- ".join(lines))
     return local

@@ -9,7 +9,7 @@ row per month, as in a month x feature pivot), so ``lag`` steps over that list,
 
 Plan: one Spark job, no driver loop.
 * the distinct-month list is tiny (one row per calendar month) and is the only data ever ordered
-  without a partition key; it is numbered and broadcast (its size is bounded by the calendar);
+  without a partition key; it is numbered, and broadcast behind a size check;
 * the (candidate, target, lag) list is a parameter table, broadcast behind a size check;
 * only the configured series are aggregated (broadcast semi-join before the shuffle); the month
   list alone is taken from the whole fact;
@@ -87,8 +87,8 @@ def lag_correlations(fact: DataFrame, candidates: Sequence[tuple[str, str, str]]
     """JN10 + AGG11: per (candidate, target, lag): aligned pair count and Pearson correlation."""
     spark = fact.sparkSession
     pairs = sized_broadcast(pair_table(spark, candidates, targets, lags))
-    # One row per distinct month: bounded by the calendar span, not by data volume.
-    pos = F.broadcast(month_positions(fact))
+    # One row per distinct month of the fact; broadcast only behind the size check.
+    pos = sized_broadcast(month_positions(fact))
     # Only the configured series are shuffled: a broadcast semi-join on their keys runs map-side.
     keys = [(a, m) for a, m, _ in candidates] + list(targets)
     wanted = sized_broadcast(literal_rows(spark, sorted(set(keys)), "asset_name string, metric_name string"))
@@ -105,6 +105,9 @@ def lag_correlations(fact: DataFrame, candidates: Sequence[tuple[str, str, str]]
                       & (F.col("metric_name") == F.col("target_metric"))).select(
         "target_asset", "target_metric", F.col("pos").alias("at"), F.col("v").alias("y"))
     aligned = src.join(tgt, ["target_asset", "target_metric", "at"])
+    # A pair counts only with both values: the count and all sums then run over the same rows.
+    present = [F.col(c).isNotNull() & ~F.isnan(c) for c in ("x", "y")]
+    aligned = aligned.filter(present[0] & present[1])
     return aligned.groupBy("source_ord", "target_ord", *PAIR_COLS, "template").agg(
         F.count(F.lit(1)).alias("n_pairs"),
         pearson("x", "y").alias("strength_score"),

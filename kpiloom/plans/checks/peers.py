@@ -90,6 +90,22 @@ def q_peer_rank_gap(spark: SparkSession, sf: str) -> DataFrame:
                     "gap_to_leader")
 
 
+@register("peer_rank_gap_repeated_subject", """
+, SR as (select month, asset_name, metric_name, max(metric_value) as metric_value
+         from (select * from S union all select month, asset_name, metric_name, metric_value * 1.5 from S) t group by 1, 2, 3)
+""" + BENCH_CTE.format(s="SR", p="P", k=5) + """
+select month, asset_name, metric_name, subject_value, peer_leader_value, subject_rank, gap_to_peer_median,
+       gap_to_leader from g
+""")
+def q_peer_rank_gap_repeated_subject(spark: SparkSession, sf: str) -> DataFrame:
+    """A subject key that occurs twice is ranked once, by its largest value."""
+    inp = Inputs(spark, sf, shared=True)
+    subject = inp.subject_fact()
+    twice = subject.unionByName(subject.withColumn("metric_value", F.col("metric_value") * 1.5))
+    g = peer_rank_gap(peer_stats(twice, inp.peer_fact(), inp.metric_dim()))
+    return g.select(*KEYS, "subject_value", "peer_leader_value", "subject_rank", "gap_to_peer_median", "gap_to_leader")
+
+
 @register("peer_benchmark", BENCH_CTE.format(s="S", p="P", k=5) + BENCH_SELECT)
 def q_peer_benchmark(spark: SparkSession, sf: str) -> DataFrame:
     inp = Inputs(spark, sf, shared=True)

@@ -95,6 +95,22 @@ def q_dq_results(spark: SparkSession, sf: str) -> DataFrame:
     return clean.unionByName(seeded)
 
 
+DATES_CTE = DQ_CTE + """
+, I2 as (select * from I0 union all
+         select cast(month + 30 as date), asset_name, metric_name, metric_value from I0 where day(month) = 1)
+"""
+
+
+@register("dq_results_any_date", DATES_CTE + dq_sql("dates", "I2", "B0").replace(
+    "'REQUIRED' as severity", "case when check_name like 'Complete%' then 'ADVISORY' else 'REQUIRED' end as severity"))
+def q_dq_results_any_date(spark: SparkSession, sf: str) -> DataFrame:
+    """Several dates in one calendar month are months of their own; one check does not block."""
+    internal, bench = facts(Inputs(spark, sf))
+    more = internal.unionByName(internal.filter(F.dayofmonth("month") == 1).withColumn("month", F.date_add("month", 30)))
+    cfg = QualityConfig(expected_clubs=24, severities=(("Complete monthly coverage by asset+metric", "ADVISORY"),))
+    return quality_checks(more, bench, "dates", "internal_fact", "benchmark_fact", cfg)
+
+
 @register("dq_gate_log", DQ_CTE + "select *, true as gate_raised from (" + dq_sql("seeded", "I1", "B1") + ") g")
 def q_dq_gate_log(spark: SparkSession, sf: str) -> DataFrame:
     """Seeded-bad run: the log is appended, the gate raises, the log is read back."""

@@ -54,6 +54,7 @@ cr as (
   from pr join ser x on x.asset_name = pr.source_asset and x.metric_name = pr.source_metric
           join ser y on y.asset_name = pr.target_asset and y.metric_name = pr.target_metric
                     and y.pos = x.pos + pr.lag_months
+  where x.v is not null and y.v is not null and not isnan(x.v) and not isnan(y.v)
   group by 1, 2, 3, 4, 5, 6, 7, 8)
 """
 SIGNALS_CTE = CORR_CTE.format(pairs=pairs_sql(FIXTURE_CANDIDATES, FIXTURE_TARGETS)) + """
@@ -91,6 +92,26 @@ def q_lag_correlations(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(out, "strength_score")
 
 
+@register("lag_correlations_missing_values", CORR_CTE.format(pairs=pairs_sql(WIDE_CANDIDATES, WIDE_TARGETS)).replace("from S", "from SM")
+          .replace(", mp as (", """
+, SM as (select month, asset_name, metric_name,
+                case when asset_name = 'building' and month(month) % 3 = 0 then null
+                     when asset_name = 'furniture' and month(month) % 4 = 0 then 'nan'::double else metric_value end as metric_value
+         from S), mp as (""", 1) + """
+select source_asset, source_metric, target_asset, target_metric, lag_months, n_pairs,
+       round(strength_score, 9) as strength_score from cr
+""")
+def q_lag_correlations_missing_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Every third target month without a value, every fourth source month NaN: such pairs do not count."""
+    month, v = F.month("month"), F.col("metric_value")
+    gaps = (F.when((F.col("asset_name") == "building") & (month % 3 == 0), F.lit(None).cast("double"))
+            .when((F.col("asset_name") == "furniture") & (month % 4 == 0), F.lit(float("nan"))).otherwise(v))
+    fact = Inputs(spark, sf, shared=True).subject_fact().withColumn("metric_value", gaps)
+    out = lag_correlations(fact, WIDE_CANDIDATES, WIDE_TARGETS).select(
+        "source_asset", "source_metric", "target_asset", "target_metric", "lag_months", "n_pairs", "strength_score")
+    return rounded(out, "strength_score")
+
+
 @register("signals_top", SIGNALS_CTE + """
 select source_asset, source_metric, target_asset, target_metric, lag_months, relationship_direction,
        round(strength_score, 9) as strength_score, validation_status, business_interpretation,

@@ -182,14 +182,8 @@ class Inputs:
         ).withColumn("metric_name", F.lit("value_sum")).select("day", "asset_name", "metric_name",
                                                                "metric_value")
 
-    def annotations(self, event_type: str = "purchase", quantile: float = 0.99,
-                    accuracy: int = 1_000_000) -> DataFrame:
-        """A: large events of one type (value at or above the global quantile) as annotations.
-
-        The quantile is a mergeable sketch (bounded memory per task), evaluated as a scalar
-        subquery; with this accuracy it is exact up to a million rows per sketch.
-        """
+    def annotations(self, event_type: str = "purchase", min_value: float = 220.0) -> DataFrame:
+        """A: events of one type from ``min_value`` on (a parameter, so the rule reads one row at a time)."""
         ev = self.table("events")
-        threshold = ev.select(F.percentile_approx("value", quantile, accuracy)).scalar()
-        return ev.filter((F.col("event_type") == event_type) & (F.col("value") >= threshold)).select(
+        return ev.filter((F.col("event_type") == event_type) & (F.col("value") >= min_value)).select(
             "event_id", F.to_date("ts").alias("event_day"), F.col("event_type").alias("asset_name"))

@@ -1,7 +1,7 @@
 """Independent SQL (DuckDB dialect) for the derived inputs, shared as CTEs by the oracles.
 
 This text is written separately from the Spark code: it uses exact decimal sums, DuckDB's
-UNPIVOT and ``quantile_disc``, and joins orders to line items directly.
+UNPIVOT, and joins orders to line items directly.
 """
 
 PREAMBLE = """
@@ -37,7 +37,7 @@ E as (
   from events group by 1, 2),
 A as (
   select event_id, cast(ts as date) as event_day, event_type as asset_name from events
-  where event_type = 'purchase' and value >= (select quantile_disc(value, 0.99) from events))
+  where event_type = 'purchase' and value >= 220.0)
 """
 
 

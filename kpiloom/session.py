@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -56,12 +55,14 @@ def cluster_conf(largest_shuffle_bytes: float, target_partition_bytes: int = 256
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster this is always set (a distributed file system path). Only when it is unset,
-    as in unit tests, do we create a local folder and register it.
+    On a cluster it must be set (a distributed file system path). Only a local session without it,
+    as in unit tests, gets a folder of this machine.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="kpiloom-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)        # DataFrame.checkpoint() needs it registered on the context
@@ -73,10 +74,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/kpiloom/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def ensure_parent(path: str) -> None:
-    if path.startswith("/"):
-        os.makedirs(os.path.dirname(path), exist_ok=True)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in whatever file system it names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

@@ -1,8 +1,8 @@
 """JSON configuration (SRC5) and tiny local relations (SRC6).
 
 The metric dictionary maps a metric name to ``{polarity, commercial_weight}``. It is read by Spark
-as one whole-text record and exploded into a small dimension, which the operators broadcast:
-its size is bounded by the number of configured metrics.
+as one whole-text record and exploded into a small dimension. A malformed or empty file, or a
+metric defined twice, is an error.
 """
 
 from __future__ import annotations
@@ -22,8 +22,13 @@ _WEIGHTS_TYPE = ("struct<formula_weights: struct<severity: double, persistence:
 def metric_dim_from_json(spark: SparkSession, path: str) -> DataFrame:
     """``{metric: {polarity, commercial_weight}}`` JSON file -> (metric_name, polarity, commercial_weight)."""
     raw = spark.read.text(path, wholetext=True)
-    entries = raw.select(F.explode(F.from_json("value", _DICT_TYPE)).alias("metric_name", "props"))
-    return entries.select(
+    parsed = F.from_json("value", _DICT_TYPE, {"mode": "FAILFAST"})
+    filled = F.when(F.size(parsed) > 0, parsed).otherwise(F.raise_error(F.lit("metric dictionary without entries")))
+    entries = raw.select(F.explode(filled).alias("metric_name", "props"))
+    # Several files may not define a metric twice: the joins on the dictionary would fan out.
+    unique = entries.groupBy("metric_name").agg(F.count("*").alias("n"), F.first("props").alias("props"))
+    props = F.when(F.col("n") == 1, F.col("props")).otherwise(F.raise_error(F.concat(F.lit("metric defined twice: "), "metric_name")))
+    return unique.select("metric_name", props.alias("props")).select(
         "metric_name",
         F.col("props.polarity").alias("polarity"),
         F.col("props.commercial_weight").alias("commercial_weight"),

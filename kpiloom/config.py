@@ -140,7 +140,6 @@ class PriorityConfig:
     rank_scores: tuple[tuple[int, float], ...] = ((5, 1.0), (4, 0.8), (3, 0.4))
     # Evidence lists every other active metric of the same (month, asset): quadratic in that group.
     # Keys are unique and metrics come from a bounded allowlist; a larger group is an input error.
-    max_group_metrics: int = 1000
 
 
 @dataclass(frozen=True)

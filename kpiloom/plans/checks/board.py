@@ -18,12 +18,14 @@ select month, priority_id, priority_title, priority_category, priority_score,
 from BD
 """)
 def q_priority_board(spark: SparkSession, sf: str) -> DataFrame:
-    return ranked_priorities(Gold(Inputs(spark, sf)).inputs()).select(*FLAT)
+    g = Gold(Inputs(spark, sf))
+    return ranked_priorities(g.scores(), signals=g.signals).select(*FLAT)
 
 
 @register("priority_board_json")
 def q_priority_board_json(spark: SparkSession, sf: str) -> DataFrame:
-    return priority_board(Gold(Inputs(spark, sf)).inputs())
+    g = Gold(Inputs(spark, sf))
+    return priority_board(g.scores(), signals=g.signals)
 
 
 PAYLOAD_TYPE = ("struct<score_components: struct<severity: double, persistence: double, peer_gap: double, "
@@ -50,7 +52,8 @@ def q_priority_board_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """The JSON payload parsed back (``from_json``) and flattened."""
     from pyspark.sql import functions as F
 
-    board = priority_board(Gold(Inputs(spark, sf)).inputs())
+    g = Gold(Inputs(spark, sf))
+    board = priority_board(g.scores(), signals=g.signals)
     p = F.from_json("supporting_metrics_json", PAYLOAD_TYPE)
     out = board.select("priority_id", "priority_rank", p.alias("p")).select(
         "priority_id", "priority_rank", "p.score_components.*", "p.severity_inputs.health_status",

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from kpiloom.config import CategoryRules, PriorityConfig
 from kpiloom.operators.health import kpi_health
 from kpiloom.operators.peers import peer_benchmark
-from kpiloom.operators.priority import active_scored, priority_inputs
+from kpiloom.operators.priority import active_scored, priority_inputs, scored_inputs
 from kpiloom.plans.checks.health import HEALTH_ROWS
 from kpiloom.plans.checks.peers import BENCH_CTE
 from kpiloom.plans.checks.signals import SIGNALS_CTE, fixture_signals
@@ -36,6 +36,9 @@ class Gold:
     def scored(self) -> DataFrame:
         return active_scored(self.health, self.bench, self.signals, self.weights_dim, FIXTURE_PRIORITY)
 
+    def scores(self) -> DataFrame:
+        return scored_inputs(self.health, self.bench, self.signals, self.weights_dim, FIXTURE_PRIORITY)
+
     def inputs(self) -> DataFrame:
         return priority_inputs(self.health, self.bench, self.signals, self.weights_dim, FIXTURE_PRIORITY)
 

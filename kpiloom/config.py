@@ -18,6 +18,69 @@ INTERNAL_HEADER_RENAMES = {"%android": "pct_android", "otherl_traffic_plays": "o
 # Raw label columns replaced by canonical asset tags.
 RAW_LABEL_COLUMNS = ("digital_active", "active_type")
 
+# Default metric dictionary: (polarity, commercial weight) of every known metric.
+METRIC_DICTIONARY = {
+    "unique_visitors": (1, 0.65),
+    "visits": (1, 0.55),
+    "page_views": (1, 0.5),
+    "international_visits": (1, 0.5),
+    "mobile_visits": (1, 0.45),
+    "search_organic_visits": (1, 0.55),
+    "social_organic_visits": (1, 0.5),
+    "marketing_visits": (1, 0.55),
+    "other_channels_visits": (1, 0.4),
+    "consumption": (1, 0.6),
+    "bounce_rate": (-1, 0.55),
+    "recurrence": (1, 0.6),
+    "new_users": (1, 0.45),
+    "logged_users": (1, 0.45),
+    "purchases": (1, 0.85),
+    "items": (1, 0.75),
+    "net_sales": (1, 1.0),
+    "search_organic_purchases": (1, 0.55),
+    "social_organic_purchases": (1, 0.5),
+    "marketing_purchases": (1, 0.6),
+    "other_channels_purchases": (1, 0.45),
+    "cart_value": (1, 0.75),
+    "product_views_rate": (1, 0.5),
+    "card_addition_rate": (1, 0.6),
+    "checkout_rate": (1, 0.7),
+    "conversion_rate": (1, 0.95),
+    "daily_users": (1, 0.7),
+    "video_plays": (1, 0.65),
+    "streamers": (1, 0.6),
+    "subscriptions": (1, 0.9),
+    "search_organic_plays": (1, 0.45),
+    "social_organic_plays": (1, 0.45),
+    "marketing_plays": (1, 0.5),
+    "other_traffic_plays": (1, 0.4),
+    "subscription_rate": (1, 0.85),
+    "streamers_rate": (1, 0.6),
+    "video_recurrence": (1, 0.55),
+    "video_play_rate": (1, 0.55),
+    "video_progress_25_rate": (1, 0.5),
+    "video_progress_50_rate": (1, 0.55),
+    "video_progress_75_rate": (1, 0.6),
+    "video_complete_rate": (1, 0.65),
+    "app_downloads": (1, 0.5),
+    "matchday_visits": (1, 0.6),
+    "pct_android": (0, 0.2),
+    "organic_launch_visits": (1, 0.45),
+    "app_push_visits": (1, 0.5),
+    "deeplink_visits": (1, 0.45),
+    "other_channel_visits": (1, 0.35),
+    "session_time_avg": (1, 0.55),
+    "heavy_users": (1, 0.65),
+    "user_rating": (1, 0.7),
+    "total_engagement": (1, 0.7),
+    "avg_engagement_per_post": (1, 0.8),
+    "engagement_rate": (1, 0.9),
+    "instagram_engagement": (1, 0.75),
+    "total_posts": (0, 0.3),
+    "international_engagement_ratio": (1, 0.6),
+    "total_estimated_views": (1, 0.6),
+}
+
 # Measure allowlist of the internal sheets, in its original order (marketing_visits is listed twice).
 INTERNAL_ALLOWLIST = (
     "unique_visitors", "visits", "page_views", "international_visits", "mobile_visits",

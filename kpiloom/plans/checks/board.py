@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 
+from kpiloom.config import BoardConfig
 from kpiloom.operators.board import BOARD_COLUMNS, priority_board, ranked_priorities
 from kpiloom.plans.checks.gold import Gold, gold_sql
 from kpiloom.plans.fixtures import Inputs
 from kpiloom.plans.registry import register
+from kpiloom.session import scratch_path
+from kpiloom.sources.config_json import literal_rows, weights_from_json
 
 FLAT = [c for c in BOARD_COLUMNS if c != "supporting_metrics_json"]
 
@@ -28,6 +33,30 @@ def q_priority_board_json(spark: SparkSession, sf: str) -> DataFrame:
     return priority_board(g.scores(), signals=g.signals)
 
 
+JSON_WEIGHTS = {"severity": 0.1, "persistence": 0.15, "peer_gap": 0.2, "commercial": 0.25, "evidence": 0.3}
+
+
+def _reweighted(sql: str) -> str:
+    """The board's SQL with the weights of ``JSON_WEIGHTS`` in place of the defaults."""
+    for column, default, other in (("severity_score", 0.3, 0.1), ("persistence_score", 0.25, 0.15),
+                                   ("commercial_weight_score", 0.15, 0.25), ("supporting_evidence_score", 0.1, 0.3)):
+        sql = sql.replace(f"({column} * {default}::double)", f"({column} * {other}::double)")
+    return sql
+
+
+@register("board_weights_json", _reweighted(gold_sql(board=True)) + """
+select month, priority_id, priority_score, priority_rank from BD
+""")
+def q_board_weights_json(spark: SparkSession, sf: str) -> DataFrame:
+    """The board under scoring weights that are read from a JSON file."""
+    path = scratch_path(spark, "scoring_config")
+    text = json.dumps({"formula_weights": JSON_WEIGHTS}, indent=2)
+    literal_rows(spark, [(text,)], "value string").coalesce(1).write.text(path)
+    g = Gold(Inputs(spark, sf))
+    cfg = BoardConfig(weights=weights_from_json(spark, path))
+    return ranked_priorities(g.scores(), cfg, g.signals).select("month", "priority_id", "priority_score", "priority_rank")
+
+
 PAYLOAD_TYPE = ("struct<score_components: struct<severity: double, persistence: double, peer_gap: double, "
                 "commercial_weight: double, supporting_evidence: double>, "
                 "severity_inputs: struct<metric_value: double, health_status: string, trend_direction: string, "

@@ -10,6 +10,7 @@ from kpiloom.functions import guarded_relative_deviation, safe_z, trend
 from kpiloom.operators.health import kpi_health, lags_and_rolling, seasonal_stats
 from kpiloom.plans.fixtures import Inputs
 from kpiloom.plans.registry import register
+from kpiloom.sources.config_json import default_metric_dim
 
 # Health of the subject series as independent SQL; {order} and {frames} switch row/calendar mode.
 HEALTH_CTE = """
@@ -112,3 +113,15 @@ def q_kpi_health(spark: SparkSession, sf: str) -> DataFrame:
 def q_kpi_health_calendar(spark: SparkSession, sf: str) -> DataFrame:
     inp = Inputs(spark, sf)
     return kpi_health(inp.subject_fact(), inp.metric_dim(), HealthConfig(calendar=True))
+
+
+@register("health_default_dictionary", HEALTH_ROWS.replace("from S s)", "from SD s)", 1).replace("left join D d", "left join DD d").replace(", sk as (", """
+, SD as (select month, asset_name, case metric_name when 'return_rate' then 'bounce_rate' when 'units' then 'visits' else metric_name end as metric_name,
+                metric_value from S),
+DD as (select * from (values ('net_sales', 1), ('cart_value', 1), ('bounce_rate', -1), ('visits', 1)) t(metric_name, polarity)),
+sk as (""", 1) + HEALTH_SELECT)
+def q_health_default_dictionary(spark: SparkSession, sf: str) -> DataFrame:
+    """Health with the shipped dictionary; two measures take the names of known metrics (one of them better when low)."""
+    fact = Inputs(spark, sf).subject_fact()
+    known = F.when(F.col("metric_name") == "return_rate", "bounce_rate").when(F.col("metric_name") == "units", "visits")
+    return kpi_health(fact.withColumn("metric_name", F.coalesce(known, "metric_name")), default_metric_dim(spark))

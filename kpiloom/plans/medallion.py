@@ -16,6 +16,7 @@ Order (from reads and writes):
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,7 +49,7 @@ class MedallionConfig:
     board: BoardConfig = field(default_factory=BoardConfig)
     brief: BriefConfig = field(default_factory=BriefConfig)
     quality: QualityConfig = field(default_factory=QualityConfig)
-    fail_on_quality: bool = False
+    fail_on_quality: bool = True       # a failed required check stops the run before gold
     fmt: str = "parquet"
     partition_by_month: bool = False   # month folders on the facts and health: month filters prune files
 
@@ -88,7 +89,7 @@ class Medallion:
 
         t0 = time.time()
         try:
-            checks = quality_checks(internal, benchmark, run_id=f"run-{int(t0)}", cfg=cfg.quality)
+            checks = quality_checks(internal, benchmark, run_id=f"run-{uuid.uuid4()}", cfg=cfg.quality)
             quality_gate(checks, f"{self.root}/quality_log", self.fmt)
         except QualityGateError as e:
             self.quality_error = str(e)

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.config import Weights
+from kpiloom.config import METRIC_DICTIONARY, Weights
 
 DIM_SCHEMA = "metric_name string, polarity int, commercial_weight double"
 _DICT_TYPE = "map<string, struct<polarity: int, commercial_weight: double>>"
@@ -54,6 +54,11 @@ def metric_dim_from_dict(spark: SparkSession, entries: dict[str, tuple[int | Non
     return literal_rows(spark, rows, DIM_SCHEMA)
 
 
+def default_metric_dim(spark: SparkSession) -> DataFrame:
+    """The shipped dictionary: polarity and commercial weight of the known metrics."""
+    return metric_dim_from_dict(spark, METRIC_DICTIONARY)
+
+
 def weights_from_json(spark: SparkSession, path: str | None) -> Weights:
     """Scoring weights from ``{"formula_weights": {...}}``; defaults when no file is given.
 

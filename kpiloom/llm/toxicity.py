@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.words import Words, byte_sums, range_hashes, slices
+from kpiloom.llm.blobs import pack, unpack
+from kpiloom.llm.words import Words, range_hashes, slices
 
 _U = np.uint64
 
@@ -36,14 +37,14 @@ _U = np.uint64
 @dataclass(frozen=True)
 class Toxicity:
     sample_rows: int = 20_000
-    max_features: int = 4096
+    max_features: int = 1024
     min_docs: int = 5
-    min_z: float = 4.0
+    min_z: float = 5.0
     stems: tuple[int, ...] = (4, 5, 6)
     grade_at: tuple[int, ...] = (3, 8)      # marked words from which a positive text has grade 2, 3
     ridge: float = 2e-5
-    steps: int = 1000
-    reject_from: float = 0.25               # P(grade > 0) from which a text is rejected
+    steps: int = 400
+    reject_from: float = 0.15               # P(grade > 0) from which a text is rejected
 
 
 @dataclass(frozen=True)
@@ -58,13 +59,12 @@ class Model:
 
 
 def stems(w: Words, sizes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, document) of the word beginnings of a slice."""
-    sums = byte_sums(w.data, True)
+    """(hash, document) of the word beginnings of a slice (lower-cased when it was hashed)."""
     out, doc = [], []
     for k in sizes:
         at = np.flatnonzero(w.end - w.start >= k)
         s = w.start[at]
-        out.append(range_hashes(sums, s, s + k))
+        out.append(range_hashes(w.sums, s, s + k))
         doc.append(w.doc[at])
     return np.concatenate(out), np.concatenate(doc)
 
@@ -112,7 +112,7 @@ def fit_ordinal(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, grade: n
         g = np.concatenate([np.bincount(cols, values * -(d_hi + d_lo)[rows], n_features) + cfg.ridge * w,
                             g_gap[:1], g_gap[1:] * sig(gaps)])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        theta = theta - 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-10)
+        theta = theta - 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-10)
     w, first, gaps = theta[:n_features], theta[n_features], theta[n_features + 1:]
     return w, first + np.concatenate([[0.0], np.cumsum(np.log1p(np.exp(gaps)))])
 
@@ -163,18 +163,22 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: Toxicity = Toxicity(), id_col:
                 col.append(f)
                 val.append(k)
             if at:
-                ids = batch.column(0).take(pa.array(np.concatenate(at)))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate(col)), pa.array(np.concatenate(val).astype(np.int64))], ["id", "f", "k"])
-
-    grid = rows.mapInArrow(reduce, "id long, f long, k long").toPandas()
-    ids = rows.select("id", "y").toPandas()
-    ids = ids.drop_duplicates("id").reset_index(drop=True)
-    grid = grid.groupby(["id", "f"], as_index=False)["k"].max()
-    row = ids.reset_index().set_index("id")["index"].reindex(grid["id"]).to_numpy()
-    col, k = grid["f"].to_numpy(), grid["k"].to_numpy()
-    hits = np.bincount(row, k * marked[col], len(ids)) / len(cfg.stems) if len(features) else np.zeros(len(ids))
-    grade = np.where(ids["y"].to_numpy() > 0, 1 + sum((hits >= g).astype(int) for g in cfg.grade_at), 0)
-    levels, grade = np.unique(grade, return_inverse=True)
+                yield pa.RecordBatch.from_arrays([pa.array([pack(
+                    batch.column(2).to_numpy().astype(np.uint8), np.concatenate(at).astype(np.int32),
+                    np.concatenate(col).astype(np.int32), np.concatenate(val).astype(np.float32))], pa.binary())], ["part"])
+
+    y, row, col, k, docs_so_far = [], [], [], [], 0
+    for part in rows.mapInArrow(reduce, "part binary").toLocalIterator():     # sample_rows documents in all
+        labels_, at, f, n = unpack(part["part"])
+        y.append(labels_)
+        row.append(at + docs_so_far)
+        col.append(f)
+        k.append(n)
+        docs_so_far += len(labels_)
+    y, row, col, k = (np.concatenate(x) for x in (y, row, col, k))
+    hits = np.bincount(row, k * marked[col], len(y)) / len(cfg.stems) if len(features) else np.zeros(len(y))
+    grade = np.where(y > 0, 1 + sum((hits >= g).astype(int) for g in cfg.grade_at), 0)
+    grade = np.unique(grade, return_inverse=True)[1]
     w, cuts = fit_ordinal(row, col, np.log1p(k.astype(float)), grade, len(features), cfg)
     return Model(features, w, cuts)
 

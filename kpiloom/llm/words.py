@@ -66,6 +66,7 @@ class Words:
     last: int
     text_start: np.ndarray      # byte range of each of these documents
     text_end: np.ndarray
+    sums: np.ndarray            # running sums of the bytes, for hashes of other ranges
 
     def bounds(self) -> np.ndarray:
         """Offsets of each document's words, one more than there are documents."""
@@ -113,10 +114,11 @@ def hash_words(off: np.ndarray, data: np.ndarray, first: int, last: int, lower:
     ends[cut] |= word[cut]
     s = np.flatnonzero(starts)
     e = np.flatnonzero(ends) + 1
-    h = range_hashes(byte_sums(b, lower), s, e)
+    sums = byte_sums(b, lower)
+    h = range_hashes(sums, s, e)
     doc = np.searchsorted(off[first:last + 1] - base, s, side="right") - 1 + first
     cuts = off[first:last + 1] - base
-    return Words(h, doc, s, e, b, first, last, cuts[:-1], cuts[1:])
+    return Words(h, doc, s, e, b, first, last, cuts[:-1], cuts[1:], sums)
 
 
 def slices(column: pa.Array, lower: bool, limit: int = SLICE_BYTES) -> Iterator[Words]:

@@ -72,9 +72,7 @@ def ranked_ids(docs: DataFrame, cfg: IdFiles, run: str) -> np.ndarray:
         for batch in batches:
             enc = encoder(cfg.tokenizer, cfg.spaced, run)
             total = np.zeros(max(enc.size, cfg.end_id + 1), np.int64) if total is None else total
-            for _, ids, lengths in enc.encode(batch.column(0)):
-                total += np.bincount(ids, minlength=len(total))
-                total[cfg.end_id] += len(lengths)
+            total[cfg.end_id] += enc.count(batch.column(0), total)
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["token", "n"])
 

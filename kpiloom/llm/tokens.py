@@ -20,11 +20,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from kpiloom.llm.words import Words, byte_sums, range_hashes, slices
+from kpiloom.llm.words import Words, range_hashes, slices
 
 REMEMBERED = 2_000_000
 GROUP = 64
 _ODD = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80|<\|")
+_ODD_MARKS = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80", b"<|")
 _WORKER: dict = {}
 
 
@@ -112,9 +113,8 @@ class Encoder:
             out[i] = ids
         return out
 
-    def learn(self, h: np.ndarray, start: np.ndarray, end: np.ndarray, data: np.ndarray) -> np.ndarray:
-        """Index of every hash in what is remembered; unknown chunks are encoded first."""
-        u, first, inverse = np.unique(h, return_index=True, return_inverse=True)
+    def learn(self, u: np.ndarray, first: np.ndarray, start: np.ndarray, end: np.ndarray, raw: bytes) -> np.ndarray:
+        """Indices of distinct hashes in what is remembered; unknown chunks (at ``first``) are encoded first."""
         if len(self.keys) + len(u) > REMEMBERED and len(self.keys):
             self.clear()
         at = np.searchsorted(self.keys, u)
@@ -123,37 +123,53 @@ class Encoder:
             known = self.keys[at.clip(max=len(self.keys) - 1)] == u
         new = first[~known]
         if len(new):
-            raw = data.tobytes()
             ids = self._encode([raw[a:b].decode() for a, b in zip(start[new].tolist(), end[new].tolist(), strict=True)])
             n = np.array([len(x) for x in ids])
-            keys = np.concatenate([self.keys, u[~known]])
-            places = np.concatenate([self.at, len(self.ids) + np.cumsum(n) - n])
-            sizes = np.concatenate([self.n, n])
-            order = np.argsort(keys, kind="stable")
-            self.keys, self.at, self.n = keys[order], places[order], sizes[order]
+            where = at[~known]                  # both sides are sorted
+            self.keys = np.insert(self.keys, where, u[~known])
+            self.at = np.insert(self.at, where, len(self.ids) + np.cumsum(n) - n)
+            self.n = np.insert(self.n, where, n)
             self.ids = np.concatenate([self.ids, *ids])
             at = np.searchsorted(self.keys, u)
-        return at[inverse]
+        return at
 
-    def encode(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(first document, ids, number of ids of each document) for slices of a string column."""
-        for w in slices(column, False):
+    def _slices(self, column: pa.Array):
+        """(words, raw bytes, chunk bounds and documents, ids of texts that must be encoded whole)."""
+        for w in slices(column, False, 1 << 20):
             start, end, doc = chunks(w, self.spaced)
-            n_docs = w.last - w.first
-            odd = {}
-            if _ODD.search(w.data):
-                raw = w.data.tobytes()
+            raw, odd = w.data.tobytes(), {}
+            if any(x in raw for x in _ODD_MARKS) and _ODD.search(raw):
                 texts = [raw[a:b] for a, b in zip(w.text_start, w.text_end, strict=True)]
                 which = [i for i, x in enumerate(texts) if _ODD.search(x)]
                 odd = dict(zip(which, self._plain([texts[i].decode() for i in which]), strict=True))
                 keep = ~np.isin(doc - w.first, which)
                 start, end, doc = start[keep], end[keep], doc[keep]
-            h = range_hashes(byte_sums(w.data, False), start, end)
-            at = self.learn(h, start, end, w.data)
-            n = self.n[at]
-            total = int(n.sum())
-            ids = self.ids[np.repeat(self.at[at] - (np.cumsum(n) - n), n) + np.arange(total)]
-            lengths = np.bincount(doc - w.first, n, n_docs).astype(np.int64)
+            yield w, raw, start, end, doc, odd
+
+    def _ids(self, at: np.ndarray) -> np.ndarray:
+        n = self.n[at]
+        return self.ids[np.repeat(self.at[at] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+
+    def count(self, column: pa.Array, total: np.ndarray) -> int:
+        """Add the ids' counts to ``total``; returns the number of documents. Only distinct chunks are looked at."""
+        docs = 0
+        for w, raw, start, end, _, odd in self._slices(column):
+            u, first, n = np.unique(range_hashes(w.sums, start, end), return_index=True, return_counts=True)
+            at = self.learn(u, first, start, end, raw)
+            total += np.bincount(self._ids(at), np.repeat(n, self.n[at]), len(total)).astype(np.int64)
+            for ids in odd.values():
+                total += np.bincount(ids, minlength=len(total))
+            docs += w.last - w.first
+        return docs
+
+    def encode(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(first document, ids, number of ids of each document) for slices of a string column."""
+        for w, raw, start, end, doc, odd in self._slices(column):
+            n_docs = w.last - w.first
+            u, first, inverse = np.unique(range_hashes(w.sums, start, end), return_index=True, return_inverse=True)
+            at = self.learn(u, first, start, end, raw)[inverse]
+            ids = self._ids(at)
+            lengths = np.bincount(doc - w.first, self.n[at], n_docs).astype(np.int64)
             if odd:
                 parts, cut = [], np.append(0, np.cumsum(lengths))
                 for i in range(n_docs):

@@ -41,26 +41,37 @@ def partitions(df: DataFrame) -> int:
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of undirected ``links(a, b)``: (id, comp), comp the smallest id reachable.
 
-    Every round takes the smallest label among the neighbours (partial aggregates, so a node with
-    very many links is combined before the shuffle), then jumps to the label's own label. Rounds are
-    logarithmic for star-like links; each is checkpointed in the shared folder. Raises if
+    Each round every node takes the first node within two links, in an order drawn anew (partial aggregates,
+    so a node with very many links is combined before the shuffle), and the links between what is left are
+    kept: a star is settled in one round. Rounds are checkpointed in the shared folder. Raises if
     ``max_rounds`` is not enough; nothing is cut off.
     """
-    both = checkpointed(links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct())
-    labels = both.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("comp"))
-    labels = checkpointed(labels)
-    for _ in range(max_rounds):
-        near = (both.join(labels, both.b == labels.id).groupBy("a").agg(F.min("comp").alias("low")))
-        best = (labels.join(near, labels.id == near.a)
-                .select("id", F.least("comp", "low").alias("comp"), F.col("comp").alias("was")))
-        best = checkpointed(best)
-        jump = best.select(F.col("id").alias("mid"), F.col("comp").alias("top"))
-        labels = checkpointed(best.join(jump, best.comp == jump.mid, "left")
-                              .select("id", F.least("comp", F.coalesce("top", "comp")).alias("comp"), "was"))
-        if labels.where("comp <> was").isEmpty():
-            return labels.select("id", "comp")
-        labels = labels.select("id", "comp")
-    raise RuntimeError(f"components: not settled after {max_rounds} rounds")
+    a, b = F.least("a", "b"), F.greatest("a", "b")
+    edges = checkpointed(links.where("a <> b").select(a.alias("a"), b.alias("b")).distinct())
+    found = None
+    for r in range(max_rounds):
+        if edges.isEmpty():
+            break
+        order = lambda c: F.struct(F.xxhash64(F.lit(r), F.col(c)).alias("h"), F.col(c).alias("v"))  # noqa: B023, E731
+        both = edges.union(edges.select("b", "a"))
+        first = checkpointed(both.groupBy("a").agg(F.min(order("b")).alias("near"))
+                             .select(F.col("a").alias("id"), F.least(order("a"), F.col("near")).alias("m")))
+        second = both.join(first, both["b"] == first["id"]).groupBy("a").agg(F.min("m").alias("far"))
+        pick = checkpointed(first.join(second, first["id"] == second["a"]).select("id", F.least("m", "far")["v"].alias("to")))
+        left, right = pick.toDF("a", "x"), pick.toDF("b", "y")
+        edges = checkpointed(edges.join(left, "a").join(right, "b").where("x <> y")
+                             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        if found is None:
+            found = pick
+        else:
+            step = pick.select(F.col("id").alias("mid"), F.col("to").alias("next"))
+            found = checkpointed(found.join(step, found["to"] == step["mid"], "left").select("id", F.coalesce("next", "to").alias("to")))
+    else:
+        raise RuntimeError(f"components: not settled after {max_rounds} rounds")
+    if found is None:
+        return links.select(F.col("a").alias("id"), F.col("b").alias("comp")).where("false")
+    lowest = found.groupBy("to").agg(F.min("id").alias("comp"))
+    return checkpointed(found.join(lowest, "to").select("id", "comp"))
 
 
 def prepare(spark: SparkSession) -> None:

@@ -97,6 +97,28 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept_words(table(spark, sf_dir, "documents"), Repeats(window=20))
 
 
+OP9_SQL = r"""
+with w as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
+), starts as (
+  select doc_id, words, unnest(range(1, len(words) - 18)) as s from w
+), repeats as (
+  select doc_id, s from (
+    select doc_id, s, row_number() over (partition by array_to_string(words[s:s + 19], ' ') order by doc_id, s) as n from starts)
+  where n > 1
+), gone as (
+  select distinct doc_id, unnest(range(s, s + 20)) as p from repeats
+), places as (
+  select doc_id, unnest(words) as word, unnest(range(1, len(words) + 1)) as p from w
+), kept as (
+  select doc_id, string_agg(word, ' ' order by p) as text, count(*) as n from places anti join gone using (doc_id, p) group by doc_id
+)
+select w.doc_id, len(words)::bigint as n_words, (len(words) - coalesce(n, 0))::bigint as n_removed,
+       sha256(coalesce(kept.text, '')) as kept_sha256
+from w left join kept using (doc_id)
+"""
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of two-word shingles have similarity 0.8 or more."""
     prepare(spark)
@@ -113,4 +135,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_top_k": OP4_SQL}
+    return {"op4_exact_top_k": OP4_SQL, "op9_substring_dedup": OP9_SQL}

@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from kpiloom.llm.minhash import MinHash, load_set, near_duplicates, signatures, store_set
+from kpiloom.llm.minhash import MinHash, _crossing, load_set, near_duplicates, signatures, store_set
 from kpiloom.llm.words import mix
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -79,3 +79,17 @@ def test_stored_sets_keep_their_order():
     import pyarrow as pa
     s = np.sort(mix(np.arange(50, dtype=np.uint64)))
     assert (load_set(pa.scalar(store_set(s), pa.binary())) == s >> np.uint64(16)).all()
+
+
+def test_only_a_shared_bucket_counts_as_met():
+    """Signature bytes that agree in an earlier band by chance don't make it a shared bucket."""
+    import pyarrow as pa
+    cfg = MinHash(bands=2, rows=2, margin=0.3)
+    members = store_set(np.sort(mix(np.arange(50, dtype=np.uint64))))
+
+    def links(first_keys):
+        rows = pa.table({"node": [1, 2], "comp": [1, 2], "n": [50, 50], "left": [True, True], "right": [True, True], "sig": [bytes(4)] * 2,
+                         "met": pa.array([[k] for k in first_keys], pa.list_(pa.int64())), "members": pa.array([members] * 2, pa.binary())})
+        return _crossing(cfg)((pa.scalar(9), pa.scalar(1)), rows).num_rows
+
+    assert links([7, 8]) == 1 and links([7, 7]) == 0

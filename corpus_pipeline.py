@@ -6,7 +6,7 @@ left is packed. Each stage takes all its predecessor kept, as a table written an
 the last return the columns of ``documents`` (n_chars follows the text).
 
 Null texts pass every filter and are packed as the end id alone; null ids are never removed as copies;
-rows repeated with id and text leave one; extra columns pass through; an empty table stays empty.
+rows repeated with id and text leave one; texts that share an id are judged each for itself; extra columns pass through; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kpiloom.llm.decontaminate import Latent, without_leaks
-from kpiloom.llm.minhash import MinHash, near_duplicates
+from kpiloom.llm.minhash import MinHash, copies, text_print
 from kpiloom.llm.packing import Packing, pack
 from kpiloom.llm.queries import vocabulary
 from kpiloom.llm.spark import materialise, prepare, table
@@ -35,9 +35,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by 0.8 similarity of five-word shingles."""
     prepare(spark)
-    found = near_duplicates(docs, MinHash(shingle=5))
-    gone = found.where("not kept").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = copies(docs, MinHash(shingle=5)).toDF("gone_id_", "gone_print_")
+    kept = docs.join(gone, (docs["doc_id"] == F.col("gone_id_")) & (text_print("text") == F.col("gone_print_")), "left_anti")
     same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(1))
     nth = "nth_of_equal_rows_"
     return kept.withColumn(nth, F.row_number().over(same)).where((F.col(nth) == 1) | F.col("doc_id").isNull()).drop(nth)

@@ -16,7 +16,8 @@ similarity 0.8 with 40 bands of 5 rows, and less above. Sets are compared by 48-
 
 Defined cases: null or empty texts and texts without words have the empty set, no links, and are kept;
 texts shorter than a shingle have their whole word sequence as one shingle; equal rows share a class;
-rows whose id is null link nothing and are kept; extra columns are ignored; empty tables give no rows.
+rows whose id is null link nothing and are kept; texts that share an id are each judged by their own
+text; extra columns are ignored; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.llm.spark import components, materialise
@@ -99,6 +101,11 @@ def signatures(sets: list[np.ndarray], bins: int) -> np.ndarray:
     return out
 
 
+def node_of(sets: list[np.ndarray]) -> np.ndarray:
+    """A 63-bit hash of every set, 0 if it is empty."""
+    return np.array([int(mix(np.bitwise_xor.reduce(mix(s)) + s.sum()[None])[0] >> _U(1)) if len(s) else 0 for s in sets], np.int64)
+
+
 def band_keys(sig: np.ndarray, cfg: MinHash) -> np.ndarray:
     key = np.broadcast_to(mix(np.arange(1, cfg.bands + 1, dtype=_U)), (len(sig), cfg.bands)).copy()
     cells = sig.reshape(len(sig), cfg.bands, cfg.rows)
@@ -114,14 +121,12 @@ def _sketches(cfg: MinHash):
             for first, sets in shingle_sets(batch.column(1), cfg.shingle, cfg.lower):
                 sig = signatures(sets, cfg.bins)
                 n = np.array([len(s) for s in sets], np.int64)
-                node = np.array([int(mix(np.bitwise_xor.reduce(mix(s)) + s.sum()[None])[0] >> _U(1)) if len(s) else 0
-                                 for s in sets], np.int64)
                 keys = band_keys(sig, cfg).view(np.int64)
                 small = (sig & _U(0xFF)).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays([
-                    ids.slice(first, len(sets)), pa.array(n), pa.array(node),
+                    ids.slice(first, len(sets)), batch.column(2).slice(first, len(sets)), pa.array(n), pa.array(node_of(sets)),
                     pa.ListArray.from_arrays(np.arange(0, keys.size + 1, cfg.bands, dtype=np.int32), pa.array(keys.reshape(-1))),
-                    pa.array([x.tobytes() for x in small], pa.binary())], ["id", "n", "node", "bands", "sig"])
+                    pa.array([x.tobytes() for x in small], pa.binary())], ["id", "print", "n", "node", "bands", "sig"])
     return run
 
 
@@ -129,8 +134,9 @@ def _sets(cfg: MinHash):
     def run(batches):
         for batch in batches:
             for first, sets in shingle_sets(batch.column(1), cfg.shingle, cfg.lower):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(sets)),
-                                                  pa.array([store_set(s) for s in sets], pa.binary())], ["node", "members"])
+                node = batch.column(0).slice(first, len(sets))
+                own = pc.equal(node, pa.array(node_of(sets)))           # else another text of the same id
+                yield pa.RecordBatch.from_arrays([node.filter(own), pa.array([store_set(s) for s in sets], pa.binary()).filter(own)], ["node", "members"])
     return run
 
 
@@ -200,12 +206,17 @@ def _crossing(cfg: MinHash):
     return run
 
 
-def near_duplicates(docs: DataFrame, cfg: MinHash = MinHash(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``id_col``, n_shingles, component_id (smallest id of its group), kept."""
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sketch = materialise(texts.mapInArrow(_sketches(cfg), "id long, n long, node long, bands array<long>, sig binary"), "sketches")
+def text_print(column: str) -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64(F.col(column).cast("string"))
+
+
+def _grouped(docs: DataFrame, cfg: MinHash, id_col: str, text_col: str) -> DataFrame:
+    """One row per document: id, print, n, and of its group the smallest (id, print) as ``top``; null if it has no words or no id."""
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), text_print(text_col).alias("print"))
+    sketch = materialise(texts.mapInArrow(_sketches(cfg), "id long, print long, n long, node long, bands array<long>, sig binary"), "sketches")
     rows = sketch.where("n > 0 and id is not null")
-    classes = materialise(rows.groupBy("node").agg(F.min("id").alias("rep"), F.first("n").alias("n"),
+    classes = materialise(rows.groupBy("node").agg(F.min(F.struct("id", "print")).alias("first"), F.first("n").alias("n"),
                                                    F.first("bands").alias("bands"), F.first("sig").alias("sig")), "classes")
 
     # Buckets of two classes or more, each with a centre that differs from band to band.
@@ -221,7 +232,7 @@ def near_duplicates(docs: DataFrame, cfg: MinHash = MinHash(), id_col: str = "do
              .join(size.toDF("a", "a_n"), "a").join(size.toDF("b", "b_n"), "b").where(near(F.col("a_n"), F.col("b_n"))).select("a", "b"))
 
     # Full sets of the classes that share any bucket.
-    wanted = members.select("node").distinct().join(classes.select("node", "rep"), "node").select("rep", "node")
+    wanted = members.select("node").distinct().join(classes.select("node", F.col("first.id").alias("rep")), "node").select("rep", "node")
     owners = sketch.select("id", F.col("node").alias("own"))
     wanted = wanted.join(owners, (F.col("rep") == F.col("id")) & (F.col("node") == F.col("own"))).select("id", "node").distinct()
     found = (texts.join(wanted, "id").select("node", "text").mapInArrow(_sets(cfg), "node long, members binary"))
@@ -259,11 +270,21 @@ def near_duplicates(docs: DataFrame, cfg: MinHash = MinHash(), id_col: str = "do
     label = components(links.union(more))
 
     # Members of a class share a node, classes of a component its smallest document id.
-    named = classes.select("node", "rep").join(label, F.col("node") == F.col("id"), "left").select(
-        "node", "rep", F.coalesce("comp", "node").alias("comp"))
-    smallest = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    named = named.join(smallest, "comp").select(F.col("node").alias("class"), "component_id")
-    joined = sketch.join(named, (sketch.node == F.col("class")) & (sketch.n > 0) & sketch.id.isNotNull(), "left")
-    whole = F.coalesce("component_id", "id")
-    return joined.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), whole.alias("component_id"),
-                         F.coalesce(F.col("id") == whole, F.lit(True)).alias("kept"))
+    named = classes.select("node", "first").join(label, F.col("node") == F.col("id"), "left").select(
+        "node", "first", F.coalesce("comp", "node").alias("comp"))
+    smallest = named.groupBy("comp").agg(F.min("first").alias("top"))
+    named = named.join(smallest, "comp").select(F.col("node").alias("class"), "top")
+    return sketch.join(named, (sketch.node == F.col("class")) & (sketch.n > 0) & sketch.id.isNotNull(), "left").select("id", "print", "n", "top")
+
+
+def near_duplicates(docs: DataFrame, cfg: MinHash = MinHash(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: ``id_col``, n_shingles, component_id (smallest id of its group), kept."""
+    whole = F.coalesce("top.id", "id")
+    return _grouped(docs, cfg, id_col, text_col).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), whole.alias("component_id"),
+                                                        F.coalesce(F.col("id") == whole, F.lit(True)).alias("kept"))
+
+
+def copies(docs: DataFrame, cfg: MinHash = MinHash(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(``id_col``, print) of the texts that are near copies of another text, which stays."""
+    return (_grouped(docs, cfg, id_col, text_col).where((F.col("id") != F.col("top.id")) | (F.col("print") != F.col("top.print")))
+            .select(F.col("id").alias(id_col), "print").distinct())

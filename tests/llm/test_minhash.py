@@ -93,3 +93,13 @@ def test_only_a_shared_bucket_counts_as_met():
         return _crossing(cfg)((pa.scalar(9), pa.scalar(1)), rows).num_rows
 
     assert links([7, 8]) == 1 and links([7, 7]) == 0
+
+
+def test_texts_that_share_an_id_are_judged_each_for_itself(spark, make_docs):
+    from corpus_pipeline import drop_near_copies
+    one, two, three = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    near = lambda t: t + " more"
+    rows = [(5, one), (5, two), (5, three), (5, near(three)), (7, near(two)), (8, near(one)), (3, near(near(two)))]
+    assert result(near_duplicates(make_docs(rows))) == brute(rows, 5)
+    left = sorted((r.doc_id, r.text) for r in drop_near_copies(spark, make_docs(rows), "").collect())
+    assert [x for x in left if x[1] not in (three, near(three))] == [(3, near(near(two))), (5, one)] and len(left) == 3

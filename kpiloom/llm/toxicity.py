@@ -1,6 +1,6 @@
 """Severity of toxic language by cumulative-link ordinal regression on sparse text features.
 
-Features are the first 4, 5 and 6 bytes of every lower-cased word (stems that survive inflection),
+Features are every lower-cased word and its first 4, 5 and 6 bytes (stems that survive inflection),
 valued log(1 + count). P(grade > k) = sigmoid(w.x - c_k): one weight vector for all thresholds, with
 c_0 < c_1 < ...; the output is the expected grade, the sum of P(grade > k).
 
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.llm.blobs import pack, unpack
-from kpiloom.llm.words import Words, range_hashes, slices
+from kpiloom.llm.words import Words, mix, range_hashes, slices
 
 _U = np.uint64
 
@@ -37,14 +37,14 @@ _U = np.uint64
 @dataclass(frozen=True)
 class Toxicity:
     sample_rows: int = 20_000
-    max_features: int = 1024
+    max_features: int = 4096
     min_docs: int = 5
-    min_z: float = 5.0
+    min_z: float = 4.0
     stems: tuple[int, ...] = (4, 5, 6)
     grade_at: tuple[int, ...] = (3, 8)      # marked words from which a positive text has grade 2, 3
     ridge: float = 2e-5
-    steps: int = 400
-    reject_from: float = 0.15               # P(grade > 0) from which a text is rejected
+    steps: int = 1000
+    reject_from: float = 0.25               # P(grade > 0) from which a text is rejected
 
 
 @dataclass(frozen=True)
@@ -58,20 +58,31 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.cuts[None, :] - score[:, None], -500, 500)))
 
 
-def stems(w: Words, sizes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, document) of the word beginnings of a slice (lower-cased when it was hashed)."""
-    out, doc = [], []
+def stems(w: Words, sizes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, document, word) of the words and word beginnings of a slice (lower-cased when it was hashed)."""
+    out, word = [mix(w.hash)], [np.arange(len(w.hash))]          # mixed: a whole word is not the stem of a longer one
     for k in sizes:
         at = np.flatnonzero(w.end - w.start >= k)
         s = w.start[at]
         out.append(range_hashes(w.sums, s, s + k))
-        doc.append(w.doc[at])
-    return np.concatenate(out), np.concatenate(doc)
+        word.append(at)
+    word = np.concatenate(word)
+    return np.concatenate(out), w.doc[word], word
+
+
+def marked_words(w: Words, sizes: tuple[int, ...], marked: np.ndarray, n: int) -> np.ndarray:
+    """Marked words of each of ``n`` documents; a word counts by the share of its features that are ``marked`` (sorted hashes)."""
+    h, _, word = stems(w, sizes)
+    if not len(marked):
+        return np.zeros(n)
+    hit = marked[np.searchsorted(marked, h).clip(max=len(marked) - 1)] == h
+    share = np.bincount(word, hit, len(w.hash)) / np.maximum(np.bincount(word, minlength=len(w.hash)), 1)
+    return np.bincount(w.doc, share, n)
 
 
 def counts(w: Words, sizes: tuple[int, ...], features: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, feature, count) of a slice, distinct; feature is an index when ``features`` is given."""
-    h, doc = stems(w, sizes)
+    h, doc, _ = stems(w, sizes)
     if features is not None:
         if not len(features):
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
@@ -112,7 +123,7 @@ def fit_ordinal(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, grade: n
         g = np.concatenate([np.bincount(cols, values * -(d_hi + d_lo)[rows], n_features) + cfg.ridge * w,
                             g_gap[:1], g_gap[1:] * sig(gaps)])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        theta = theta - 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-10)
+        theta = theta - 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-10)
     w, first, gaps = theta[:n_features], theta[n_features], theta[n_features + 1:]
     return w, first + np.concatenate([[0.0], np.cumsum(np.log1p(np.exp(gaps)))])
 
@@ -156,27 +167,28 @@ def fit(docs: DataFrame, labels: DataFrame, cfg: Toxicity = Toxicity(), id_col:
 
     def reduce(batches):
         for batch in batches:
-            at, col, val = [], [], []
+            at, col, val, words = [], [], [], np.zeros(batch.num_rows)
             for w in slices(batch.column(1), True):
                 d, f, k = counts(w, cfg.stems, features)
                 at.append(d)
                 col.append(f)
                 val.append(k)
+                words += marked_words(w, cfg.stems, features[marked], batch.num_rows)
             if at:
                 yield pa.RecordBatch.from_arrays([pa.array([pack(
-                    batch.column(2).to_numpy().astype(np.uint8), np.concatenate(at).astype(np.int32),
+                    batch.column(2).to_numpy().astype(np.uint8), words.astype(np.float32), np.concatenate(at).astype(np.int32),
                     np.concatenate(col).astype(np.int32), np.concatenate(val).astype(np.float32))], pa.binary())], ["part"])
 
-    y, row, col, k, docs_so_far = [], [], [], [], 0
+    y, hits, row, col, k, docs_so_far = [], [], [], [], [], 0
     for part in rows.mapInArrow(reduce, "part binary").toLocalIterator():     # sample_rows documents in all
-        labels_, at, f, n = unpack(part["part"])
+        labels_, words, at, f, n = unpack(part["part"])
         y.append(labels_)
+        hits.append(words)
         row.append(at + docs_so_far)
         col.append(f)
         k.append(n)
         docs_so_far += len(labels_)
-    y, row, col, k = (np.concatenate(x) for x in (y, row, col, k))
-    hits = np.bincount(row, k * marked[col], len(y)) / len(cfg.stems) if len(features) else np.zeros(len(y))
+    y, hits, row, col, k = (np.concatenate(x) for x in (y, hits, row, col, k))
     grade = np.where(y > 0, 1 + sum((hits >= g).astype(int) for g in cfg.grade_at), 0)
     grade = np.unique(grade, return_inverse=True)[1]
     w, cuts = fit_ordinal(row, col, np.log1p(k.astype(float)), grade, len(features), cfg)

@@ -143,6 +143,16 @@ def test_toxicity_edges(spark, edge_docs, no_docs):
     assert severity(no_docs, fit(no_docs, labels)).collect() == [] == without_toxic(no_docs, model).collect()
 
 
+def test_short_toxic_words_count(spark, make_docs):
+    rng = random.Random(3)
+    words = [f"plain{i}" for i in range(300)]
+    text = lambda bad: " ".join(rng.choice(["zog", "Vex"]) if bad and rng.random() < 0.2 else rng.choice(words) for _ in range(40))
+    docs = make_docs([(i, text(i % 4 == 0)) for i in range(800)])
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "doc_id long, toxic int")
+    got = [r for r in severity(docs, fit(docs, labels)).collect() if r.doc_id >= 400]
+    assert sum(r.toxic == (r.doc_id % 4 == 0) for r in got) > 0.97 * len(got)
+
+
 def test_ordinal_thresholds_are_shared_and_ordered():
     rng = np.random.default_rng(0)
     x = rng.normal(size=2000)

@@ -13,9 +13,10 @@ row) is fitted by gradient steps on the driver. Every document is scored on its
 Labels of two classes are spread over grades by how many marked words a positive text holds
 (``grade_at``), so the thresholds have an order to learn.
 
-Defined cases: null or empty texts have no features and get the base rate; labels without a document
+Defined cases: null or empty texts have no features and get the base rate; a text without a feature
+of the model is not rejected, whatever the base rate, as nothing is known of it; labels without a document
 or with null fields are ignored; of several labels of one id the largest counts; without any usable
-label, or with one class only, nothing is learnt and every score is the prior; repeated rows are
+label, or with one class only, nothing is learnt, every score is the prior and no text is rejected; repeated rows are
 scored alike; null ids are scored too.
 """
 
@@ -57,6 +58,10 @@ class Model:
         """P(grade > k) for every score and threshold."""
         return 1 / (1 + np.exp(np.clip(self.cuts[None, :] - score[:, None], -500, 500)))
 
+    def rejects(self, above: np.ndarray, hits: np.ndarray, cfg: Toxicity) -> np.ndarray:
+        """``hits``: distinct features found in each text."""
+        return (above[:, 0] >= cfg.reject_from) & (hits > 0)
+
 
 def stems(w: Words, sizes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, document, word) of the words and word beginnings of a slice (lower-cased when it was hashed)."""
@@ -209,7 +214,7 @@ def severity(docs: DataFrame, model: Model, cfg: Toxicity = Toxicity(), id_col:
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(hits),
                 pa.ListArray.from_arrays(np.arange(0, above.size + 1, above.shape[1], dtype=np.int32), pa.array(above.reshape(-1))),
-                pa.array(above.sum(axis=1)), pa.array(above[:, 0] >= cfg.reject_from)],
+                pa.array(above.sum(axis=1)), pa.array(model.rejects(above, hits, cfg))],
                 [id_col, "n_features", "grade_above", "expected_severity", "toxic"])
 
     texts = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias(text_col))
@@ -221,11 +226,12 @@ def without_toxic(docs: DataFrame, model: Model, cfg: Toxicity = Toxicity(), tex
     @F.pandas_udf("boolean")
     def clean(text):
         arr = pa.array(text, pa.string(), from_pandas=True)
-        score = np.zeros(len(arr))
+        score, hits = np.zeros(len(arr)), np.zeros(len(arr), np.int64)
         for w in slices(arr, True):
             d, f, k = counts(w, cfg.stems, model.features)
             score += np.bincount(d, np.log1p(k) * model.weights[f], len(arr))
+            hits += np.bincount(d, minlength=len(arr))
         import pandas as pd
-        return pd.Series(model.above(score)[:, 0] < cfg.reject_from)
+        return pd.Series(~model.rejects(model.above(score), hits, cfg))
 
     return docs.where(clean(F.col(text_col).cast("string")))

@@ -153,6 +153,17 @@ def test_short_toxic_words_count(spark, make_docs):
     assert sum(r.toxic == (r.doc_id % 4 == 0) for r in got) > 0.97 * len(got)
 
 
+def test_nothing_is_rejected_when_nothing_was_learnt(spark, edge_docs, make_docs):
+    shape = "doc_id long, toxic int"
+    for labels in ([], [(5, 0)], [(4, 0), (5, 0), (6, 0), (7, 0)], [(4, 1), (5, 1)], [(4, 0), (5, 1)]):
+        model = fit(edge_docs, spark.createDataFrame(labels, shape))
+        assert without_toxic(edge_docs, model).count() == edge_docs.count()
+        assert not any(r.toxic for r in severity(edge_docs, model).collect())
+    docs = make_docs([(i, "bad words here" if i % 2 else "good words there") for i in range(200)] + [(1000, None), (1001, "")])
+    model = fit(docs, spark.createDataFrame([(i, i % 2) for i in range(200)], shape))
+    assert {r.doc_id for r in without_toxic(docs, model).collect()} == {*range(0, 200, 2), 1000, 1001}
+
+
 def test_ordinal_thresholds_are_shared_and_ordered():
     rng = np.random.default_rng(0)
     x = rng.normal(size=2000)

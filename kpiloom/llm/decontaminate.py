@@ -13,6 +13,8 @@
    ``min_overlap`` of the benchmark passage, and ``answer_overlap`` of its last ``answer_words`` words
    (its answer). So changed, dropped or inserted words do not hide a copy. Benchmark passages under
    ``min_words`` words must occur word for word.
+5. Passages that occur word for word are found without the latent space too: the hash of a passage's
+   first words (``min_words`` at most) is looked up at every word of every document, then all its words.
 
 The benchmark is taken in blocks of at most ``block_words`` words, so what is broadcast is bounded by
 parameters; each block costs three passes over the documents.
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.llm.blobs import pack, unpack
-from kpiloom.llm.words import Words, slices
+from kpiloom.llm.words import Words, mix, slices
 
 
 @dataclass(frozen=True)
@@ -67,6 +69,7 @@ class Index:
     idf: np.ndarray                     # 0: left out
     space: np.ndarray                   # columns x rank
     latent: np.ndarray                  # passages x rank, unit length
+    heads: tuple[tuple[int, np.ndarray, np.ndarray], ...]      # words, sorted hashes of so many first words, their passages
 
 
 def passages_of(w: Words, vocabulary: np.ndarray, cfg: Latent) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -141,9 +144,47 @@ def overlap(passage: np.ndarray, around: np.ndarray, cfg: Latent) -> float:
     return float(found.mean()) if good else 0.0
 
 
+def grams(h: np.ndarray, n: int) -> np.ndarray:
+    """Hash of every ``n`` successive words."""
+    out = np.zeros(max(0, len(h) - n + 1), np.uint64)
+    for i in range(n):
+        out = mix(out * np.uint64(0x9E3779B97F4A7C15) + h[i:i + len(out)])
+    return out
+
+
+def heads_of(passages: list[np.ndarray], cfg: Latent) -> tuple[tuple[int, np.ndarray, np.ndarray], ...]:
+    size = np.array([min(len(p), cfg.min_words) for p in passages])
+    out = []
+    for n in np.unique(size[size > 0]).tolist():
+        which = np.flatnonzero(size == n)
+        h = np.array([grams(passages[i][:n], n)[0] for i in which], np.uint64)
+        order = np.argsort(h, kind="stable")
+        out.append((n, h[order], which[order]))
+    return tuple(out)
+
+
+def verbatim(w: Words, index: Index) -> Iterator[tuple[int, int]]:
+    """(document, benchmark passage) of the passages that occur word for word in a slice, each once."""
+    end, seen = w.bounds()[1:], set()
+    for n, hashes, numbers in index.heads:
+        g = grams(w.hash, n)
+        lo, hi = np.searchsorted(hashes, g, "left"), np.searchsorted(hashes, g, "right")
+        at = np.flatnonzero(hi > lo)
+        many = (hi - lo)[at]
+        place = np.repeat(lo[at] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        at = np.repeat(at, many)
+        for i, d, p in zip(at.tolist(), w.doc[at].tolist(), numbers[place].tolist(), strict=True):
+            words = index.passages[p]
+            if (d, p) not in seen and i + len(words) <= end[d - w.first] and np.array_equal(w.hash[i:i + len(words)], words):
+                seen.add((d, p))
+                yield d, p
+
+
 def matches(column: pa.Array, index: Index, cfg: Latent) -> Iterator[tuple[int, int, float]]:
     """(document in the column, benchmark passage, share of it) of confirmed candidates."""
     for w in slices(column, True):
+        for d, p in verbatim(w, index):
+            yield d, p, 1.0
         doc, first, row, col, count = passages_of(w, index.vocabulary, cfg)
         row, col, value = weighted(row, col, count, index.idf)
         rows, z = project(row, col, value, index.space)
@@ -249,7 +290,7 @@ def build_index(texts: DataFrame, items: list[int], passages: list[np.ndarray],
     space = leading_directions(g, omega.astype(float), cfg.rank).astype(np.float32)
     latent = bench @ space
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
-    return Index(tuple(items), tuple(passages), vocabulary, idf, space, latent)
+    return Index(tuple(items), tuple(passages), vocabulary, idf, space, latent, heads_of(passages, cfg))
 
 
 def leading_directions(g: np.ndarray, omega: np.ndarray, rank: int) -> np.ndarray:

@@ -204,6 +204,22 @@ def test_leaks_and_paraphrases_are_found_and_clean_texts_left(spark, make_docs):
     assert leaks(make_docs([]), bench).collect() == [] == leaks(make_docs(docs), bench.limit(0)).collect()
 
 
+def test_short_items_among_benchmark_words_are_found(spark, make_docs):
+    rng = random.Random(9)
+    words = [f"b{i}" for i in range(3000)]
+    items = [(i, " ".join(rng.choice(words) for _ in range(rng.choice([5, 6, 10])))) for i in range(400)]
+    docs, want = [], set()
+    for i in range(100):
+        text = [rng.choice(words) for _ in range(150)]
+        text[60:60] = items[i][1].split()
+        docs.append((i, " ".join(text)))
+        want.add((i, i))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for cfg in (Latent(), Latent(min_cosine=1.5)):                      # 1.5: no candidate by cosine at all
+        assert {(r.doc_id, r.item_id) for r in leaks(make_docs(docs), bench, cfg).collect()} == want
+        assert without_leaks(make_docs(docs), bench, cfg).count() == 0
+
+
 def test_common_words_is_a_longest_common_subsequence():
     def length(a, b):
         row = [0] * (len(b) + 1)

@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from kpiloom.llm.decontaminate import Latent, leaks
 from kpiloom.llm.idfiles import IdFiles, id_file_digests
+from kpiloom.llm.importance import Importance, resampled
 from kpiloom.llm.minhash import MinHash, near_duplicates
+from kpiloom.llm.oracles import OP11_SQL, OP12_SQL
 from kpiloom.llm.packing import Packing, pack
 from kpiloom.llm.pitmanyor import PitmanYor, score_texts
 from kpiloom.llm.spark import prepare, table
+from kpiloom.llm.spelling import Spelling, variants
 from kpiloom.llm.substring import Repeats, kept_words
 from kpiloom.llm.topk import TopK, top_k
 from kpiloom.llm.toxicity import Toxicity, fit, severity
@@ -125,9 +128,22 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), MinHash(shingle=2))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document in a draw towards the benchmark texts."""
+    prepare(spark)
+    drawn = resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Importance())
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, with the form and the root that each is a variant of."""
+    prepare(spark)
+    return variants(table(spark, sf_dir, "documents"), Spelling())
+
+
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op1_pitman_yor_scores, op2_url_filter, op3_wordpiece_counts, op4_exact_top_k, op5_toxicity_ordinal, op6_token_id_files, op7_best_fit_packing,
-    op8_latent_decontamination, op9_substring_dedup, op10_minhash_near_dedup)
+    op8_latent_decontamination, op9_substring_dedup, op10_minhash_near_dedup, op11_importance_resampling, op12_spelling_variants)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -135,4 +151,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_top_k": OP4_SQL, "op9_substring_dedup": OP9_SQL}
+    return {"op4_exact_top_k": OP4_SQL, "op9_substring_dedup": OP9_SQL, "op11_importance_resampling": OP11_SQL,
+            "op12_spelling_variants": OP12_SQL}

@@ -83,3 +83,30 @@ OP12_SQL = "with recursive" + CRC_TABLE + r""", runs as (
 )
 select forms.word, forms.form, root, n, n_near, form_n from forms join chain on forms.word = chain.word and chain.next is null
 """
+
+OP13_SQL = """
+with bytes as (
+  select doc_id, hex(encode(coalesce(text, ''))) as h from documents
+), starts as (
+  select doc_id, s, substr(h, 2 * s + 1, 200) as w from (select doc_id, h, unnest(range(0, len(h) // 2 - 99)) as s from bytes) x
+), first as (
+  select w, min(struct_pack(d := doc_id, s := s)) as f from starts group by w having count(*) > 1
+), repeats as (
+  select doc_id, s from starts join first using (w) where f.d <> doc_id or f.s <> s
+), steps as (
+  select doc_id, s, lag(s) over (partition by doc_id order by s) as p from repeats
+), numbered as (
+  select doc_id, s, sum(case when p is null or s - p > 100 then 1 else 0 end) over (partition by doc_id order by s) as k from steps
+), spans as (
+  select doc_id, k, min(s) as b, max(s) + 100 as e from numbered group by doc_id, k
+), gaps as (
+  select doc_id, k, b, e, coalesce(lag(e) over (partition by doc_id order by k), 0) as p from spans
+), cut as (
+  select doc_id, sum(e - b)::bigint as n_removed, count(*)::bigint as n_spans, max(e) as e,
+         string_agg(substr(h, 2 * p + 1, 2 * (b - p)), '' order by k) as kept
+  from gaps join bytes using (doc_id) group by doc_id
+)
+select doc_id, (len(h) // 2)::bigint as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+       sha256(unhex(case when e is null then h else kept || substr(h, 2 * e + 1) end)) as kept_sha256
+from bytes left join cut using (doc_id)
+"""

@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kpiloom.llm.bytespans import ByteRepeats, digests
 from kpiloom.llm.decontaminate import Latent, leaks
 from kpiloom.llm.idfiles import IdFiles, id_file_digests
 from kpiloom.llm.importance import Importance, resampled
 from kpiloom.llm.minhash import MinHash, near_duplicates
-from kpiloom.llm.oracles import OP11_SQL, OP12_SQL
+from kpiloom.llm.oracles import OP11_SQL, OP12_SQL, OP13_SQL
 from kpiloom.llm.packing import Packing, pack
 from kpiloom.llm.pitmanyor import PitmanYor, score_texts
 from kpiloom.llm.spark import prepare, table
@@ -141,9 +142,16 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants(table(spark, sf_dir, "documents"), Spelling())
 
 
+def op13_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 100-byte strings that occur earlier."""
+    prepare(spark)
+    return digests(table(spark, sf_dir, "documents"), ByteRepeats(window=100))
+
+
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op1_pitman_yor_scores, op2_url_filter, op3_wordpiece_counts, op4_exact_top_k, op5_toxicity_ordinal, op6_token_id_files, op7_best_fit_packing,
-    op8_latent_decontamination, op9_substring_dedup, op10_minhash_near_dedup, op11_importance_resampling, op12_spelling_variants)
+    op8_latent_decontamination, op9_substring_dedup, op10_minhash_near_dedup, op11_importance_resampling, op12_spelling_variants,
+    op13_suffix_array_dedup)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -152,4 +160,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {"op4_exact_top_k": OP4_SQL, "op9_substring_dedup": OP9_SQL, "op11_importance_resampling": OP11_SQL,
-            "op12_spelling_variants": OP12_SQL}
+            "op12_spelling_variants": OP12_SQL, "op13_suffix_array_dedup": OP13_SQL}

@@ -13,16 +13,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.config import STATUS_GOOD, STATUS_REVIEW, STATUS_STABLE, BriefConfig
+from kpiloom.functions.json_text import Many, Record, json_text
+from kpiloom.operators.contracts import BENCHMARK_SUMMARY, HEALTH_SUMMARY, TOP_ANOMALY, TOP_PRIORITY, TOP_SIGNAL
 
 BRIEF_COLUMNS = ("month", "top_priority_ids_json", "top_anomalies_json", "strongest_signal_ids_json",
                  "benchmark_summary_json", "health_summary_json")
 
 
+def item_columns(item: Record, digits: int) -> list:
+    """The columns that an item needs, numbers rounded."""
+    return [F.round(v.source, digits).alias(v.source) if v.kind == "number" else F.col(v.source) for v in item.fields.values()]
+
+
 def top_priority_items(board: DataFrame, cfg: BriefConfig = BriefConfig()) -> DataFrame:
     """SRT2: board rows with a stored rank within the top n."""
     return board.filter(F.col("priority_rank") <= cfg.top_priorities).select(
-        "month", "priority_rank", "priority_id", "priority_title", "priority_category",
-        F.round("priority_score", cfg.digits).alias("priority_score"))
+        "month", *item_columns(TOP_PRIORITY, cfg.digits))
 
 
 def top_anomaly_items(health: DataFrame, cfg: BriefConfig = BriefConfig()) -> DataFrame:
@@ -31,9 +37,7 @@ def top_anomaly_items(health: DataFrame, cfg: BriefConfig = BriefConfig()) -> Da
                                             "metric_name")
     ranked = health.filter(F.col("health_status") == STATUS_REVIEW).withColumn("anomaly_rank", F.row_number().over(w))
     return ranked.filter(F.col("anomaly_rank") <= cfg.top_anomalies).select(
-        "month", "anomaly_rank", "asset_name", "metric_name",
-        F.round("metric_value", cfg.digits).alias("metric_value"),
-        F.round("deviation_from_rolling_avg", cfg.digits).alias("deviation_from_rolling_avg"))
+        "month", *item_columns(TOP_ANOMALY, cfg.digits))
 
 
 def signal_id():
@@ -47,9 +51,7 @@ def top_signal_items(signals: DataFrame, cfg: BriefConfig = BriefConfig()) -> Da
     w = Window.partitionBy("last_validated_month").orderBy(F.abs("strength_score").desc(), "signal_id")
     ranked = rows.withColumn("signal_rank", F.row_number().over(w)).filter(F.col("signal_rank") <= cfg.top_signals)
     return ranked.select(
-        F.col("last_validated_month").alias("month"), "signal_rank", "signal_id", "source_asset",
-        "source_metric", "target_asset", "target_metric", "lag_months", "relationship_direction",
-        F.round("strength_score", cfg.digits).alias("strength_score"))
+        F.col("last_validated_month").alias("month"), *item_columns(TOP_SIGNAL, cfg.digits))
 
 
 def benchmark_summary(bench: DataFrame, cfg: BriefConfig = BriefConfig()) -> DataFrame:
@@ -72,12 +74,15 @@ def health_summary(health: DataFrame, cfg: BriefConfig = BriefConfig()) -> DataF
         F.round(F.avg(F.abs("deviation_from_rolling_avg")), cfg.digits).alias("avg_abs_deviation"))
 
 
-def _json_list(items: DataFrame, first: str, fields: list[str], out: str) -> DataFrame:
-    """collect -> sort by the rank (first struct field) -> re-order fields -> JSON (SRT4, PRJ20)."""
-    order = [first] + [f for f in fields if f != first]
-    agg = items.groupBy("month").agg(F.sort_array(F.collect_list(F.struct(*order))).alias("items"))
-    return agg.select("month", F.to_json(F.transform(
-        "items", lambda x: F.struct(*[x[f].alias(f) for f in fields]))).alias(out))
+def json_list(items: DataFrame, item: Record, out: str) -> DataFrame:
+    """The items of each month in the order of their rank, as one canonical JSON text (SRT4, PRJ20)."""
+    order = sorted(item.sources(), key=lambda c: not c.endswith("_rank"))
+    lists = items.groupBy("month").agg(F.sort_array(F.collect_list(F.struct(*order))).alias("items"))
+    return lists.select("month", json_text(Many("items", item)).alias(out))
+
+
+def json_record(rows: DataFrame, record: Record, out: str) -> DataFrame:
+    return rows.select("month", json_text(record).alias(out))
 
 
 def brief_inputs(board: DataFrame, health: DataFrame, bench: DataFrame, signals: DataFrame | None = None,
@@ -86,29 +91,12 @@ def brief_inputs(board: DataFrame, health: DataFrame, bench: DataFrame, signals:
     if signals is None:
         from kpiloom.operators.signals import empty_signals
         signals = empty_signals(health.sparkSession)
-    months = health.select("month").distinct()
-    pri = _json_list(top_priority_items(board, cfg), "priority_rank",
-                     ["priority_id", "priority_rank", "priority_title", "priority_category", "priority_score"],
-                     "top_priority_ids_json")
-    ano = _json_list(top_anomaly_items(health, cfg), "anomaly_rank",
-                     ["anomaly_rank", "asset_name", "metric_name", "metric_value", "deviation_from_rolling_avg"],
-                     "top_anomalies_json")
-    sig = _json_list(top_signal_items(signals, cfg), "signal_rank",
-                     ["signal_rank", "signal_id", "source_asset", "source_metric", "target_asset", "target_metric",
-                      "lag_months", "relationship_direction", "strength_score"], "strongest_signal_ids_json")
-    bsum = benchmark_summary(bench, cfg)
-    bj = bsum.select("month", F.to_json(F.struct(*[c for c in bsum.columns if c != "month"]))
-                     .alias("benchmark_summary_json"))
-    hsum = health_summary(health, cfg)
-    hj = hsum.select("month", F.to_json(F.struct(*[c for c in hsum.columns if c != "month"]))
-                     .alias("health_summary_json"))
-    out = (months.join(pri, "month", "left").join(ano, "month", "left").join(sig, "month", "left")
-                 .join(bj, "month", "left").join(hj, "month", "left"))
-    return out.select(
-        "month",
-        F.coalesce("top_priority_ids_json", F.lit("[]")).alias("top_priority_ids_json"),
-        F.coalesce("top_anomalies_json", F.lit("[]")).alias("top_anomalies_json"),
-        F.coalesce("strongest_signal_ids_json", F.lit("[]")).alias("strongest_signal_ids_json"),
-        F.coalesce("benchmark_summary_json", F.lit("{}")).alias("benchmark_summary_json"),
-        F.coalesce("health_summary_json", F.lit("{}")).alias("health_summary_json"),
-    )
+    # The health summary has one row per health month: it is the spine.
+    out = json_record(health_summary(health, cfg), HEALTH_SUMMARY, "health_summary_json")
+    for part in (json_list(top_priority_items(board, cfg), TOP_PRIORITY, "top_priority_ids_json"),
+                 json_list(top_anomaly_items(health, cfg), TOP_ANOMALY, "top_anomalies_json"),
+                 json_list(top_signal_items(signals, cfg), TOP_SIGNAL, "strongest_signal_ids_json"),
+                 json_record(benchmark_summary(bench, cfg), BENCHMARK_SUMMARY, "benchmark_summary_json")):
+        out = out.join(part, "month", "left")
+    empty = {c: "{}" if "summary" in c else "[]" for c in BRIEF_COLUMNS if c != "month"}
+    return out.select("month", *[F.coalesce(c, F.lit(e)).alias(c) for c, e in empty.items()])

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from kpiloom.config import STATUS_GOOD, STATUS_REVIEW, STATUS_STABLE, HealthConfig
 from kpiloom.functions import first_match, guarded_relative_deviation, safe_z, signed_by_polarity, split_mean, trend
 from kpiloom.functions.expressions import sized_broadcast
+from kpiloom.sources.config_json import default_metric_dim
 
 SERIES = ("asset_name", "metric_name")
 HEALTH_COLUMNS = (
@@ -29,9 +30,12 @@ HEALTH_COLUMNS = (
 
 
 def with_polarity(df: DataFrame, metric_dim: DataFrame | None, default: int = 1) -> DataFrame:
-    """Attach ``polarity`` from the metric dimension (broadcast when its estimated size is small)."""
+    """Attach ``polarity`` from the metric dimension (broadcast when its estimated size is small).
+
+    Without a dimension the shipped dictionary holds; metrics that it does not know get ``default``.
+    """
     if metric_dim is None:
-        return df.withColumn("polarity", F.lit(default))
+        metric_dim = default_metric_dim(df.sparkSession)
     dim = metric_dim.select("metric_name", F.col("polarity").cast("int").alias("polarity"))
     return (df.join(sized_broadcast(dim), "metric_name", "left")
               .withColumn("polarity", F.coalesce("polarity", F.lit(default))))

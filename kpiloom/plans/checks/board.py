@@ -1,4 +1,4 @@
-"""Priority-board checks: flat board columns (oracle) and the JSON payload (rows only)."""
+"""Priority-board checks: flat board columns, the JSON payload as text and parsed back."""
 
 from __future__ import annotations
 
@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kpiloom.config import BoardConfig
 from kpiloom.operators.board import BOARD_COLUMNS, priority_board, ranked_priorities
+from kpiloom.functions.json_text import json_type
+from kpiloom.operators.contracts import EVIDENCE, SIGNAL_REFERENCE, SUPPORTING_ROW
 from kpiloom.plans.checks.gold import Gold, gold_sql
 from kpiloom.plans.fixtures import Inputs
+from kpiloom.plans.oracle import list_sql, record_sql
 from kpiloom.plans.registry import register
 from kpiloom.session import scratch_path
 from kpiloom.sources.config_json import literal_rows, weights_from_json
@@ -27,8 +30,34 @@ def q_priority_board(spark: SparkSession, sf: str) -> DataFrame:
     return ranked_priorities(g.scores(), signals=g.signals).select(*FLAT)
 
 
-@register("priority_board_json")
+# The signals that name a row, once per role, and the other active rows of its month and asset.
+EVIDENCE_CTE = f"""
+, refs as (
+  select asset_name, metric_name, {{refs}} as linked from (
+    select distinct source_asset as asset_name, source_metric as metric_name, 'source' as signal_role, * from SG
+    union select distinct target_asset, target_metric, 'target', * from SG) r
+  group by asset_name, metric_name),
+others as (
+  select a.month, a.asset_name, a.metric_name, {{rows}} as supporting
+  from BR a join PA o on a.month = o.month and a.asset_name = o.asset_name and a.metric_name <> o.metric_name group by 1, 2, 3),
+payload as (
+  select BR.month, BR.priority_candidate_id as priority_id, {{evidence}} as supporting_metrics_json
+  from BR left join refs using (asset_name, metric_name) left join others using (month, asset_name, metric_name))
+""".format(
+    refs=list_sql(record_sql(SIGNAL_REFERENCE, "r.{}"), "signal_role, source_asset, source_metric, target_asset, target_metric, lag_months"),
+    rows=list_sql(record_sql(SUPPORTING_ROW, "o.{}"), "o.metric_name"),
+    evidence=record_sql(
+        EVIDENCE, "BR.{}",
+        persistence_inputs="""'{"active_months_in_last_3":' || BR.persistence_months || ',"lookback_months":3}'""",
+        peer_context="case when BR.peer_rank is not null then " + record_sql(EVIDENCE.fields["peer_context"], "BR.{}") + " end",
+        linked_signal_references="coalesce(refs.linked, '[]')", supporting_metric_rows="coalesce(others.supporting, '[]')"))
+
+
+@register("priority_board_json", gold_sql(board=True) + EVIDENCE_CTE + """
+select BD.*, supporting_metrics_json from BD join payload using (month, priority_id)
+""")
 def q_priority_board_json(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole board, with the evidence as JSON text."""
     g = Gold(Inputs(spark, sf))
     return priority_board(g.scores(), signals=g.signals)
 
@@ -57,20 +86,10 @@ def q_board_weights_json(spark: SparkSession, sf: str) -> DataFrame:
     return ranked_priorities(g.scores(), cfg, g.signals).select("month", "priority_id", "priority_score", "priority_rank")
 
 
-PAYLOAD_TYPE = ("struct<score_components: struct<severity: double, persistence: double, peer_gap: double, "
-                "commercial_weight: double, supporting_evidence: double>, "
-                "severity_inputs: struct<metric_value: double, health_status: string, trend_direction: string, "
-                "deviation_from_rolling_avg: double, seasonal_z_score: double>, "
-                "persistence_inputs: struct<active_months_in_last_3: bigint, lookback_months: int>, "
-                "peer_context: struct<peer_rank: int, peer_club_count: bigint>, "
-                "linked_signal_references: array<struct<signal_role: string>>, "
-                "supporting_metric_rows: array<struct<metric_name: string>>>")
-
-
 @register("priority_board_json_roundtrip", gold_sql(board=True) + """
-select BR.priority_candidate_id as priority_id, BR.priority_rank, BR.severity_score as severity,
-       BR.persistence_score as persistence, BR.peer_gap_score as peer_gap,
-       BR.commercial_weight_score as commercial_weight, BR.supporting_evidence_score as supporting_evidence,
+select BR.priority_candidate_id as priority_id, BR.priority_rank, round(BR.severity_score, 9) as severity,
+       round(BR.persistence_score, 9) as persistence, round(BR.peer_gap_score, 9) as peer_gap,
+       round(BR.commercial_weight_score, 9) as commercial_weight, round(BR.supporting_evidence_score, 9) as supporting_evidence,
        BR.health_status, BR.persistence_months as active_months_in_last_3, 3 as lookback_months,
        BR.peer_rank, BR.n_support as supporting_rows,
        (select count(*) from SG where (SG.source_asset = BR.asset_name and SG.source_metric = BR.metric_name)
@@ -83,10 +102,11 @@ def q_priority_board_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
     g = Gold(Inputs(spark, sf))
     board = priority_board(g.scores(), signals=g.signals)
-    p = F.from_json("supporting_metrics_json", PAYLOAD_TYPE)
+    p = F.from_json("supporting_metrics_json", json_type(EVIDENCE), {"mode": "FAILFAST"})
     out = board.select("priority_id", "priority_rank", p.alias("p")).select(
-        "priority_id", "priority_rank", "p.score_components.*", "p.severity_inputs.health_status",
-        "p.persistence_inputs.*", "p.peer_context.peer_rank",
+        "priority_id", "priority_rank", *[F.round(f"p.score_components.{c}", 9).alias(c) for c in EVIDENCE.fields["score_components"].fields], "p.severity_inputs.health_status",
+        "p.persistence_inputs.active_months_in_last_3", F.col("p.persistence_inputs.lookback_months").cast("int").alias("lookback_months"),
+        F.col("p.peer_context.peer_rank").cast("int").alias("peer_rank"),
         F.size("p.supporting_metric_rows").alias("supporting_rows"),
         F.size("p.linked_signal_references").cast("bigint").alias("linked_signals"))
     return out

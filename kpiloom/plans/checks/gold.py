@@ -33,6 +33,11 @@ class Gold:
         self.signals = fixture_signals(inp)
         self.weights_dim = self.dim if with_dictionary else None
 
+    def kept(self) -> "Gold":
+        """Health, benchmark and signals materialised once (one row per series and month): the brief reads each several times."""
+        self.health, self.bench, self.signals = (df.checkpoint(eager=True) for df in (self.health, self.bench, self.signals))
+        return self
+
     def scored(self) -> DataFrame:
         return active_scored(self.health, self.bench, self.signals, self.weights_dim, FIXTURE_PRIORITY)
 

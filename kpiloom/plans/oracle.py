@@ -4,6 +4,10 @@ This text is written separately from the Spark code: it uses exact decimal sums,
 UNPIVOT, and joins orders to line items directly.
 """
 
+from __future__ import annotations
+
+from kpiloom.functions.json_text import Record
+
 PREAMBLE = """
 with li as (
   select l_orderkey, sum(cast(l_quantity as decimal(18,2))) q, sum(cast(l_discount as decimal(18,4))) d,
@@ -47,3 +51,30 @@ def with_preamble(body: str) -> str:
     if body.startswith(","):
         return PREAMBLE + body
     return PREAMBLE + "\n" + body
+
+
+def record_sql(record: Record, columns: str = "{}", **parts: str) -> str:
+    """DuckDB text expression of a JSON record. ``columns`` says how a column is written; ``parts`` are ready texts by field."""
+    members = []
+    for name, p in record.fields.items():
+        if name in parts:
+            value = parts[name]
+        elif isinstance(p, Record):
+            value = record_sql(p, columns)
+        else:
+            value = _VALUE_SQL[p.kind].format(x=columns.format(p.source))
+        members.append(f"""'"{name}":' || ({value})""")
+    return "'{' || array_to_string(list_filter([" + ", ".join(members) + "], lambda m: m is not null), ',') || '}'"
+
+
+def list_sql(item: str, order: str) -> str:
+    """Aggregate: the items in order, as a JSON list."""
+    return f"'[' || coalesce(string_agg({item}, ',' order by {order}), '') || ']'"
+
+
+_VALUE_SQL = {
+    "text": "cast(to_json({x}) as varchar)",
+    "whole": "cast(cast({x} as bigint) as varchar)",
+    "number": "case when isfinite(cast({x} as double)) then regexp_replace(cast(cast(format('{{:.11e}}', cast({x} as double)) "
+              "as decimal(38,18)) as varchar), '\\.?0+$', '') end",
+}

@@ -38,7 +38,7 @@ def register(name: str, oracle: str | None = None):
 
 def _load() -> None:
     from kpiloom.plans.checks import (  # noqa: F401
-        board, brief, events, health, normalize, peers, priority, quality, signals, sources,
+        board, brief, events, health, medallion, normalize, peers, priority, quality, signals, silver, sources,
     )
 
 

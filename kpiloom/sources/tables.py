@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -15,5 +16,18 @@ def read_table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_tables(spark: SparkSession, data_dir: str, *names: str) -> dict[str, DataFrame]:
-    return {n: read_table(spark, data_dir, n) for n in names}
+def optional_source(spark: SparkSession, name: str | None, fmt: str = "parquet") -> DataFrame | None:
+    """An input that may be absent (SRC4): a table or view of the catalog, else a path; None if neither exists.
+
+    Decided before anything is planned on it. Any other error (no permission, broken files) is raised.
+    """
+    if name is None:
+        return None
+    if "/" not in name:
+        return spark.read.table(name) if spark.catalog.tableExists(name) else None
+    try:
+        return spark.read.format(fmt).load(name)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise

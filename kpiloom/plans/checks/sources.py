@@ -70,6 +70,43 @@ def q_fact_sink_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
                        F.lit(n).cast("long").alias("written_rows"))
 
 
+REWRITTEN = "1995-03-01"
+
+
+@register("fact_month_rewrite", f"""
+select month, club, asset_name, metric_name, metric_value + case when month = date '{REWRITTEN}' then 1 else 0 end as metric_value,
+       month <> date '{REWRITTEN}' as file_untouched, (select count(*) from F where month = date '{REWRITTEN}') as rewritten_rows,
+       1 as files_of_month
+from F
+""")
+def q_fact_month_rewrite(spark: SparkSession, sf: str) -> DataFrame:
+    """One month of a partitioned fact rewritten; every other month keeps its file, and a month is one file."""
+    target = scratch_path(spark, "fact_by_month")
+    inp = Inputs(spark, sf, shared=True)
+    write_table(inp.base_fact(), target, partition_by=("month",))
+    files = lambda: spark.read.parquet(target).select("month", F.col("_metadata.file_path").alias("file")).distinct()
+    before = files().checkpoint(eager=True)
+    change = inp.base_fact().where(F.col("month") == REWRITTEN).withColumn("metric_value", F.col("metric_value") + 1)
+    n = write_table(change, target, partition_by=("month",), only_given_partitions=True)
+    per_month = files().groupBy("month").agg(F.count("*").cast("int").alias("files_of_month"))
+    back = spark.read.parquet(target).withColumn("file", F.col("_metadata.file_path"))
+    kept = before.select("file", F.lit(True).alias("old"))
+    return back.join(kept, "file", "left").join(per_month, "month").select(
+        "month", "club", "asset_name", "metric_name", "metric_value", F.coalesce("old", F.lit(False)).alias("file_untouched"),
+        F.lit(n).cast("long").alias("rewritten_rows"), "files_of_month")
+
+
+@register("fact_saved_table", """
+select month, club, asset_name, metric_name, metric_value, (select count(*) from F) as written_rows from F
+""")
+def q_fact_saved_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The fact as a catalog table, written and read by name."""
+    path = scratch_path(spark, "fact_table")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    n = write_table(Inputs(spark, sf).fact(), name, as_table=True, path=path)
+    return spark.read.table(name).select("month", "club", "asset_name", "metric_name", "metric_value", F.lit(n).cast("long").alias("written_rows"))
+
+
 @register("stream_ingest_lineage", """
 select month, club, asset_name, order_count, net_sales, cart_value, active_customers, discount_rate, return_rate,
        units, 'csv' as source_format, true as has_load_time

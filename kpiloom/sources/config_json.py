@@ -7,6 +7,8 @@ metric defined twice, is an error.
 
 from __future__ import annotations
 
+from dataclasses import fields
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,5 +69,8 @@ def weights_from_json(spark: SparkSession, path: str | None) -> Weights:
     if path is None:
         return Weights()
     raw = spark.read.text(path, wholetext=True)
-    row = raw.select(F.from_json("value", _WEIGHTS_TYPE).alias("c")).select("c.formula_weights.*").first()
-    return Weights(**row.asDict()).validate()
+    row = raw.select(F.from_json("value", _WEIGHTS_TYPE, {"mode": "FAILFAST"}).alias("c")).select("c.formula_weights.*").first()
+    given = {} if row is None else row.asDict()
+    if missing := sorted(f.name for f in fields(Weights) if given.get(f.name) is None):
+        raise ValueError(f"scoring weights without {', '.join(missing)}")
+    return Weights(**given).validate()

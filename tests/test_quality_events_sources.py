@@ -102,3 +102,58 @@ def test_csv_ingest_lineage_and_observed_write(spark, tmp_path):
     assert {r.source_file_name for r in rows} == {"sheet.csv"} and all(r.ingestion_timestamp for r in rows)
     n = write_table(df, scratch_path(spark, "test_write"))
     assert n == 2
+
+
+def test_quality_scans_each_fact_once(spark, tmp_path):
+    i, b = clean(spark)
+    i.write.parquet(str(tmp_path / "i"))
+    b.write.parquet(str(tmp_path / "b"))
+    i, b = spark.read.parquet(str(tmp_path / "i")), spark.read.parquet(str(tmp_path / "b"))
+    cfg = QualityConfig(benchmark_conditions=(("No null clubs", "club IS NOT NULL"),))
+    plan = quality_checks(i, b, "r", cfg=cfg)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2
+    assert len(by_check(quality_checks(i, b, "r", cfg=cfg))) == 8
+    other = QualityConfig(internal_keys=("month", "asset_name"))
+    res = by_check(quality_checks(i, b, "r", "i", "b", cfg=other))
+    assert res[("i", "No duplicate keys on (month, asset_name)")] == ("FAIL", 2)
+    assert quality_checks(i, b, "r", cfg=other)._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 3
+
+
+def test_quality_of_empty_facts(spark):
+    i, b = clean(spark)
+    res = by_check(quality_checks(i.limit(0), b.limit(0), "r", "i", "b"))
+    assert len(res) == 7 and all(v == ("PASS", 0) for v in res.values())
+
+
+def test_a_retried_run_is_logged_once(spark):
+    i, b = clean(spark)
+    log = scratch_path(spark, "retry_log")
+    for _ in range(3):
+        quality_gate(quality_checks(i, b, "run1"), log)
+    quality_gate(quality_checks(i, b, "run2"), log)
+    runs = {r.run_id: r.n for r in spark.read.parquet(log).groupBy("run_id").agg(F.count("*").alias("n")).collect()}
+    assert runs == {"run1": 7, "run2": 7}
+
+
+def test_dynamic_overwrite_leaves_other_partitions(spark):
+    target = scratch_path(spark, "dynamic")
+    rows = [(p, k, 0) for p in ("a", "b", "c") for k in range(50)]
+    df = spark.createDataFrame(rows, "p string, k int, v int").repartition(8)
+    assert write_table(df, target, partition_by=("p",)) == 150
+    files = lambda: {(r.p, r.f) for r in spark.read.parquet(target).select("p", F.col("_metadata.file_path").alias("f")).distinct().collect()}
+    before = files()
+    assert len(before) == 3                                 # one file per partition, not one per task
+    assert write_table(df.where("p = 'b' and k < 5").withColumn("v", F.lit(1)), target, partition_by=("p",), only_given_partitions=True) == 5
+    got = {r.p: (r.n, r.v) for r in spark.read.parquet(target).groupBy("p").agg(F.count("*").alias("n"), F.sum("v").alias("v")).collect()}
+    assert got == {"a": (50, 0), "b": (5, 5), "c": (50, 0)}
+    assert {x for x in files() if x[0] != "b"} == {x for x in before if x[0] != "b"} and not ({x for x in files() if x[0] == "b"} & before)
+    with pytest.raises(ValueError):
+        write_table(df, target, only_given_partitions=True)
+
+
+def test_bad_weights_file(spark, tmp_path):
+    for text in ("{not json", '{"formula_weights": {"severity": 0.5}}', "{}"):
+        p = tmp_path / f"w{len(text)}.json"
+        p.write_text(text)
+        with pytest.raises(Exception, match="MALFORMED|without"):
+            weights_from_json(spark, str(p))

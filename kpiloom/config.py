@@ -174,7 +174,7 @@ class PeerConfig:
     change_lag: int = 12             # rank/gap change lookback in rows
     default_polarity: int = 1
     median_accuracy: int = 10000     # percentile_approx accuracy for the peer median
-    salts: int = 16                  # parts into which the peers of one key are split for the rank count
+    bins_per_doubling: int = 64      # histogram bins of the rank: one for each 1.1 % of a value
 
 
 @dataclass(frozen=True)

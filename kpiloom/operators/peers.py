@@ -6,19 +6,23 @@ ahead) and their 12-row changes.
 
 Plan: a key that holds a third of all peer rows must not land in one task, so no raw peer row is
 shuffled by the keys alone. The statistics are partial aggregates of the peers, combined in every
-task before their shuffle; clubs are counted in two levels, by (key, club) and then by key. The
-rank is ``1 + count(peers strictly better)``, which is ``rank()`` for one subject row per key but
-needs no sort: peers meet the subject on the keys and a salt (the subject, one row per key, is
-repeated for each salt), are counted per salt, and the counts are added up. A repeated subject key
-counts as one row with its largest value. The 12-row change is a window on (asset, metric) over
-the aggregated rows (one row per month per series).
+task before their shuffle; clubs are counted in two levels, by (key, club) and then by key.
+
+The rank is ``1 + count(peers strictly better)``, which is ``rank()`` for one subject row per key but needs
+no sort. Peers are counted by (key, oriented value): equal values meet in their task, different ones are
+dealt over all tasks. Over these counts lies a histogram per key, whose bins are narrow ranges of values
+(``PeerConfig.bins_per_doubling``, so the bins fit any scale). Bins above the subject's count as a whole;
+only the values in the subject's own bin are compared with it, joined by (key, bin). So a key takes as many
+tasks as it has values, and what is compared is a small part of it. A repeated subject key counts as one
+row with its largest value. The 12-row change is a window on (asset, metric) over the aggregated rows
+(one row per month per series).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.config import SOCIAL_MEASURES, PeerConfig
@@ -47,6 +51,29 @@ def split_extra_source(wide: DataFrame, subject_id: str, asset_name: str, measur
     return subj, peers
 
 
+TOP_BIN, ZERO_SHIFT = 1 << 20, 1 << 19
+
+
+def value_bin(x: Column, per_doubling: int) -> Column:
+    """Bin of a value, ascending with it: equal steps of its logarithm on both sides of zero; NaN is in the last."""
+    step = F.floor(F.least(F.log2(F.abs(x)) * per_doubling, F.lit(float(ZERO_SHIFT)))).cast("long") + ZERO_SHIFT
+    return F.when(x.isNull(), F.lit(None)).when(F.isnan(x), TOP_BIN + 1).when(x == 0, 0).when(x > 0, step).otherwise(-step)
+
+
+def ranks(subject: DataFrame, peers: DataFrame, cfg: PeerConfig = PeerConfig()) -> DataFrame:
+    """WIN7: (keys, subject_rank) of ``subject(keys, own)`` among ``peers(keys, adj)``, both oriented (larger is better)."""
+    keys = list(KEYS)
+    values = peers.groupBy(*KEYS, "adj").agg(F.count(F.lit(1)).alias("n")).withColumn("bin", value_bin(F.col("adj"), cfg.bins_per_doubling))
+    mine = subject.select(*KEYS, "own", value_bin(F.col("own"), cfg.bins_per_doubling).alias("own_bin"))
+    histogram = values.groupBy(*KEYS, "bin").agg(F.sum("n").alias("n"))
+    above = histogram.join(mine, keys).where(F.col("bin") > F.col("own_bin")).groupBy(*KEYS).agg(F.sum("n").alias("above"))
+    inside = (values.join(mine.withColumnRenamed("own_bin", "bin"), [*keys, "bin"]).where(F.col("adj") > F.col("own"))
+              .groupBy(*KEYS).agg(F.sum("n").alias("inside")))
+    ahead = F.coalesce("above", F.lit(0)) + F.coalesce("inside", F.lit(0))
+    return (mine.select(*KEYS).join(above, keys, "left").join(inside, keys, "left")
+            .select(*KEYS, (ahead + 1).cast("int").alias("subject_rank")))
+
+
 def peer_stats(subject: DataFrame, peers: DataFrame, metric_dim: DataFrame | None = None,
                cfg: PeerConfig = PeerConfig()) -> DataFrame:
     """AGG1-2 + WIN7: one row per benchmarked subject key with stats, rank and polarity."""
@@ -61,12 +88,9 @@ def peer_stats(subject: DataFrame, peers: DataFrame, metric_dim: DataFrame | Non
         F.min("peer_value").alias("peer_min_value"),
     )
     clubs = pe.groupBy(*KEYS, "club").agg(F.count("*").alias("rows")).groupBy(*KEYS).agg(F.count("club").alias("club_count"))
-    salted = pe.withColumn("salt", F.pmod(F.xxhash64("club", "peer_value"), F.lit(cfg.salts)))
-    spread = subj.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cfg.salts - 1).cast("long"))))
-    better = (F.col("peer_value") * F.col("polarity")) > (F.col("subject_value") * F.col("polarity"))
-    ahead = (salted.join(spread, [*keys, "salt"]).groupBy(*KEYS, "salt").agg(F.count_if(better).alias("ahead"))
-             .groupBy(*KEYS).agg((F.sum("ahead") + 1).cast("int").alias("subject_rank")))
-    joined = subj.join(stats, keys).join(clubs.filter(F.col("club_count") >= cfg.min_clubs), keys).join(ahead, keys)
+    oriented = with_polarity(pe, metric_dim, cfg.default_polarity).select(*KEYS, (F.col("peer_value") * F.col("polarity")).alias("adj"))
+    rank = ranks(subj.select(*KEYS, (F.col("subject_value") * F.col("polarity")).alias("own")), oriented, cfg)
+    joined = subj.join(stats, keys).join(clubs.filter(F.col("club_count") >= cfg.min_clubs), keys).join(rank, keys)
     return joined.select(*KEYS, "peer_median", "peer_mean", "peer_max_value", "peer_min_value", "club_count",
                          "subject_rank", "subject_value", "polarity")
 

@@ -59,7 +59,7 @@ def shared_wide(inp: Inputs) -> Inputs:
     from kpiloom.session import checkpoint_root
     checkpoint_root(inp.spark)
     wide = inp.wide().checkpoint(eager=True)
-    inp.wide = lambda: wide
+    inp.wide = lambda club=None: wide if club is None else wide.where(F.col("club") == club)
     return inp
 
 

@@ -93,12 +93,19 @@ def _measures(orders_col: str = "orders") -> dict:
     }
 
 
-def wide_monthly(orders: DataFrame, lineitem: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """W: one row per (month, club, asset_name) with seven metric columns."""
+def wide_monthly(orders: DataFrame, lineitem: DataFrame, customer: DataFrame, nation: DataFrame, club: str | None = None) -> DataFrame:
+    """W: one row per (month, club, asset_name) with seven metric columns.
+
+    For one ``club`` only its customers' orders go into the aggregations: a semi-join thins them out first.
+    """
+    nat = nation.select(F.col("n_nationkey"), F.col("n_name").alias("club"))
+    if club is not None:
+        nat = nat.where(F.col("club") == club)
+        customer = customer.join(sized_broadcast(nat), F.col("c_nationkey") == F.col("n_nationkey"), "left_semi")
+        orders = orders.join(customer.select("c_custkey"), F.col("o_custkey") == F.col("c_custkey"), "left_semi")
     cm = customer_months(orders, lineitem)
     cust = customer.select(F.col("c_custkey"), F.col("c_nationkey"),
                            F.lower("c_mktsegment").alias("asset_name"))
-    nat = nation.select(F.col("n_nationkey"), F.col("n_name").alias("club"))
     j = (cm.join(cust, cm.o_custkey == cust.c_custkey)
            .join(sized_broadcast(nat), F.col("c_nationkey") == F.col("n_nationkey")))
     m = _measures()
@@ -132,9 +139,9 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.data_dir, name)
 
-    def wide(self) -> DataFrame:
+    def wide(self, club: str | None = None) -> DataFrame:
         return wide_monthly(self.table("orders"), self.table("lineitem"), self.table("customer"),
-                            self.table("nation"))
+                            self.table("nation"), club)
 
     def wide_regions(self) -> DataFrame:
         return wide_monthly_regions(self.table("orders"), self.table("customer"), self.table("nation"),
@@ -162,9 +169,10 @@ class Inputs:
         return self.silver() if self.shared else self.fact()
 
     def subject_fact(self, fact: DataFrame | None = None) -> DataFrame:
-        f = self.base_fact() if fact is None else fact
-        return f.filter(F.col("club") == self.subject).select("month", "asset_name", "metric_name",
-                                                              "metric_value")
+        if fact is None:
+            fact = self.silver() if self.shared else self.fact(self.wide(self.subject))
+        return fact.filter(F.col("club") == self.subject).select("month", "asset_name", "metric_name",
+                                                                 "metric_value")
 
     def peer_fact(self, fact: DataFrame | None = None) -> DataFrame:
         f = self.base_fact() if fact is None else fact

@@ -1,11 +1,12 @@
 import datetime as dt
 import random
+import re
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from kpiloom.config import PeerConfig
-from kpiloom.operators.peers import peer_benchmark, peer_stats
+from kpiloom.operators.peers import peer_benchmark, peer_stats, value_bin
 from kpiloom.sources.config_json import metric_dim_from_dict
 
 M = dt.date(2024, 1, 1)
@@ -89,6 +90,26 @@ def test_extra_source_optional(spark):
     assert peer_benchmark(subject(spark, 1), peers(spark, [1, 2, 3, 4, 5])).count() == 1
 
 
+def test_histogram_bins_ascend_and_ranks_are_exact(spark):
+    rnd = random.Random(5)
+    values = sorted([0.0, -0.0, 1e-300, -1e-300, 1e300, -1e300, float("inf"), float("-inf"), 5.0, 5.0, 5.000001] +
+                    [rnd.choice([1, -1]) * 10 ** rnd.uniform(-6, 6) for _ in range(300)])
+    df = spark.createDataFrame([(v,) for v in [*values, float("nan")]], "x double").coalesce(1)
+    bins = [r.b for r in df.select(value_bin(F.col("x"), 64).alias("b")).collect()]
+    assert bins == sorted(bins)
+    for bins_per_doubling in (1, 64):
+        s = spark.createDataFrame([(M, "web", f"m{i}", v) for i, v in enumerate(values[::20])], FACT)
+        p = spark.createDataFrame([(M, "web", f"m{i}", v, f"c{k}") for i in range(len(values[::20])) for k, v in enumerate(values)], PEERS)
+        got = {r.metric_name: r.subject_rank for r in peer_stats(s, p, cfg=PeerConfig(bins_per_doubling=bins_per_doubling)).collect()}
+        assert got == {f"m{i}": 1 + sum(x > v for x in values) for i, v in enumerate(values[::20])}
+
+
+def test_peers_are_dealt_by_value_and_bin(spark):
+    plan = peer_stats(subject(spark, 1), peers(spark, [1, 2, 3, 4, 5]))._jdf.queryExecution().executedPlan().toString()
+    keyed = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert any("adj#" in k for k in keyed) and any("bin#" in k for k in keyed)      # by value, and by bin
+
+
 def test_stats_need_one_aggregate_no_window_sort(spark):
     plan = peer_stats(subject(spark, 1), peers(spark, [1, 2, 3, 4, 5]))._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan

@@ -9,9 +9,9 @@ shuffled by the keys alone. The statistics are partial aggregates of the peers,
 task before their shuffle; clubs are counted in two levels, by (key, club) and then by key.
 
 The rank is ``1 + count(peers strictly better)``, which is ``rank()`` for one subject row per key but needs
-no sort. Peers are counted by (key, oriented value): equal values meet in their task, different ones are
+no sort. Peers are counted by (key, value): equal values meet in their task, different ones are
 dealt over all tasks. Over these counts lies a histogram per key, whose bins are narrow ranges of values
-(``PeerConfig.bins_per_doubling``, so the bins fit any scale). Bins above the subject's count as a whole;
+(``PeerConfig.bins_per_doubling``, so the bins fit any scale). Bins beyond the subject's count as a whole;
 only the values in the subject's own bin are compared with it, joined by (key, bin). So a key takes as many
 tasks as it has values, and what is compared is a small part of it. A repeated subject key counts as one
 row with its largest value. The 12-row change is a window on (asset, metric) over the aggregated rows
@@ -21,6 +21,7 @@ row with its largest value. The 12-row change is a window on (asset, metric) ove
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -60,26 +61,25 @@ def value_bin(x: Column, per_doubling: int) -> Column:
     return F.when(x.isNull(), F.lit(None)).when(F.isnan(x), TOP_BIN + 1).when(x == 0, 0).when(x > 0, step).otherwise(-step)
 
 
-def ranks(subject: DataFrame, peers: DataFrame, cfg: PeerConfig = PeerConfig()) -> DataFrame:
-    """WIN7: (keys, subject_rank) of ``subject(keys, own)`` among ``peers(keys, adj)``, both oriented (larger is better)."""
-    keys = list(KEYS)
-    values = peers.groupBy(*KEYS, "adj").agg(F.count(F.lit(1)).alias("n")).withColumn("bin", value_bin(F.col("adj"), cfg.bins_per_doubling))
-    mine = subject.select(*KEYS, "own", value_bin(F.col("own"), cfg.bins_per_doubling).alias("own_bin"))
-    histogram = values.groupBy(*KEYS, "bin").agg(F.sum("n").alias("n"))
-    above = histogram.join(mine, keys).where(F.col("bin") > F.col("own_bin")).groupBy(*KEYS).agg(F.sum("n").alias("above"))
-    inside = (values.join(mine.withColumnRenamed("own_bin", "bin"), [*keys, "bin"]).where(F.col("adj") > F.col("own"))
-              .groupBy(*KEYS).agg(F.sum("n").alias("inside")))
-    ahead = F.coalesce("above", F.lit(0)) + F.coalesce("inside", F.lit(0))
-    return (mine.select(*KEYS).join(above, keys, "left").join(inside, keys, "left")
-            .select(*KEYS, (ahead + 1).cast("int").alias("subject_rank")))
+def ahead(subject: DataFrame, peers: DataFrame, cfg: PeerConfig = PeerConfig()) -> DataFrame:
+    """WIN7: rows (keys, ahead) that add up to the number of peers strictly better than ``subject(keys, subject_value, polarity)``."""
+    values = peers.groupBy(*KEYS, "peer_value").agg(F.count(F.lit(1)).alias("ahead")).withColumn("bin", value_bin(F.col("peer_value"), cfg.bins_per_doubling))
+    mine = subject.withColumn("own_bin", value_bin(F.col("subject_value"), cfg.bins_per_doubling))
+    # NaN is above everything, whatever the polarity.
+    above = (F.col("bin") != F.col("own_bin")) & ((F.col("bin") > TOP_BIN) | ((F.col("bin") - F.col("own_bin")) * F.col("polarity") > 0))
+    better = (F.col("peer_value") * F.col("polarity")) > (F.col("subject_value") * F.col("polarity"))
+    histogram = values.groupBy(*KEYS, "bin").agg(F.sum("ahead").alias("ahead"))
+    inside = values.join(mine.withColumnRenamed("own_bin", "bin"), [*KEYS, "bin"]).where(better)
+    return histogram.join(mine, list(KEYS)).where(above).select(*KEYS, "ahead").unionByName(inside.select(*KEYS, "ahead"))
 
 
 def peer_stats(subject: DataFrame, peers: DataFrame, metric_dim: DataFrame | None = None,
                cfg: PeerConfig = PeerConfig()) -> DataFrame:
-    """AGG1-2 + WIN7: one row per benchmarked subject key with stats, rank and polarity."""
-    keys = list(KEYS)
-    subj = with_polarity(subject.groupBy(*KEYS).agg(F.max("metric_value").alias("subject_value")),
-                         metric_dim, cfg.default_polarity)
+    """AGG1-2 + WIN7: one row per benchmarked subject key with stats, rank and polarity.
+
+    The parts have a few rows per key; they are stacked and meet in one aggregation instead of joins.
+    """
+    mine = with_polarity(subject.groupBy(*KEYS).agg(F.max("metric_value").alias("subject_value")), metric_dim, cfg.default_polarity)
     pe = peers.select(*KEYS, "peer_value", "club")
     stats = pe.groupBy(*KEYS).agg(
         F.percentile_approx("peer_value", 0.5, cfg.median_accuracy).alias("peer_median"),
@@ -88,11 +88,14 @@ def peer_stats(subject: DataFrame, peers: DataFrame, metric_dim: DataFrame | Non
         F.min("peer_value").alias("peer_min_value"),
     )
     clubs = pe.groupBy(*KEYS, "club").agg(F.count("*").alias("rows")).groupBy(*KEYS).agg(F.count("club").alias("club_count"))
-    oriented = with_polarity(pe, metric_dim, cfg.default_polarity).select(*KEYS, (F.col("peer_value") * F.col("polarity")).alias("adj"))
-    rank = ranks(subj.select(*KEYS, (F.col("subject_value") * F.col("polarity")).alias("own")), oriented, cfg)
-    joined = subj.join(stats, keys).join(clubs.filter(F.col("club_count") >= cfg.min_clubs), keys).join(rank, keys)
-    return joined.select(*KEYS, "peer_median", "peer_mean", "peer_max_value", "peer_min_value", "club_count",
-                         "subject_rank", "subject_value", "polarity")
+    parts = [stats, clubs, ahead(mine, pe, cfg), mine]
+    stacked = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    one = ("peer_median", "peer_mean", "peer_max_value", "peer_min_value", "club_count", "subject_value", "polarity")
+    met = stacked.groupBy(*KEYS).agg(*[F.max(c).alias(c) for c in one], (F.coalesce(F.sum("ahead"), F.lit(0)) + 1).cast("int").alias("subject_rank"))
+    # Only the subject's rows have a polarity. A NULL in the keys meets nothing.
+    known = F.col("month").isNotNull() & F.col("asset_name").isNotNull() & F.col("metric_name").isNotNull()
+    return met.where(F.col("polarity").isNotNull() & (F.col("club_count") >= cfg.min_clubs) & known).select(
+        *KEYS, "peer_median", "peer_mean", "peer_max_value", "peer_min_value", "club_count", "subject_rank", "subject_value", "polarity")
 
 
 def peer_rank_gap(stats: DataFrame) -> DataFrame:

@@ -107,7 +107,7 @@ def test_histogram_bins_ascend_and_ranks_are_exact(spark):
 def test_peers_are_dealt_by_value_and_bin(spark):
     plan = peer_stats(subject(spark, 1), peers(spark, [1, 2, 3, 4, 5]))._jdf.queryExecution().executedPlan().toString()
     keyed = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
-    assert any("adj#" in k for k in keyed) and any("bin#" in k for k in keyed)      # by value, and by bin
+    assert any("peer_value#" in k for k in keyed) and any("bin#" in k for k in keyed)      # by value, and by bin
 
 
 def test_stats_need_one_aggregate_no_window_sort(spark):

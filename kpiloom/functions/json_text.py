@@ -62,13 +62,8 @@ def number(source: str) -> Value:
 def number_text(x: Column) -> Column:
     """The shortest plain decimal of ``DIGITS`` significant digits; NULL for NaN and infinities."""
     exact = F.format_string(f"%.{DIGITS - 1}e", x)
-    size = F.abs(exact.try_cast("decimal(37,18)"))
-    whole = F.floor(size).cast("decimal(19,0)")
-    part = (size - whole).cast("decimal(19,18)") + F.lit(1)     # decimals from 1 on are never written with an exponent
-    digits = F.regexp_replace(F.concat(whole.cast("string"), F.substring(part.cast("string"), 2, 19)), r"\.?0+$", "")
-    plain = F.when((x < 0) & (size > 0), F.concat(F.lit("-"), digits)).otherwise(digits)
-    finite = x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
-    return F.when(finite, F.coalesce(plain, exact))
+    plain = F.call_function("format_number", exact.cast("double"), F.lit("0." + "#" * 18))
+    return F.when(F.abs(x) < 1e19, F.regexp_replace(plain, "^-0$", "0")).when(F.abs(x) < float("inf"), exact)
 
 
 def quoted(x: Column) -> Column:

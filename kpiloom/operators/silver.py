@@ -6,8 +6,7 @@ type is cast, and text that cannot be cast is set aside. So sheets whose columns
 without surprises, and nothing that is not understood gets lost or becomes a silent NULL: it is a row of
 the rejects table, with the raw text and the reason.
 
-All of it is narrow projections. Measures are unpivoted with their raw text, so facts and rejects are two
-filters of one plan over the same scan.
+All of it is narrow projections: no shuffle. Only what comes as text is looked through for rejects.
 """
 
 from __future__ import annotations
@@ -21,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, StringType, TimestampType
 
 from kpiloom.config import BENCHMARK_ALLOWLIST, INTERNAL_ALLOWLIST, INTERNAL_HEADER_RENAMES
-from kpiloom.operators.normalize import clean_columns, metric_category, tag_asset
+from kpiloom.operators.normalize import clean_columns, clean_header, metric_category, tag_asset
 
 REJECT_SCHEMA = ("asset_name string, asset_type string, source_type string, source_file_name string, "
                  "ingestion_timestamp timestamp, month_text string, column_name string, raw_value string, reason string")
@@ -85,8 +84,11 @@ def number_of(column: Column, kind) -> tuple[Column, Column]:
     return value, F.when(value.isNull() & (text != ""), text)
 
 
-def reconciled(sheet: Sheet, contract: SilverContract) -> DataFrame:
-    """The sheet in the contract's wide form: typed ids, ``month_text``, and each measure as (value, raw text)."""
+def reconciled(sheet: Sheet, contract: SilverContract, rejected: bool = False) -> DataFrame:
+    """The sheet in the contract's wide form: typed ids, ``month_text``, and its measures as doubles.
+
+    ``rejected``: instead of the values, the text that is no number, of the measures that come as text.
+    """
     raw = tag_asset(clean_columns(sheet.rows, contract.renames), sheet.asset_name, sheet.asset_type)
     kinds = {f.name: f.dataType for f in raw.schema.fields}
     ids = []
@@ -99,8 +101,8 @@ def reconciled(sheet: Sheet, contract: SilverContract) -> DataFrame:
             value = F.col(name).cast("string").try_cast(kind) if isinstance(kinds[name], StringType) else F.col(name).cast(kind)
         ids.append(value.alias(name))
     month_text = F.col("month").cast("string") if "month" in kinds else F.lit(None).cast("string")
-    measures = measures_of(raw, contract)
-    cells = [F.struct(*[c.alias(n) for c, n in zip(number_of(F.col(f"`{m}`"), kinds[m]), ("value", "bad"), strict=True)]).alias(m) for m in measures]
+    measures = [m for m in measures_of(raw, contract) if not (rejected and isinstance(kinds[m], NumericType))]
+    cells = [number_of(F.col(f"`{m}`"), kinds[m])[int(rejected)].alias(m) for m in measures]
     return raw.select(*ids, month_text.alias("month_text"), *cells)
 
 
@@ -114,18 +116,16 @@ def measures_of(raw: DataFrame, contract: SilverContract) -> list[str]:
 
 def wide_sheet(sheet: Sheet, contract: SilverContract) -> DataFrame:
     """The sheet's typed wide table: the contract's ids and the sheet's measures as doubles."""
-    rows = reconciled(sheet, contract)
-    measures = [c for c in rows.columns if c not in (*contract.id_names, "month_text")]
-    return rows.select(*contract.id_names, *[F.col(f"`{m}`.value").alias(m) for m in measures])
+    return reconciled(sheet, contract).drop("month_text")
 
 
 def unreadable_month() -> Column:
     return F.col("month").isNull() & (F.trim("month_text") != "")
 
 
-def cells(sheet: Sheet, contract: SilverContract) -> DataFrame | None:
-    """One row per cell: ids, month_text, metric_name and cell (value, bad). None: the sheet has no measure."""
-    rows = reconciled(sheet, contract)
+def cells(sheet: Sheet, contract: SilverContract, rejected: bool = False) -> DataFrame | None:
+    """One row per cell: ids, month_text, metric_name and cell. None: the sheet has no such measure."""
+    rows = reconciled(sheet, contract, rejected)
     ids = [*contract.id_names, "month_text"]
     measures = [c for c in rows.columns if c not in ids]
     return rows.unpivot(ids, measures, "metric_name", "cell") if measures else None
@@ -136,30 +136,36 @@ def silver_fact(sheets: Sequence[Sheet], contract: SilverContract) -> DataFrame:
     found = [c for c in (cells(s, contract) for s in sheets) if c is not None]
     if not found:
         return sheets[0].rows.sparkSession.createDataFrame([], contract.schema)
-    fact = reduce(DataFrame.unionByName, found).where(F.col("cell.value").isNotNull() & ~F.coalesce(unreadable_month(), F.lit(False)))
+    fact = reduce(DataFrame.unionByName, found).where(F.col("cell").isNotNull() & ~F.coalesce(unreadable_month(), F.lit(False)))
     if contract.drop_nan:
-        fact = fact.where(~F.isnan("cell.value"))
-    out = fact.select(*contract.id_names, "metric_name", F.col("cell.value").alias("metric_value"), F.lit(contract.source_type).alias("source_type"))
+        fact = fact.where(~F.isnan("cell"))
+    out = fact.select(*contract.id_names, "metric_name", F.col("cell").alias("metric_value"), F.lit(contract.source_type).alias("source_type"))
     if contract.with_category:
         out = out.withColumn("metric_category", metric_category(F.col("metric_name")))
     return out.select(*contract.columns)
 
 
 def silver_rejects(sheets: Sequence[Sheet], contract: SilverContract) -> DataFrame:
-    """What the fact leaves out: one row per sheet row with an unreadable month, and per cell that is no number."""
+    """What the fact leaves out: one row per sheet row with an unreadable month, and per cell that is no number.
+
+    Sheets whose months and measures are typed cannot have any, and are not read for it.
+    """
     lineage = lambda df: [F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c)
                           for c, t in (("asset_name", "string"), ("asset_type", "string"), ("source_file_name", "string"), ("ingestion_timestamp", "timestamp"))]
-    parts = []
+    parts = [sheets[0].rows.sparkSession.createDataFrame([], REJECT_SCHEMA)]
     for sheet in sheets:
         rows = reconciled(sheet, contract)
-        parts.append(rows.where(unreadable_month()).select(
-            *lineage(rows), "month_text", F.lit("month").alias("column_name"), F.col("month_text").alias("raw_value"), F.lit(BAD_MONTH).alias("reason")))
-        each = cells(sheet, contract)
+        kinds = {clean_header(f.name, contract.renames): f.dataType for f in sheet.rows.schema.fields}
+        if not isinstance(kinds.get("month"), (DateType, TimestampType)):
+            parts.append(rows.where(unreadable_month()).select(
+                *lineage(rows), "month_text", F.lit("month").alias("column_name"), F.col("month_text").alias("raw_value"), F.lit(BAD_MONTH).alias("reason")))
+        each = cells(sheet, contract, rejected=True)
         if each is not None:
-            parts.append(each.where(F.col("cell.bad").isNotNull()).select(
-                *lineage(each), "month_text", F.col("metric_name").alias("column_name"), F.col("cell.bad").alias("raw_value"), F.lit(BAD_NUMBER).alias("reason")))
+            parts.append(each.where(F.col("cell").isNotNull()).select(
+                *lineage(each), "month_text", F.col("metric_name").alias("column_name"), F.col("cell").alias("raw_value"), F.lit(BAD_NUMBER).alias("reason")))
     names = [c.split()[0] for c in REJECT_SCHEMA.split(", ")]
-    return reduce(DataFrame.unionByName, parts).withColumn("source_type", F.lit(contract.source_type)).select(*names)
+    typed = [p.withColumn("source_type", F.lit(contract.source_type)).select(*names) for p in parts]
+    return reduce(DataFrame.unionByName, typed)
 
 
 def normalize_internal(sheets: Sequence[Sheet], contract: SilverContract = INTERNAL) -> DataFrame:

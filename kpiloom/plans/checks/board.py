@@ -27,7 +27,7 @@ from BD
 """)
 def q_priority_board(spark: SparkSession, sf: str) -> DataFrame:
     g = Gold(Inputs(spark, sf))
-    return ranked_priorities(g.scores(), signals=g.signals).select(*FLAT)
+    return ranked_priorities(g.ranked_from(), signals=g.signals).select(*FLAT)
 
 
 # The signals that name a row, once per role, and the other active rows of its month and asset.
@@ -59,7 +59,7 @@ select BD.*, supporting_metrics_json from BD join payload using (month, priority
 def q_priority_board_json(spark: SparkSession, sf: str) -> DataFrame:
     """The whole board, with the evidence as JSON text."""
     g = Gold(Inputs(spark, sf))
-    return priority_board(g.scores(), signals=g.signals)
+    return priority_board(g.ranked_from(), signals=g.signals)
 
 
 JSON_WEIGHTS = {"severity": 0.1, "persistence": 0.15, "peer_gap": 0.2, "commercial": 0.25, "evidence": 0.3}
@@ -83,7 +83,7 @@ def q_board_weights_json(spark: SparkSession, sf: str) -> DataFrame:
     literal_rows(spark, [(text,)], "value string").coalesce(1).write.text(path)
     g = Gold(Inputs(spark, sf))
     cfg = BoardConfig(weights=weights_from_json(spark, path))
-    return ranked_priorities(g.scores(), cfg, g.signals).select("month", "priority_id", "priority_score", "priority_rank")
+    return ranked_priorities(g.ranked_from(), cfg, g.signals).select("month", "priority_id", "priority_score", "priority_rank")
 
 
 @register("priority_board_json_roundtrip", gold_sql(board=True) + """
@@ -101,7 +101,7 @@ def q_priority_board_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     from pyspark.sql import functions as F
 
     g = Gold(Inputs(spark, sf))
-    board = priority_board(g.scores(), signals=g.signals)
+    board = priority_board(g.ranked_from(), signals=g.signals)
     p = F.from_json("supporting_metrics_json", json_type(EVIDENCE), {"mode": "FAILFAST"})
     out = board.select("priority_id", "priority_rank", p.alias("p")).select(
         "priority_id", "priority_rank", *[F.round(f"p.score_components.{c}", 9).alias(c) for c in EVIDENCE.fields["score_components"].fields], "p.severity_inputs.health_status",

@@ -21,7 +21,7 @@ select month, priority_rank, priority_id, priority_title, priority_category, rou
 from BD where priority_rank <= 3
 """)
 def q_brief_priorities_flat(spark: SparkSession, sf: str) -> DataFrame:
-    return top_priority_items(ranked_priorities((g := Gold(Inputs(spark, sf))).scores(), signals=g.signals))
+    return top_priority_items(ranked_priorities((g := Gold(Inputs(spark, sf))).ranked_from(), signals=g.signals))
 
 
 @register("brief_anomalies_flat", gold_sql() + """
@@ -106,7 +106,7 @@ from hm left join tp using (month) left join ta using (month) left join ts using
 def q_brief_inputs_json(spark: SparkSession, sf: str) -> DataFrame:
     """The whole brief: all five JSON texts, every field and the order of the lists."""
     g = Gold(Inputs(spark, sf)).kept()
-    return brief_inputs(priority_board(g.scores(), signals=g.signals), g.health, g.bench, g.signals)
+    return brief_inputs(priority_board(g.ranked_from(), signals=g.signals), g.health, g.bench, g.signals)
 
 
 @register("brief_inputs_json_roundtrip", gold_sql(board=True) + """
@@ -131,7 +131,7 @@ def q_brief_inputs_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     from pyspark.sql import functions as F
 
     g = Gold(Inputs(spark, sf)).kept()
-    brief = brief_inputs(priority_board(g.scores(), signals=g.signals), g.health, g.bench, g.signals)
+    brief = brief_inputs(priority_board(g.ranked_from(), signals=g.signals), g.health, g.bench, g.signals)
     read = lambda c, part: F.from_json(c, json_type(part), {"mode": "FAILFAST"})
     pri, hs = read("top_priority_ids_json", Many("", TOP_PRIORITY)), read("health_summary_json", HEALTH_SUMMARY)
     return brief.select(

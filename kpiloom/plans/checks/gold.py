@@ -34,10 +34,15 @@ class Gold:
         self.weights_dim = self.dim if with_dictionary else None
 
     def kept(self) -> "Gold":
-        """Health, benchmark and signals materialised once (one row per series and month): the brief reads each several times."""
-        self.health, self.bench, self.signals = (df.checkpoint(eager=True) for df in (self.health, self.bench, self.signals))
+        """Health and benchmark materialised once (one row per series and month): the brief reads each several times."""
+        self.health, self.bench = self.health.checkpoint(eager=True), self.bench.checkpoint(eager=True)
         return self
 
+    def ranked_from(self) -> DataFrame:
+        """The scores, materialised with the signals: a board reads them for its rows, the shown pairs and the evidence."""
+        self.signals = self.signals.checkpoint(eager=True)
+        return self.scores().checkpoint(eager=True)
+
     def scored(self) -> DataFrame:
         return active_scored(self.health, self.bench, self.signals, self.weights_dim, FIXTURE_PRIORITY)
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from kpiloom.session import path_exists
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -25,9 +26,4 @@ def optional_source(spark: SparkSession, name: str | None, fmt: str = "parquet")
         return None
     if "/" not in name:
         return spark.read.table(name) if spark.catalog.tableExists(name) else None
-    try:
-        return spark.read.format(fmt).load(name)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return spark.read.format(fmt).load(name) if path_exists(spark, name) else None

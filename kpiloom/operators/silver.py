@@ -152,7 +152,7 @@ def silver_rejects(sheets: Sequence[Sheet], contract: SilverContract) -> DataFra
     """
     lineage = lambda df: [F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c)
                           for c, t in (("asset_name", "string"), ("asset_type", "string"), ("source_file_name", "string"), ("ingestion_timestamp", "timestamp"))]
-    parts = [sheets[0].rows.sparkSession.createDataFrame([], REJECT_SCHEMA)]
+    parts = []
     for sheet in sheets:
         rows = reconciled(sheet, contract)
         kinds = {clean_header(f.name, contract.renames): f.dataType for f in sheet.rows.schema.fields}
@@ -163,6 +163,8 @@ def silver_rejects(sheets: Sequence[Sheet], contract: SilverContract) -> DataFra
         if each is not None:
             parts.append(each.where(F.col("cell").isNotNull()).select(
                 *lineage(each), "month_text", F.col("metric_name").alias("column_name"), F.col("cell").alias("raw_value"), F.lit(BAD_NUMBER).alias("reason")))
+    if not parts:
+        return sheets[0].rows.sparkSession.createDataFrame([], REJECT_SCHEMA)
     names = [c.split()[0] for c in REJECT_SCHEMA.split(", ")]
     typed = [p.withColumn("source_type", F.lit(contract.source_type)).select(*names) for p in parts]
     return reduce(DataFrame.unionByName, typed)

@@ -4,6 +4,9 @@ Edges are ``window``-word k-mers of the whole texts; an edge seen before (smalle
 same document and an earlier start) is a repeat. The graph is partitioned by minimizers: the smallest
 hash of the ``seed``-word k-mers inside an edge names its bucket, so consecutive edges mostly share one.
 
+0. Minimizers shared by ``hot_edges`` edges or more (of a phrase that many documents hold, its surroundings
+   differing) are counted first, by partial sums. Their edges are dealt out one by one, by the edge's own
+   64 bits in the minimizer's place, so no bucket grows with them.
 1. Tasks hash whole texts in blocks of words. An edge that already occurred earlier in the block is a
    repeat for certain and is settled there, so a passage that fills a third of all rows leaves each
    block once. First occurrences go to their bucket as runs of consecutive edges.
@@ -14,7 +17,8 @@ hash of the ``seed``-word k-mers inside an edge names its bucket, so consecutive
 
 Defined cases: null or empty texts have no words; texts shorter than a window repeat nothing; rows
 whose id is null are neither sources nor changed; rows with equal id and text are one document;
-rows with equal id and other texts are ordered by a hash of their text; extra columns pass through.
+rows with equal id and other texts are ordered by a hash of their text; extra columns pass through;
+texts of any length are read whole, in overlapping blocks; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -39,6 +43,7 @@ class Repeats:
     window: int = 20            # words per edge
     block_words: int = 1 << 20  # words hashed and compared at once in a task
     bucket_bytes: int = 6 << 20  # text bytes whose edges one bucket receives, on average
+    hot_edges: int = 1 << 16    # edges of one minimizer from which they are dealt out one by one
 
     @property
     def seed(self) -> int:
@@ -83,15 +88,63 @@ class _Block:
         self.pos = keep - (end - sizes)[self.owner] + offset[self.owner]
 
 
-def _edges(cfg: Repeats, buckets: int):
+def _first_of_equals(edge: np.ndarray) -> np.ndarray:
+    """For each edge, the index of its first occurrence."""
+    order = np.argsort(edge, kind="stable")
+    same = np.zeros(len(order), bool)
+    same[1:] = edge[order][1:] == edge[order][:-1]
+    first = np.empty(len(order), np.int64)
+    first[order] = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))] if len(order) else order
+    return first
+
+
+def _blocks(batches, cfg: Repeats):
+    """Pieces (id, version, first word, hashes) of the texts, ``block_words`` words at a time."""
+    pieces, words = [], 0
+    for batch in batches:
+        ids, versions = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        for w in slices(batch.column(2), False):
+            at = w.bounds()
+            for k in range(w.last - w.first):
+                s, e, name = at[k], at[k + 1], ids[w.first + k]
+                if e - s < cfg.window or name is None:
+                    continue
+                for a in range(s, e - cfg.window + 1, cfg.block_words):
+                    part = w.hash[a:min(e, a + cfg.block_words + cfg.window - 1)].copy()
+                    pieces.append((name, versions[w.first + k], int(a - s), part))
+                    words += len(part)
+                    if words >= cfg.block_words:
+                        yield pieces
+                        pieces, words = [], 0
+    if pieces:
+        yield pieces
+
+
+def hot_minimizers(texts: DataFrame, cfg: Repeats, blocks: int) -> np.ndarray:
+    """Minimizers of about ``hot_edges`` edges or more, sorted.
+
+    A block reports those with at least half the share that such a minimizer has per block, so one that reaches
+    ``hot_edges`` is reported with half of them at least; fewer than 2 / hot_edges of all edges are returned.
+    """
+    least = max(2, cfg.hot_edges // (2 * max(1, blocks)))
+
+    def count(batches):
+        for pieces in _blocks(batches, cfg):
+            b = _Block(pieces, cfg)
+            first = _first_of_equals(b.edge)
+            low, n = np.unique(b.low[first == np.arange(len(first))], return_counts=True)
+            top = n >= least
+            yield pa.RecordBatch.from_arrays([pa.array(low[top].view(np.int64)), pa.array(n[top].astype(np.int64))], ["low", "n"])
+
+    rows = (texts.mapInArrow(count, "low long, n long").groupBy("low").agg(F.sum("n").alias("n"))
+            .where(F.col("n") >= cfg.hot_edges // 2).select("low").collect())
+    return np.sort(np.array([r[0] for r in rows], np.int64).view(_U))
+
+
+def _edges(cfg: Repeats, buckets: int, hot: np.ndarray):
     def emit(pieces):
         b = _Block(pieces, cfg)
-        order = np.argsort(b.edge, kind="stable")
-        same = np.zeros(len(order), bool)
-        same[1:] = b.edge[order][1:] == b.edge[order][:-1]
-        lead = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))] if len(order) else order
-        first = np.empty(len(order), np.int64)
-        first[order] = lead
+        first = _first_of_equals(b.edge)
         moved = (b.ids[b.owner] != b.ids[b.owner[first]]) | (b.versions[b.owner] != b.versions[b.owner[first]]) | (b.pos != b.pos[first])
         dup = np.flatnonzero((first != np.arange(len(first))) & moved)
         start, n = runs_of(_paths(b.owner[dup], b.pos[dup], first[dup]))
@@ -102,6 +155,8 @@ def _edges(cfg: Repeats, buckets: int):
         if not len(own):
             return
         owner, pos, low, edge = b.owner[own], b.pos[own], b.low[own], b.edge[own]
+        if len(hot):
+            low = np.where(hot[np.searchsorted(hot, low).clip(max=len(hot) - 1)] == low, edge, low)
         new = np.ones(len(own), bool)
         new[1:] = (owner[1:] != owner[:-1]) | (pos[1:] != pos[:-1] + 1) | (low[1:] != low[:-1])
         new |= (pos & 63) == 0
@@ -143,26 +198,7 @@ def _edges(cfg: Repeats, buckets: int):
             pa.array([b""] * len(local) + tails, pa.binary())], ["bucket", "head", "tail"])
 
     def run(batches):
-        def blocks():
-            pieces, words = [], 0
-            for batch in batches:
-                ids, versions = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-                for w in slices(batch.column(2), False):
-                    at = w.bounds()
-                    for k in range(w.last - w.first):
-                        s, e, name = at[k], at[k + 1], ids[w.first + k]
-                        if e - s < cfg.window or name is None:
-                            continue
-                        for a in range(s, e - cfg.window + 1, cfg.block_words):
-                            part = w.hash[a:min(e, a + cfg.block_words + cfg.window - 1)].copy()
-                            pieces.append((name, versions[w.first + k], int(a - s), part))
-                            words += len(part)
-                            if words >= cfg.block_words:
-                                yield pieces
-                                pieces, words = [], 0
-            if pieces:
-                yield pieces
-        yield from batches_of(x for p in blocks() for x in emit(p))
+        yield from batches_of(x for p in _blocks(batches, cfg) for x in emit(p))
     return run
 
 
@@ -225,8 +261,10 @@ def repeated_spans(docs: DataFrame, cfg: Repeats = Repeats(), id_col: str = "doc
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-total // cfg.bucket_bytes))
-    edges = (texts.select("id", _version(F.col("text")).alias("version"), "text")
-             .mapInArrow(_edges(cfg, buckets), "bucket long, head binary, tail binary"))
+    texts = texts.select("id", _version(F.col("text")).alias("version"), "text")
+    # A word and its space take some 6 bytes: blocks of whole texts, estimated.
+    hot = hot_minimizers(texts, cfg, -(-total // (6 * cfg.block_words)))
+    edges = texts.mapInArrow(_edges(cfg, buckets, hot), "bucket long, head binary, tail binary")
     # Local spans (bucket -1) are dealt out over groups of their own.
     deal = F.when(F.col("bucket") >= 0, F.lit(0)).otherwise(F.pmod(F.xxhash64("head"), F.lit(buckets)))
     spans = edges.withColumn("deal", deal).groupBy("bucket", "deal").applyInArrow(_repeats, _SPANS)

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from kpiloom.llm.substring import Repeats, cut_text, glue, kept_words, remove_repeats
+from kpiloom.llm.substring import Repeats, cut_text, glue, hot_minimizers, kept_words, remove_repeats
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -39,6 +39,19 @@ def test_random_repeats_against_brute_force(make_docs, size, block):
     assert result(df) == sorted(brute(rows, size), key=str)
 
 
+def test_phrase_of_a_third_of_rows(make_docs):
+    """Its minimizers are hot: their edges are dealt out one by one, with the same result."""
+    rng = random.Random(3)
+    phrase = " ".join(f"p{i}" for i in range(15))
+    noise = lambda: " ".join(f"w{rng.randrange(5000)}" for _ in range(12))
+    rows = [(i, f"{noise()} {phrase} {noise()}" if i % 3 == 0 else f"{noise()} {noise()}") for i in range(300)]
+    rows += [(1000 + i, rows[3 * i][1]) for i in range(20)]
+    docs, cfg = make_docs(rows).repartition(4), Repeats(window=20, block_words=400, bucket_bytes=2000, hot_edges=32)
+    hot = hot_minimizers(docs.selectExpr("doc_id", "1L AS version", "text"), cfg, 30)
+    assert 0 < len(hot) <= 15
+    assert result(kept_words(docs, cfg)) == sorted(brute(rows, 20), key=str)
+
+
 def test_edges(edge_docs):
     from tests.llm.conftest import EDGES
     got = result(kept_words(edge_docs, Repeats(window=20, block_words=5000)))

@@ -18,27 +18,31 @@ Spark's part:
 
 1. Tasks hash texts in blocks of words and send each block's distinct (context, word) pairs, with the
    documents that hold them, to the bucket of the context. Contexts with more than half a bucket's share
-   of all tokens are spread over several buckets by their words; their totals are added up in step 3.
+   of all tokens are spread over several buckets by their words.
 2. Buckets sample the seating of their restaurants (parents estimated from the bucket) and send
    customers and tables per word to the bucket of the word.
 3. There the parent restaurant adds up, is sampled, and answers each bucket that asked.
-4. Buckets sample again under the shared parent and turn the averaged predictions into sums per document,
-   which meet by block. Repeated words of a block travel once, so frequent words don't grow a task.
+4. The parts of spread contexts are sampled under the shared parent, and the tables of every sample are added
+   up over the parts (a few numbers per part and sample). So the sum over all words of their predictions is 1, as
+   for the others.
+5. Buckets sample again under the shared parent (spread contexts draw the same seats as in step 4) and turn the
+   averaged predictions into sums per document, which meet by block. Repeated words of a block travel once.
 
 Defined cases: null or empty texts hold only the end token; rows whose id is null are scored and
 learnt from; repeated rows count as often as they occur and are scored each; without any training text
-all words are unknown; extra columns are ignored; empty tables give no rows.
+all words are unknown; extra columns are ignored; texts of any length are read whole; empty tables give no rows.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.llm.blobs import pack, unpack
@@ -210,7 +214,7 @@ def _from_six(raw: np.ndarray) -> np.ndarray:
 class _Bucket:
     """The pairs of a bucket, added up over its blocks."""
 
-    def __init__(self, rows: pa.Table, cfg: PitmanYor, hot: dict[int, int]):
+    def __init__(self, rows: pa.Table, cfg: PitmanYor, hot: dict[int, int], only_wide: bool = False):
         self.cfg, self.hot = cfg, hot
         self.blocks, context, words, per_pair, entries = [], [], [], [], []
         for block, blob in zip(rows["block"].to_pylist(), rows["blob"].to_pylist(), strict=True):
@@ -222,24 +226,44 @@ class _Bucket:
             entries.append(learnt)
             self.blocks.append((block, ids, place, local, times))
         self.per_pair = per_pair
-        context, words = np.concatenate(context), np.concatenate(words)
+        context, words, entries = np.concatenate(context), np.concatenate(words), np.concatenate(entries)
+        self.words = np.unique(words)
+        if only_wide:
+            keep = np.isin(context, np.array(list(hot), np.int64).view(_U))
+            context, words, entries = context[keep], words[keep], entries[keep]
         key = mix(context * _U(0x9E3779B97F4A7C15) ^ words)
         key, first, self.pair_of = np.unique(key, return_index=True, return_inverse=True)
-        self.count = np.bincount(self.pair_of, np.concatenate(entries), len(key)).astype(np.int64)
+        self.count = np.bincount(self.pair_of, entries, len(key)).astype(np.int64)
         self.contexts, self.house = np.unique(context[first], return_inverse=True)
-        self.words, self.word = np.unique(words[first], return_inverse=True)
+        self.word = np.searchsorted(self.words, words[first])
         self.scale = np.array([hot.get(int(c), 1) for c in self.contexts.view(np.int64)], float)
-
-    def sweeps(self, parent: np.ndarray, n: int, start: np.ndarray | None, rng) -> np.ndarray:
-        seen = np.flatnonzero(self.count > 0)
-        tables = (self.count > 0).astype(np.int64) if start is None else start
-        for _ in range(n):
+        self.wide = np.isin(self.contexts, np.array(list(hot), np.int64).view(_U))
+
+    def sweeps(self, parent: np.ndarray, n: int, start: np.ndarray | None, rng, dishes: np.ndarray | None = None) -> np.ndarray:
+        """Tables per dish after ``n`` sweeps over the given dishes (None: all); the others have none."""
+        learnt = (self.count > 0) if dishes is None else (self.count > 0) & dishes
+        seen = np.flatnonzero(learnt)
+        tables = learnt.astype(np.int64) if start is None else start.copy()
+        for _ in range(n if len(seen) else 0):
             tables[seen] = seat(self.count[seen], tables[seen], self.house[seen], self.scale, parent[self.word[seen]],
                                 self.cfg.discount, self.cfg.strength, self.cfg.exact_customers, rng)
         return tables
 
-    def hot_houses(self) -> np.ndarray:
-        return np.flatnonzero(self.scale > 1)
+    def samples(self, parent: np.ndarray, me: int, wide: bool) -> Iterator[np.ndarray]:
+        """Tables per dish in each sample, of the spread contexts or of the others.
+
+        The two draw apart and independently of the order of rows, so the seats of spread contexts are the same
+        whenever they are drawn.
+        """
+        rng, dishes = np.random.default_rng([self.cfg.seed, 2, me, int(wide)]), self.wide[self.house] == wide
+        seats = self.sweeps(parent, self.cfg.burn_in, None, rng, dishes)
+        for i in range(self.cfg.samples):
+            seats = self.sweeps(parent, 1, seats, rng, dishes) if i else seats
+            yield seats
+
+    def totals(self, per_dish: np.ndarray) -> np.ndarray:
+        """Sums per restaurant."""
+        return np.bincount(self.house, per_dish, len(self.contexts)).astype(np.int64)
 
 
 _ASK = "wbucket long, bucket long, blob binary"
@@ -259,81 +283,110 @@ def _ask(cfg: PitmanYor, buckets: int, hot: dict[int, int], tokens: int):
         cut = np.searchsorted(to[order], np.arange(buckets + 1))
         out = [(i, pack(_six(b.words[order[x:y]]), local[order[x:y]].astype(np.uint64), by_word[order[x:y]].astype(np.uint64)))
                for i, (x, y) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if y > x]
-        h = b.hot_houses()
-        if len(h):
-            seated = np.bincount(b.house, tables, len(b.contexts)).astype(np.int64)
-            out.append((-1, pack(b.contexts[h], np.bincount(b.house, b.count, len(b.contexts)).astype(np.int64)[h], seated[h])))
         return pa.table({"wbucket": pa.array([i for i, _ in out], pa.int64()), "bucket": pa.array([me] * len(out), pa.int64()),
                          "blob": pa.array([x for _, x in out], pa.binary())})
     return run
 
 
 def _parent(cfg: PitmanYor, buckets: int):
-    """The parent's dishes of one word bucket, answered to every bucket that asked; and their totals.
-
-    Bucket -1 adds up the parts of contexts that are spread over several buckets.
-    """
+    """The parent's dishes of one word bucket, answered to every bucket that asked; and their totals."""
     def run(key, rows):
         asked = [unpack(x) for x in rows["blob"].to_pylist()]
-        spread = key[0].as_py() < 0
-        words = [a[0] if spread else _from_six(a[0]) for a in asked]
+        words = [_from_six(a[0]) for a in asked]
         u, at = np.unique(np.concatenate(words), return_inverse=True)
         count = np.bincount(at, np.concatenate([a[1] for a in asked]), len(u)).astype(np.int64)
         customers = np.bincount(at, np.concatenate([a[2] for a in asked]), len(u)).astype(np.int64)
-        rng = np.random.default_rng([cfg.seed, 1, max(0, key[0].as_py())])
+        rng = np.random.default_rng([cfg.seed, 1, key[0].as_py()])
         seen = np.flatnonzero(customers > 0)
         tables, house = (customers > 0).astype(np.int64), np.zeros(len(seen), np.int64)
-        average = np.zeros(len(u))
+        kept = np.zeros(len(u), np.int64)      # over all samples: whole numbers add up alike in any order
         flat = np.full(len(seen), 1.0 / (len(seen) * buckets + 1))
-        for i in range(0 if spread else cfg.burn_in + cfg.samples):     # this bucket holds one of ``buckets`` parts of the root
+        for i in range(cfg.burn_in + cfg.samples):     # this bucket holds one of ``buckets`` parts of the root
             tables[seen] = seat(customers[seen], tables[seen], house, np.full(1, float(buckets)), flat, cfg.parent_discount, cfg.parent_strength,
                                 cfg.exact_customers, rng)
-            average += tables * (i >= cfg.burn_in) / cfg.samples
-        mass = (0, 0, 0.0) if spread else (int((count > 0).sum()), int(customers.sum()), float(average.sum()))
+            kept += tables * (i >= cfg.burn_in)
+        mass = (int((count > 0).sum()), int(customers.sum()), int(kept.sum()))
         out, start = [], 0
         for me, w in zip(rows["bucket"].to_pylist(), words, strict=True):
             mine = at[start:start + len(w)]
             start += len(w)
-            out.append((me, pack(count[mine].astype(np.uint64), customers[mine].astype(np.uint64), average[mine].astype(np.float32))))
+            out.append((me, pack(count[mine].astype(np.uint64), customers[mine].astype(np.uint64), kept[mine].astype(np.uint64))))
         return pa.table({"bucket": pa.array([x for x, _ in out], pa.int64()), "block": pa.array([key[0].as_py()] * len(out), pa.int64()),
                          "blob": pa.array([x for _, x in out], pa.binary()),
                          **{c: pa.array([x] + [type(x)(0)] * (len(out) - 1)) for c, x in zip(("words", "customers", "tables"), mass, strict=True)}})
     return run
 
 
+def _shared(b: _Bucket, answers: pa.Table, cfg: PitmanYor, buckets: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(count in training, probability under the shared parent) of the bucket's words, and its spread contexts:
+    their names, customers and tables in each sample, added up over all parts."""
+    known, customers_of_all, tables_of_all = (answers[c][0].as_py() for c in ("all_words", "all_customers", "all_tables"))
+    to = _word_bucket(b.words, buckets)
+    order = np.argsort(to, kind="stable")
+    cut = np.searchsorted(to[order], np.arange(buckets + 1))
+    count, customers, tables = np.zeros(len(b.words), np.int64), np.zeros(len(b.words)), np.zeros(len(b.words))
+    wide = []
+    for i, blob in zip(answers["block"].to_pylist(), answers["blob"].to_pylist(), strict=True):
+        if i < 0:
+            wide = unpack(blob)
+            continue
+        at = order[cut[i]:cut[i + 1]]
+        count[at], customers[at], tables[at] = unpack(blob)
+    d, s = cfg.parent_discount, cfg.parent_strength
+    base = (s + d * tables_of_all / cfg.samples) / (known + 1)
+    return count, (np.maximum(customers - d * tables / cfg.samples, 0) + base) / (s + customers_of_all), wide
+
+
+_WIDE = "context long, part long, sample long, customers long, tables long"
+
+
+def _seats(cfg: PitmanYor, buckets: int, hot: dict[int, int]):
+    """Customers and tables of a bucket's part of every spread context, in each sample."""
+    def run(key, rows, answers):
+        me, b = key[0].as_py(), _Bucket(rows, cfg, hot, only_wide=True)
+        customers, out = b.totals(b.count), []
+        if len(b.contexts):
+            _, parent, _ = _shared(b, answers, cfg, buckets)
+            for i, seats in enumerate(b.samples(parent, me, True)):
+                full = np.full(len(b.contexts), 1, np.int64)
+                out.append((b.contexts.view(np.int64), full * me, full * i, customers, b.totals(seats)))
+        columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 5
+        return pa.table(dict(zip(("context", "part", "sample", "customers", "tables"), columns, strict=True)))
+    return run
+
+
+def _whole(cfg: PitmanYor):
+    """One row per part: its spread contexts in order, their customers, their tables in each sample."""
+    def run(key, rows):
+        c, i, n, t = (rows[x].to_numpy() for x in ("context", "sample", "customers", "tables"))
+        order = np.lexsort((c.view(_U), i))
+        wide = len(c) // cfg.samples
+        blob = pack(c[order][:wide].view(_U), n[order][:wide], *np.split(t[order], cfg.samples))
+        return pa.table({"bucket": pa.array([key[0].as_py()], pa.int64()), "block": pa.array([-1], pa.int64()), "blob": pa.array([blob], pa.binary())})
+    return run
+
+
+def predictions(b: _Bucket, parent: np.ndarray, wide: list[np.ndarray], me: int) -> np.ndarray:
+    """Probability of every pair of a bucket, averaged over the samples."""
+    cfg = b.cfg
+    d, s = cfg.discount, cfg.strength
+    customers = b.totals(b.count)
+    if wide:
+        customers[b.wide] = wide[1]             # both ascend by context
+    mean = np.zeros(len(b.count))
+    for i, (cool, spread) in enumerate(zip(b.samples(parent, me, False), b.samples(parent, me, True), strict=True)):
+        tables = b.totals(cool)
+        if wide:
+            tables[b.wide] = wide[2 + i]
+        mean += (np.maximum(b.count - d * (cool + spread), 0) + (s + d * tables[b.house]) * parent[b.word]) / (s + customers[b.house])
+    return mean / cfg.samples
+
+
 def _score(cfg: PitmanYor, buckets: int, hot: dict[int, int]):
     def run(key, rows, answers):
-        known_words, all_customers, all_tables = (answers[c][0].as_py() for c in ("all_words", "all_customers", "all_tables"))
         b = _Bucket(rows, cfg, hot)
-        to = _word_bucket(b.words, buckets)
-        order = np.argsort(to, kind="stable")
-        count, customers, tables = np.zeros(len(b.words), np.int64), np.zeros(len(b.words)), np.zeros(len(b.words))
-        cut = np.searchsorted(to[order], np.arange(buckets + 1))
-        spread = (np.zeros(0), np.zeros(0))
-        for i, blob in zip(answers["block"].to_pylist(), answers["blob"].to_pylist(), strict=True):
-            c, k, t = unpack(blob)
-            if i < 0:
-                spread = (c, k)
-                continue
-            at = order[cut[i]:cut[i + 1]]
-            count[at], customers[at], tables[at] = c, k, t
-        d1, s1 = cfg.parent_discount, cfg.parent_strength
-        parent = (np.maximum(customers - d1 * tables, 0) + (s1 + d1 * all_tables) / (known_words + 1)) / (s1 + all_customers)
-        rng = np.random.default_rng([cfg.seed, 2, key[0].as_py()])
-        seats = b.sweeps(parent, cfg.burn_in, None, rng)
-        whole = np.bincount(b.house, b.count, len(b.contexts)).astype(float)
-        wide = b.hot_houses()               # answered in the order they were asked
-        if len(wide):
-            whole[wide] = spread[0]
-        mean = np.zeros(len(b.count))
-        d, s = cfg.discount, cfg.strength
-        for i in range(cfg.samples):
-            seats = b.sweeps(parent, 1, seats, rng) if i else seats
-            open_tables = np.bincount(b.house, seats, len(b.contexts)).astype(float)
-            if len(wide):
-                open_tables[wide] = spread[1]
-            mean += (np.maximum(b.count - d * seats, 0) + (s + d * open_tables[b.house]) * parent[b.word]) / (s + whole[b.house])
-        score = np.log10(mean / cfg.samples)
+        count, parent, wide = _shared(b, answers, cfg, buckets)
+        score = np.log10(predictions(b, parent, wide, key[0].as_py()))
         base = np.log10(count[b.word] + 1.0)
         known = (count[b.word] > 0).astype(np.int64)
         out, at = [], 0
@@ -344,7 +397,7 @@ def _score(cfg: PitmanYor, buckets: int, hot: dict[int, int]):
             out.append((block, pack(place, ids, add(times * score[pair]).astype(np.float32), add(times * base[pair]),
                                     add(times * known[pair]).astype(np.uint32), add(times).astype(np.uint32))))
         return pa.table({"block": pa.array([x for x, _ in out], pa.int64()), "blob": pa.array([x for _, x in out], pa.binary()),
-                         "words": pa.array([known_words] * len(out), pa.int64())})
+                         "words": pa.array([answers["all_words"][0].as_py()] * len(out), pa.int64())})
     return run
 
 
@@ -400,9 +453,15 @@ def score_texts(docs: DataFrame, cfg: PitmanYor = PitmanYor(), id_col: str = "do
     tokens, hot = frequent_contexts(texts, cfg, buckets)
     pairs = texts.mapInArrow(_pairs(cfg, buckets, hot), "bucket long, block long, blob binary")
     asked = pairs.groupBy("bucket").applyInArrow(_ask(cfg, buckets, hot, tokens), _ASK)
-    answers = asked.groupBy("wbucket").applyInArrow(_parent(cfg, buckets), _ANSWER + ", words long, customers long, tables double")
+    answers = asked.groupBy("wbucket").applyInArrow(_parent(cfg, buckets), _ANSWER + ", words long, customers long, tables long")
     totals = answers.agg(*[F.sum(c).alias("all_" + c) for c in ("words", "customers", "tables")])       # one row
     answers = answers.select("bucket", "block", "blob").crossJoin(F.broadcast(totals))
+    if hot:
+        part = pairs.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(_seats(cfg, buckets, hot), _WIDE)
+        every = Window.partitionBy("context", "sample")         # a row per part of a context
+        part = part.select("context", "part", "sample", *[F.sum(c).over(every).alias(c) for c in ("customers", "tables")])
+        wide = part.groupBy("part").applyInArrow(_whole(cfg), _ANSWER)
+        answers = answers.union(wide.crossJoin(F.broadcast(totals)))
     parts = (pairs.groupBy("bucket").cogroup(answers.groupBy("bucket"))
              .applyInArrow(_score(cfg, buckets, hot), "block long, blob binary, words long"))
     return parts.groupBy("block").applyInArrow(_add_up(cfg, tokens), _RESULT).withColumnRenamed("doc_id", id_col)

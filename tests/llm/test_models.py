@@ -5,9 +5,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
+from kpiloom.llm import pitmanyor as py
 from kpiloom.llm.decontaminate import Latent, common_words, leading_directions, leaks, without_leaks
 from kpiloom.llm.pitmanyor import PitmanYor, log_stirling, perplexity, score_texts, seat
 from kpiloom.llm.topk import TopK, top_k
@@ -45,21 +48,62 @@ def test_model_beats_the_base_on_held_out_text(spark, no_docs):
     assert score_texts(no_docs).collect() == []
 
 
-def test_predictions_sum_to_one(make_docs):
-    """All continuations of a context by known words, and the unknown word, have probability one together."""
+def test_known_words_of_probes(make_docs):
+    """A probe counts its known words and the end; every score is a log probability."""
     rng = random.Random(1)
     words = ["a", "b", "c", "d"]
     rows = [(i, " ".join(rng.choice(words[:2 + i % 3]) for _ in range(30))) for i in range(0, 60) if zlib.crc32(str(i).encode()) % 7 != 2]
     held = [i for i in range(1000, 2000) if zlib.crc32(str(i).encode()) % 7 == 2]
     probes = [(held[k], x) for k, x in enumerate(["", *words, "never"])]
     got = {r.doc_id: r for r in score_texts(make_docs(rows + probes)).collect()}
-    end_first = got[held[0]].score                                  # log P(end | start)
-    starts = [10**end_first]
-    for k, x in enumerate([*words, "never"], 1):                    # P(x | start) = P(x, end) / P(end | x)
-        r = got[held[k]]
-        assert r.n_known == (1 if x == "never" else 2) and r.score < 0
-        starts.append(10**r.score)
-    assert sum(starts) < 1
+    for k, x in enumerate(["", *words, "never"]):
+        assert got[held[k]].n_known == (1 if x in ("", "never") else 2) and got[held[k]].score < 0
+
+
+@pytest.mark.parametrize("buckets", [1, 16])
+def test_predictions_sum_to_one(make_docs, buckets):
+    """Known words and the unknown one have probability one together, in spread contexts as well."""
+    rng = random.Random(1)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(rng.choice(["the", rng.choice(words), rng.choice(words[:9])]) for _ in range(40))) for i in range(400)]
+    cfg = PitmanYor(burn_in=1, samples=2, exact_customers=16)
+    docs = make_docs(rows).select(F.col("doc_id").alias("id"), "text")
+    tokens, hot = py.frequent_contexts(docs, cfg, buckets)
+    assert len(hot) >= (3 if buckets > 1 else 0)
+    pairs = docs.mapInArrow(py._pairs(cfg, buckets, hot), "bucket long, block long, blob binary").toArrow()
+    key = lambda x: (pa.scalar(x),)
+    of = lambda table, c, x: table.filter(pc.equal(table[c], x))
+    used = sorted(set(pairs["bucket"].to_pylist()))
+    asked = pa.concat_tables([py._ask(cfg, buckets, hot, tokens)(key(x), of(pairs, "bucket", x)) for x in used])
+    answers = pa.concat_tables([py._parent(cfg, buckets)(key(x), of(asked, "wbucket", x)) for x in sorted(set(asked["wbucket"].to_pylist()))])
+    for c in ("words", "customers", "tables"):
+        answers = answers.append_column("all_" + c, pa.array([sum(answers[c].to_pylist())] * len(answers), pa.int64()))
+    seats = pa.concat_tables([py._seats(cfg, buckets, hot)(key(x), of(pairs, "bucket", x), of(answers, "bucket", x)) for x in used])
+    total = seats.group_by(["context", "sample"]).aggregate([("customers", "sum"), ("tables", "sum")])
+    total = {(c, i): (n, t) for c, i, n, t in zip(*(total[x].to_pylist() for x in ("context", "sample", "customers_sum", "tables_sum")), strict=True)}
+    mass, seen, everything, rest = Counter(), {}, {}, {}
+    for x in used:
+        b = py._Bucket(of(pairs, "bucket", x), cfg, hot)
+        _, parent, _ = py._shared(b, of(answers, "bucket", x), cfg, buckets)
+        everything |= dict(zip(b.words.tolist(), parent.tolist(), strict=True))
+        names = np.sort(b.contexts[b.wide])
+        wide = [names, np.array([total[int(c), 0][0] for c in names], np.int64),
+                *[np.array([total[int(c), i][1] for c in names], np.int64) for i in range(cfg.samples)]] if len(names) else []
+        for c, w, p in zip(b.contexts[b.house].tolist(), b.words[b.word].tolist(), py.predictions(b, parent, wide, x).tolist(), strict=True):
+            mass[c] += p
+            seen.setdefault(c, set()).add(w)
+        # What a restaurant gives to its parent, from the same seats.
+        tables = [b.totals(u + v) for u, v in zip(b.samples(parent, x, False), b.samples(parent, x, True), strict=True)]
+        for j, c in enumerate(b.contexts.tolist()):
+            many, opened = (total[c, 0][0], [total[c, i][1] for i in range(cfg.samples)]) if b.wide[j] else (b.totals(b.count)[j], [t[j] for t in tables])
+            rest[c] = np.mean([(cfg.strength + cfg.discount * t) / (cfg.strength + many) for t in opened])
+    known = sum(everything.values())
+    assert known < 1                                        # the rest is the unknown word's
+    for c, m in mass.items():
+        unseen = 1 - sum(everything[w] for w in seen[c])    # by the parent, with the unknown word
+        assert abs(m + rest[c] * unseen - 1) < 1e-9
+    spread = [c for c, n in Counter(c for x in used for c in set(py._Bucket(of(pairs, "bucket", x), cfg, hot).contexts.tolist())).items() if n > 1]
+    assert len(spread) >= (2 if buckets > 1 else 0)
 
 
 def test_stirling_numbers_and_seating_match_the_restaurant_process():

@@ -6,13 +6,17 @@ inequality over all pivots gives the largest lower bound of a distance and so an
 inner product: (|q|^2 + |x|^2 - bound^2) / 2. Candidates are evaluated in the order of their bounds, and
 a query stops when the next bound cannot reach its k-th best score: exact, ties included.
 
+Pivots of the dimensions with most vectors are sent to the tasks, ``pivot_bytes`` in all; vectors of other
+dimensions are bounded by their lengths alone, as exactly. There is no limit on the number of dimensions.
+
 Candidates travel in blocks, queries in blocks of ``query_block``; each candidate block meets each query
 block by an equality join, and a task keeps a query block's running best over all blocks it sees.
 
 Defined cases: vectors that are null, empty, or hold null or non-finite components take no part; a
 vector is compared with those of its own dimension; rows whose id is null take no part; equal vectors
 tie and go by id; a query's own id is no candidate; rows that repeat an id are all candidates and the
-query is answered once per id (by its smallest vector); extra columns are ignored.
+query is answered once per id (by its smallest vector); extra columns are ignored; vectors of any length take part
+whole; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -34,8 +38,10 @@ class TopK:
     k: int = 5
     scale: int = 256
     pivots: int = 48
+    pivot_bytes: int = 32 << 20  # of pivots sent to the tasks
     query_block: int = 128
     block: int = 1024           # vectors of a candidate block
+    held_bytes: int = 64 << 20  # of vectors a task holds before it sends its unfilled blocks
     chunk: int = 64             # candidates evaluated between two looks at the stopping rule
 
 
@@ -49,6 +55,7 @@ def whole_numbers(vector: Column, scale: int) -> Column:
 def _blocks(cfg: TopK, pivots: dict[int, np.ndarray]):
     def run(batches):
         held: dict[int, list] = {}
+        size = 0
 
         def flush(dim, rows):
             ids = np.array([r[0] for r in rows], np.int64)
@@ -64,10 +71,14 @@ def _blocks(cfg: TopK, pivots: dict[int, np.ndarray]):
             for i, name in enumerate(batch.column(0).to_pylist()):
                 v = flat[off[i]:off[i + 1]]
                 rows = held.setdefault(len(v), [])
-                rows.append((name, v))
+                rows.append((name, v.copy()))
+                size += 8 * len(v)
                 if len(rows) >= cfg.block:
-                    yield flush(len(v), rows)
-                    held[len(v)] = []
+                    yield flush(len(v), held.pop(len(v)))
+                    size -= 8 * len(v) * cfg.block
+                elif size >= cfg.held_bytes:
+                    yield from (flush(dim, rows) for dim, rows in held.items())
+                    held, size = {}, 0
         for dim, rows in held.items():
             if rows:
                 yield flush(dim, rows)
@@ -140,20 +151,33 @@ def _search(cfg: TopK):
     return run
 
 
+def pivot_table(rows: DataFrame, cfg: TopK) -> dict[int, np.ndarray]:
+    """Pivots by dimension, the rows of smallest id hash: of the dimensions with most rows, within ``pivot_bytes``."""
+    size = F.col("dim").cast("long") * (8 * cfg.pivots)
+    most = rows.groupBy("dim").agg(F.count("*").alias("n")).where(size <= cfg.pivot_bytes)
+    most = most.orderBy(F.desc("n"), "dim").limit(1000).collect()
+    dims, left = [], cfg.pivot_bytes
+    for r in most:
+        left -= 8 * cfg.pivots * r["dim"]
+        if left < 0:
+            break
+        dims.append(r["dim"])
+    order = Window.partitionBy("dim").orderBy(F.xxhash64("id"), "id", "v")
+    few = rows.where(F.col("dim").isin(dims)).withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= cfg.pivots)
+    found: dict[int, list] = {}
+    for r in few.select("dim", "v").collect():          # pivot_bytes at most
+        found.setdefault(r["dim"], []).append(r["v"])
+    return {dim: np.array(v, np.int64) for dim, v in found.items()}
+
+
 def top_k(vectors: DataFrame, is_query: Column, cfg: TopK = TopK(), id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score: every query's best ``k`` rows of all others, exactly."""
     rows = (vectors.select(F.col(id_col).cast("long").alias("id"), is_query.alias("asks"), whole_numbers(F.col(vector_col), cfg.scale).alias("v"))
             .where("id is not null and v is not null"))
     rows = materialise(rows.withColumn("dim", F.size("v")), "vectors")
-    dims = [r[0] for r in rows.select("dim").distinct().limit(1001).collect()]
-    if len(dims) > 1000:
-        raise ValueError("more than 1000 different dimensions: not embeddings of a few models")
-    pivots = {}
-    for dim in dims:
-        few = rows.where(F.col("dim") == dim).orderBy(F.xxhash64("id"), "id").limit(cfg.pivots).collect()     # bounded: pivots rows
-        pivots[dim] = np.array([r["v"] for r in few], np.int64)
+    pivots = pivot_table(rows, cfg)
     candidates = rows.select("id", "v").mapInArrow(_blocks(cfg, pivots), _BLOCK)
-    asked = rows.where("asks").groupBy("id").agg(F.min("v").alias("v"), F.min("dim").alias("dim"))
+    asked = rows.where("asks").groupBy("id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
     counts = materialise(asked, "queries")
     total = counts.count()
     parts = max(1, -(-total // cfg.query_block))
@@ -161,7 +185,7 @@ def top_k(vectors: DataFrame, is_query: Column, cfg: TopK = TopK(), id_col: str
     def collect_block(key, table):
         ids = table["id"].to_numpy()
         m = np.array(table["v"].to_pylist(), np.int64).reshape(len(ids), -1)
-        d = distances(m, pivots[m.shape[1]])
+        d = distances(m, pivots.get(m.shape[1], np.zeros((0, m.shape[1]))))
         return pa.table({"number": pa.array([key[0].as_py()], pa.int64()), "dim": pa.array([m.shape[1]], pa.int32()),
                          **{c: pa.array([x.tobytes()], pa.binary()) for c, x in (("ids", ids), ("vectors", m), ("distances", d))}})
 

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from kpiloom.llm import pitmanyor as py
@@ -164,6 +165,25 @@ def test_top_k_against_brute_force(spark):
     assert top_k(df.limit(0), F.col("vec_id") % 50 == 0).collect() == []
 
 
+def test_top_k_with_very_many_dimensions(spark):
+    """Dimensions without pivots, and an id that repeats with two dimensions."""
+    dim = F.col("vec_id") % 1200 + 1
+    df = spark.range(2400).withColumnRenamed("id", "vec_id").union(spark.createDataFrame([(600,)], "vec_id long"))
+    nth = F.row_number().over(Window.partitionBy("vec_id").orderBy(F.lit(1)))
+    df = df.withColumn("size", F.when(nth == 2, F.lit(7)).otherwise(dim)).withColumn(
+        "embedding", F.expr("transform(sequence(1, size), i -> cast(pmod(hash(vec_id, i), 9) - 4 as float))"))
+    rows = [(r.vec_id, [int(256 * x) for x in r.embedding]) for r in df.collect()]
+    got = sorted(tuple(r) for r in top_k(df, F.col("vec_id") % 50 == 0, TopK(k=2, pivots=3, pivot_bytes=20_000, held_bytes=1 << 20)).collect())
+    ask, want = {}, []
+    for i, v in sorted(rows):
+        if i % 50 == 0:
+            ask.setdefault(i, v)
+    for q, v in ask.items():
+        scores = sorted((-sum(a * b for a, b in zip(v, x, strict=True)), i) for i, x in rows if i != q and len(x) == len(v))[:2]
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores)]
+    assert got == sorted(want)
+
+
 # --- toxicity -------------------------------------------------------------------------------------
 
 def test_severity_separates_held_out_labels(spark):

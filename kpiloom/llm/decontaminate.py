@@ -1,7 +1,7 @@
 """Benchmark decontamination by latent semantic retrieval, then alignment.
 
 1. Documents are read as passages of ``window`` words, half overlapping; benchmark items as passages of
-   at most as many words. Features are the benchmark's words; their document frequencies are counted
+   at most as many words; a rest of under ``min_words`` words is read with what precedes it. Features are the benchmark's words; their document frequencies are counted
    over all passages of all documents. Words in more than ``max_share`` of them are left out, but every
    benchmark passage keeps its ``keep_rarest`` rarest words.
 2. A randomised SVD of the TF-IDF matrix A of all passages: one distributed pass sums A'(A Omega) for a
@@ -10,8 +10,8 @@
 3. Every document passage is projected; a cosine of ``min_cosine`` or more with a benchmark passage makes
    a candidate.
 4. A candidate is confirmed if the longest common subsequence of words with the text around it covers
-   ``min_overlap`` of the benchmark passage, and ``answer_overlap`` of its last ``answer_words`` words
-   (its answer). So changed, dropped or inserted words do not hide a copy. Benchmark passages under
+   ``min_overlap`` of the benchmark passage and, where the passage ends its item, ``answer_overlap`` of the
+   item's last ``answer_words`` words (its answer). So changed, dropped or inserted words do not hide a copy. Benchmark passages under
    ``min_words`` words must occur word for word.
 5. Passages that occur word for word are found without the latent space too: the hash of a passage's
    first words (``min_words`` at most) is looked up at every word of every document, then all its words.
@@ -21,7 +21,7 @@ parameters; each block costs three passes over the documents.
 
 Defined cases: null or empty texts match nothing, and empty items are ignored; items with a null id are
 ignored; repeated items match alike; rows that repeat a document are judged alike; null document ids
-are kept; extra columns pass through; empty tables give no matches.
+are kept; texts of any length are read whole; extra columns pass through; empty tables give no matches.
 """
 
 from __future__ import annotations
@@ -36,7 +36,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.llm.blobs import pack, unpack
-from kpiloom.llm.words import Words, mix, slices
+from kpiloom.llm.words import Words, slices, window_hashes
+
+_LOW = np.uint64(0xFFFF)
 
 
 @dataclass(frozen=True)
@@ -65,6 +67,7 @@ class Index:
 
     items: tuple[int, ...]              # item of each passage
     passages: tuple[np.ndarray, ...]
+    ends: tuple[bool, ...]              # whether the passage ends its item
     vocabulary: np.ndarray              # sorted word hashes; a column each
     idf: np.ndarray                     # 0: left out
     space: np.ndarray                   # columns x rank
@@ -99,12 +102,37 @@ def weighted(row: np.ndarray, col: np.ndarray, count: np.ndarray, idf: np.ndarra
     return row[keep], col[keep], ((1 + np.log(count[keep])) * idf[col[keep]]).astype(np.float32)
 
 
+def segment_sums(first: np.ndarray, index: np.ndarray, value: np.ndarray, source: np.ndarray) -> np.ndarray:
+    """Sums of ``source[index] * value`` over the segments that begin at ``first``, a few hundred at a time."""
+    n = np.diff(np.append(first, len(index)))
+    out = np.zeros((len(first), source.shape[1]), source.dtype)
+    order = np.argsort(-n, kind="stable")
+    for a in range(0, len(order), 256):
+        some = order[a:a + 256]
+        sums, at, size = np.zeros((len(some), source.shape[1]), source.dtype), first[some], n[some]
+        for j in range(int(size[0])):
+            m = int(np.searchsorted(-size, -j, "left"))         # segments with more than j entries lead
+            entry = at[:m] + j
+            part = source[index[entry]]
+            part *= value[entry][:, None]
+            sums[:m] += part
+        out[some] = sums
+    return out
+
+
 def project(row: np.ndarray, col: np.ndarray, value: np.ndarray, space: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(rows that have entries, their products with ``space``); rows must be ascending."""
     if not len(row):
         return row, np.zeros((0, space.shape[1]), np.float32)
     first = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-    return row[first], np.add.reduceat(space[col] * value[:, None], first, axis=0)
+    return row[first], segment_sums(first, col, value, space)
+
+
+def project_back(row: np.ndarray, col: np.ndarray, value: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(columns that have entries, their products with the rows ``z``); rows are numbered from 0."""
+    by = np.argsort(col, kind="stable")
+    first = np.flatnonzero(np.append(True, col[by][1:] != col[by][:-1]))
+    return col[by][first], segment_sums(first, row[by], value[by], z)
 
 
 def common_words(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -131,33 +159,25 @@ def common_words(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def overlap(passage: np.ndarray, around: np.ndarray, cfg: Latent) -> float:
-    """Share of the passage found in order around a candidate; 0 if that is too little."""
+def overlap(passage: np.ndarray, around: np.ndarray, cfg: Latent, ends: bool = True) -> float:
+    """Share of the passage found in order around a candidate; 0 if that, or of its answer, is too little."""
     if len(passage) < cfg.min_words:
         n = len(passage)
         return float(any(np.array_equal(around[i:i + n], passage) for i in np.flatnonzero(around == passage[0])))
-    possible = np.isin(passage, around).mean()
-    if possible < cfg.min_overlap:
+    there = set(around.tolist())
+    if sum(x in there for x in passage.tolist()) < cfg.min_overlap * len(passage):
         return 0.0
     found = common_words(passage, around)
-    good = found.mean() >= cfg.min_overlap and found[-cfg.answer_words:].mean() >= cfg.answer_overlap
+    good = found.mean() >= cfg.min_overlap and (not ends or found[-cfg.answer_words:].mean() >= cfg.answer_overlap)
     return float(found.mean()) if good else 0.0
 
 
-def grams(h: np.ndarray, n: int) -> np.ndarray:
-    """Hash of every ``n`` successive words."""
-    out = np.zeros(max(0, len(h) - n + 1), np.uint64)
-    for i in range(n):
-        out = mix(out * np.uint64(0x9E3779B97F4A7C15) + h[i:i + len(out)])
-    return out
-
-
 def heads_of(passages: list[np.ndarray], cfg: Latent) -> tuple[tuple[int, np.ndarray, np.ndarray], ...]:
     size = np.array([min(len(p), cfg.min_words) for p in passages])
     out = []
     for n in np.unique(size[size > 0]).tolist():
         which = np.flatnonzero(size == n)
-        h = np.array([grams(passages[i][:n], n)[0] for i in which], np.uint64)
+        h = np.array([window_hashes(passages[i][:n], n)[0] for i in which], np.uint64)
         order = np.argsort(h, kind="stable")
         out.append((n, h[order], which[order]))
     return tuple(out)
@@ -167,11 +187,13 @@ def verbatim(w: Words, index: Index) -> Iterator[tuple[int, int]]:
     """(document, benchmark passage) of the passages that occur word for word in a slice, each once."""
     end, seen = w.bounds()[1:], set()
     for n, hashes, numbers in index.heads:
-        g = grams(w.hash, n)
-        lo, hi = np.searchsorted(hashes, g, "left"), np.searchsorted(hashes, g, "right")
-        at = np.flatnonzero(hi > lo)
-        many = (hi - lo)[at]
-        place = np.repeat(lo[at] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        g = window_hashes(w.hash, n)
+        marked = np.zeros(1 << 16, bool)
+        marked[(hashes & _LOW).astype(np.int64)] = True
+        at = np.flatnonzero(marked[(g & _LOW).astype(np.int64)])       # few others have the same last bits
+        lo, hi = np.searchsorted(hashes, g[at], "left"), np.searchsorted(hashes, g[at], "right")
+        at, lo, many = at[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
+        place = np.repeat(lo - (np.cumsum(many) - many), many) + np.arange(many.sum())
         at = np.repeat(at, many)
         for i, d, p in zip(at.tolist(), w.doc[at].tolist(), numbers[place].tolist(), strict=True):
             words = index.passages[p]
@@ -196,32 +218,34 @@ def matches(column: pa.Array, index: Index, cfg: Latent) -> Iterator[tuple[int,
         for r, p in zip(*np.nonzero(cosine >= cfg.min_cosine), strict=True):
             d = doc[rows[r]]
             a = max(at[d], first[rows[r]] - cfg.stride)
-            share = overlap(index.passages[p], w.hash[a:min(at[d + 1], first[rows[r]] + cfg.window + cfg.stride)], cfg)
+            share = overlap(index.passages[p], w.hash[a:min(at[d + 1], first[rows[r]] + cfg.window + cfg.stride)], cfg, index.ends[p])
             if share:
                 yield int(d + w.first), int(p), share
 
 
-def _benchmark_blocks(benchmark: DataFrame, cfg: Latent, id_col: str, text_col: str) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+def _benchmark_blocks(benchmark: DataFrame, cfg: Latent, id_col: str, text_col: str) -> Iterator[tuple[list[int], list[np.ndarray], list[bool]]]:
+    """Items, words and ends (whether it is its item's last) of passages, a block of them at a time."""
     rows = (benchmark.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
             .where("id is not null").groupBy("id", "text").agg(F.lit(1)).toLocalIterator())
-    items, passages, words = [], [], 0
+    items, passages, ends, words = [], [], [], 0
     for r in rows:
         for w in slices(pa.array([r["text"]], pa.string()), True):
             for i in range(0, len(w.hash), cfg.window):
                 part = w.hash[i:i + cfg.window]
                 if i and len(part) < cfg.min_words:
-                    break
+                    part = w.hash[-cfg.window:]
                 items.append(r["id"])
                 passages.append(part.copy())
+                ends.append(i + cfg.window >= len(w.hash))
                 words += len(part)
         if words >= cfg.block_words:
-            yield items, passages
-            items, passages, words = [], [], 0
+            yield items, passages, ends
+            items, passages, ends, words = [], [], [], 0
     if items:
-        yield items, passages
+        yield items, passages, ends
 
 
-def build_index(texts: DataFrame, items: list[int], passages: list[np.ndarray], cfg: Latent) -> Index:
+def build_index(texts: DataFrame, items: list[int], passages: list[np.ndarray], ends: list[bool], cfg: Latent) -> Index:
     """The latent space of one block over all passages of ``texts(text)``."""
     vocabulary = np.unique(np.concatenate(passages))
     size = cfg.rank + cfg.extra
@@ -259,9 +283,8 @@ def build_index(texts: DataFrame, items: list[int], passages: list[np.ndarray],
                     continue
                 energy += float((value.astype(float) ** 2).sum())
                 rows, z = project(row, col, value, omega)
-                by = np.argsort(col, kind="stable")
-                first = np.flatnonzero(np.append(True, col[by][1:] != col[by][:-1]))
-                total[col[by][first]] += np.add.reduceat(z[np.searchsorted(rows, row[by])] * value[by][:, None], first, axis=0)
+                cols, sums = project_back(np.searchsorted(rows, row), col, value, z)
+                total[cols] += sums
         parts = np.array_split(np.arange(len(vocabulary)), 16)
         task = TaskContext.get().partitionId() % 256
         for i, p in enumerate(parts):
@@ -281,16 +304,19 @@ def build_index(texts: DataFrame, items: list[int], passages: list[np.ndarray],
         sums, e = unpack(r["sums"])
         g[np.array_split(np.arange(len(vocabulary)), 16)[r["part"]]] = sums.reshape(-1, size)
         energy = float(e[0])
-    bench = np.zeros((len(passages), len(vocabulary)), np.float32)
-    for i, p in enumerate(passages):
-        cols, count = np.unique(np.searchsorted(vocabulary, p), return_counts=True)
-        bench[i, cols] = (1 + np.log(count)) * idf[cols]
-    own_energy = float((bench.astype(float) ** 2).sum()) or 1.0
-    g += max(energy, own_energy) / own_energy * (bench.T @ (bench @ omega)).astype(float)
+    counted = [np.unique(np.searchsorted(vocabulary, p), return_counts=True) for p in passages]
+    row = np.repeat(np.arange(len(passages)), [len(c) for c, _ in counted])
+    row, col, value = weighted(row, *(np.concatenate(x) for x in zip(*counted, strict=True)), idf)
+    own_energy = float((value.astype(float) ** 2).sum()) or 1.0
+    rows, z = project(row, col, value, omega)
+    cols, sums = project_back(np.searchsorted(rows, row), col, value, z)
+    g[cols] += max(energy, own_energy) / own_energy * sums
     space = leading_directions(g, omega.astype(float), cfg.rank).astype(np.float32)
-    latent = bench @ space
+    latent = np.zeros((len(passages), cfg.rank), np.float32)
+    rows, z = project(row, col, value, space)
+    latent[rows] = z
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
-    return Index(tuple(items), tuple(passages), vocabulary, idf, space, latent, heads_of(passages, cfg))
+    return Index(tuple(items), tuple(passages), tuple(ends), vocabulary, idf, space, latent, heads_of(passages, cfg))
 
 
 def leading_directions(g: np.ndarray, omega: np.ndarray, rank: int) -> np.ndarray:
@@ -312,8 +338,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cfg: Latent = Latent(), id_col:
     """Pairs of a document id and a benchmark item it holds: ids, overlap (largest share), n_passages."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     found = docs.sparkSession.createDataFrame([], "id long, item long, passage long, share double")
-    for items, passages in _benchmark_blocks(benchmark, cfg, item_col, item_text_col):
-        index = build_index(texts.select("text"), items, passages, cfg)
+    for items, passages, ends in _benchmark_blocks(benchmark, cfg, item_col, item_text_col):
+        index = build_index(texts.select("text"), items, passages, ends, cfg)
 
         def run(batches, index=index):
             for batch in batches:
@@ -332,8 +358,8 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, cfg: Latent = Latent(),
                   item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The documents, all columns, that hold no benchmark item; each row is judged by its own text."""
     kept = docs
-    for items, passages in _benchmark_blocks(benchmark, cfg, item_col, item_text_col):
-        index = build_index(docs.select(F.col(text_col).cast("string").alias("text")), items, passages, cfg)
+    for items, passages, ends in _benchmark_blocks(benchmark, cfg, item_col, item_text_col):
+        index = build_index(docs.select(F.col(text_col).cast("string").alias("text")), items, passages, ends, cfg)
 
         @F.pandas_udf("boolean")
         def clean(text: pd.Series) -> pd.Series:

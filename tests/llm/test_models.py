@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from kpiloom.llm import decontaminate
 from kpiloom.llm import pitmanyor as py
 from kpiloom.llm.decontaminate import Latent, common_words, leading_directions, leaks, without_leaks
 from kpiloom.llm.pitmanyor import PitmanYor, log_stirling, perplexity, score_texts, seat
@@ -284,6 +285,29 @@ def test_short_items_among_benchmark_words_are_found(spark, make_docs):
         assert without_leaks(make_docs(docs), bench, cfg).count() == 0
 
 
+def test_long_items_are_read_to_their_end(spark, make_docs):
+    """A short rest is read with what precedes it, and only the end of an item is its answer."""
+    words = [f"q{i}" for i in range(134)]
+    bench = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(f"r{i}" for i in range(64)))], "item_id long, text string")
+    (items, passages, ends), = decontaminate._benchmark_blocks(bench.orderBy("item_id"), Latent(), "item_id", "text")
+    assert sorted(zip(items, map(len, passages), ends, strict=True)) == [(1, 64, False), (1, 64, False), (1, 64, True), (2, 64, True)]
+    rng = random.Random(2)
+    noise = lambda n: " ".join(f"n{rng.randrange(400)}" for _ in range(n))
+    docs = [(i, noise(150)) for i in range(40)]
+    docs += [(100, f"{noise(40)} {' '.join(words[70:])} {noise(40)}"),                       # the end, word for word
+             (101, f"{noise(40)} {' '.join(words[:50])} {noise(40)}"),                       # a middle passage without its last words
+             (102, f"{noise(40)} {' '.join(f'r{i}' for i in range(58))} {noise(40)}")]       # an item without its answer
+    assert {(r.doc_id, r.item_id) for r in leaks(make_docs(docs), bench).collect()} == {(100, 1), (101, 1)}
+
+
+def test_segment_sums_against_a_loop():
+    rng = np.random.default_rng(0)
+    first = np.flatnonzero(np.append(True, rng.random(2000) < 0.3))
+    index, value, source = rng.integers(0, 30, 2001), rng.random(2001), rng.random((30, 5))
+    want = np.add.reduceat(source[index] * value[:, None], first, axis=0)
+    assert np.allclose(decontaminate.segment_sums(first, index, value, source), want)
+
+
 def test_common_words_is_a_longest_common_subsequence():
     def length(a, b):
         row = [0] * (len(b) + 1)

@@ -3,8 +3,9 @@
 * A rule ``host/path`` fits its host and all subdomains where the url's path starts with the rule's path;
   the longest fitting rule decides.
 * Without a rule, the host's labels are cut at characters other than letters and then into words by a
-  unigram Viterbi search. Word counts come from all pages: the words of their texts and the hyphenated
-  parts of their hosts. An unknown word of n letters has probability 10 / (N * 10^n).
+  unigram Viterbi search. Word counts come from all pages: the words of their texts and the parts of
+  their hosts that two hosts or more have. An unknown word of n letters has probability 10 / (N * 10^n). Words of any length
+  count: longer ones than ``anchor`` letters are looked up by their first ``anchor``.
 * A host is an example of a blocked one if one of its words is a ``seed``. A multinomial naive Bayes with
   add-``alpha`` smoothing is counted over all pages from that, and scores host words and path tokens
   (numbers count as one token). Above 0 it blocks, so words that keep company with seeds block as well.
@@ -14,7 +15,8 @@ search for words and the model work on distinct hosts and tokens.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path, no rule and the prior's
 verdict; html that is null has no words; repeated rows and null ids are judged like others; without any
-seed host nothing is blocked by the method; extra columns are ignored; empty tables give no rows.
+seed host nothing is blocked by the method; hosts and paths of any length are read whole (names are looked up
+in pieces of ``piece`` letters); extra columns are ignored; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -35,7 +37,8 @@ class UrlFilter:
                                           ("example.com/de/", "block"), ("org/fr/", "allow"))
     seeds: tuple[str, ...] = ("ads", "bet", "bets", "casino", "gambling", "lottery", "pharmacy", "pills",
                               "poker", "porn", "spam", "viagra", "xxx")
-    longest_word: int = 24      # letters of a dictionary word; longer runs are cut or unknown
+    anchor: int = 24            # letters by which words are looked up
+    piece: int = 512            # letters of a name that one row looks up
     alpha: float = 1.0
 
 
@@ -65,19 +68,23 @@ def rule_of(host: Column, path: Column, cfg: UrlFilter) -> tuple[Column, Column]
     return rule, verdict
 
 
-def viterbi(name: str, counts: dict[str, int], total: int, longest: int) -> list[str]:
+def viterbi(name: str, counts: dict[str, int], total: int) -> list[str]:
     """The most probable words that make up ``name``; ties take the longer last word."""
+    sizes = sorted({len(w) for w in counts}, reverse=True)
+    unknown, letter = math.log(10 / total), math.log(10)
     best, back = [0.0], [0]
+    lead, origin = 0.0, 0           # the start from which an unknown word is best, wherever it ends
     for end in range(1, len(name) + 1):
-        top, at = -math.inf, end - 1
-        for start in range(max(0, end - longest), end):
-            word = name[start:end]
-            n = counts.get(word)
-            score = best[start] + (math.log(n / total) if n else math.log(10 / total) - len(word) * math.log(10))
-            if score > top:
-                top, at = score, start
+        top, at = lead + unknown - end * letter, origin
+        for size in sizes:
+            n = counts.get(name[end - size:end]) if size <= end else None
+            score = best[end - size] + math.log(n / total) if n else -math.inf
+            if score > top or (score == top and end - size < at):
+                top, at = score, end - size
         best.append(top)
         back.append(at)
+        if top + end * letter > lead:
+            lead, origin = top + end * letter, end
     out, end = [], len(name)
     while end:
         out.append(name[back[end]:end])
@@ -88,16 +95,21 @@ def viterbi(name: str, counts: dict[str, int], total: int, longest: int) -> list
 def segmented(names: DataFrame, words: DataFrame, cfg: UrlFilter) -> DataFrame:
     """(name, words) for distinct names of letters; ``words(word, n)`` is the dictionary."""
     total = float(words.agg(F.sum("n")).first()[0] or 1)
-    cut = F.expr(f"flatten(transform(sequence(1, length(name)), i -> transform(sequence(1, least({cfg.longest_word}, length(name) - i + 1)), n -> substring(name, i, n))))")
-    parts = names.withColumn("word", F.explode(F.array_distinct(cut)))
-    known = (parts.join(words, "word").groupBy("name").agg(F.collect_list("word").alias("known"), F.collect_list("n").alias("n")))
+    named = names.withColumn("id", F.xxhash64("name"))      # names that share it share their words, which does no harm
+    pieces = (named.select("id", "name", F.explode(F.expr(f"sequence(0, (length(name) - 1) div {cfg.piece})")).alias("nth"))
+              .select("id", F.expr(f"substring(name, cast(nth as int) * {cfg.piece} + 1, {cfg.piece + cfg.anchor - 1})").alias("piece")))
+    cut = F.expr(f"flatten(transform(sequence(1, least({cfg.piece}, length(piece))), "
+                 f"i -> transform(sequence(1, least({cfg.anchor}, length(piece) - i + 1)), n -> substring(piece, i, n))))")
+    parts = pieces.select("id", F.explode(F.array_distinct(cut)).alias("key"))
+    known = (parts.join(words.withColumn("key", F.substring("word", 1, cfg.anchor)), "key")
+             .groupBy("id").agg(F.collect_list("word").alias("known"), F.collect_list("n").alias("n")))
 
     @F.pandas_udf("array<string>")
     def split(name: pd.Series, known: pd.Series, n: pd.Series) -> pd.Series:
-        return pd.Series([viterbi(x, {} if k is None else dict(zip(k, c, strict=True)), total, cfg.longest_word)
+        return pd.Series([viterbi(x, {} if k is None else dict(zip(k, c, strict=True)), total)
                           for x, k, c in zip(name, known, n, strict=True)])
 
-    return names.join(known, "name", "left").select("name", split("name", "known", "n").alias("words"))
+    return named.join(known, "id", "left").select("name", split("name", "known", "n").alias("words"))
 
 
 def judged(pages: DataFrame, cfg: UrlFilter = UrlFilter(), id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -111,10 +123,11 @@ def judged(pages: DataFrame, cfg: UrlFilter = UrlFilter(), id_col: str = "page_i
     names = materialise(hosts.select("host", "pages", F.explode(F.expr("regexp_extract_all(host, '([a-z]+)')")).alias("name")), "names")
 
     text = F.regexp_replace(F.col(html_col).cast("string"), r"(?s)<[^>]*>", " ")
-    from_text = pages.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit("([a-z]+)"))).alias("word")).where(F.length("word") <= cfg.longest_word)
-    from_hosts = names.where(F.length("name") <= cfg.longest_word).select(F.col("name").alias("word"))
+    from_text = pages.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit("([a-z]+)"))).alias("word"))
+    from_hosts = (names.groupBy(F.col("name").alias("word")).agg(F.count("*").alias("n"), (F.min("host") < F.max("host")).alias("shared"))
+                  .where("shared").select("word", "n"))        # a name of one host is no evidence that it is one word
     words = (from_text.groupBy("word").agg(F.count("*").alias("n"))
-             .union(from_hosts.groupBy("word").agg(F.count("*").alias("n"))).groupBy("word").agg(F.sum("n").alias("n")))
+             .union(from_hosts).groupBy("word").agg(F.sum("n").alias("n")))
     split = segmented(names.select("name").distinct(), materialise(words, "words"), cfg)
     host_words = materialise(names.join(split, "name").select("host", F.explode("words").alias("token")), "host-words")
 

@@ -1,3 +1,4 @@
+import itertools
 import math
 import random
 import re
@@ -17,7 +18,7 @@ from kpiloom.llm.decontaminate import Latent, common_words, leading_directions,
 from kpiloom.llm.pitmanyor import PitmanYor, log_stirling, perplexity, score_texts, seat
 from kpiloom.llm.topk import TopK, top_k
 from kpiloom.llm.toxicity import Toxicity, fit, fit_ordinal, severity, without_toxic
-from kpiloom.llm.urls import UrlFilter, judged, viterbi
+from kpiloom.llm.urls import UrlFilter, judged, segmented, viterbi
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SMOKE = "/root/testdata/sf0.001"
@@ -141,12 +142,57 @@ def test_rules_hosts_and_paths(spark):
 
 def test_segmentation_prefers_frequent_words():
     counts = {"cheap": 50, "mugs": 30, "che": 2, "apmugs": 1}
-    assert viterbi("cheapmugs", counts, 1000, 24) == ["cheap", "mugs"] and viterbi("", {}, 1, 24) == []
+    assert viterbi("cheapmugs", counts, 1000) == ["cheap", "mugs"] and viterbi("", {}, 1) == []
     best = max((sum(math.log(counts.get(w, 0) / 1000) if w in counts else math.log(10 / 1000) - len(w) * math.log(10) for w in s), s)
                for s in (["cheap", "mugs"], ["cheapmugs"], ["che", "apmugs"], ["cheap", "mug", "s"]))
     assert best[1] == ["cheap", "mugs"]
 
 
+def best_split(name, counts, total):
+    """The largest log probability over all ways to cut the name."""
+    piece = lambda w: math.log(counts[w] / total) if counts.get(w) else math.log(10 / total) - len(w) * math.log(10)
+    return max(sum(piece(name[a:b]) for a, b in zip((0, *cut), (*cut, len(name)), strict=True))
+               for k in range(len(name)) for cut in itertools.combinations(range(1, len(name)), k)), piece
+
+
+def test_segmentation_against_all_splits():
+    rng = random.Random(5)
+    for _ in range(60):
+        counts = {"".join(rng.choice("abc") for _ in range(rng.randint(1, 5))): rng.randint(1, 9) for _ in range(8)}
+        name, total = "".join(rng.choice("abc") for _ in range(rng.randint(1, 10))), rng.choice([50, 1000, 10**6])
+        best, piece = best_split(name, counts, total)
+        got = viterbi(name, counts, total)
+        assert "".join(got) == name and math.isclose(sum(map(piece, got)), best, rel_tol=1e-9)
+    long = "a" * 40
+    assert viterbi("b" + long + "c", {long: 3, "b": 5, "c": 5}, 100) == ["b", long, "c"]
+
+
+def test_names_of_any_length_are_cut_alike(spark):
+    """Pieces, words longer than the anchor, and a very long host."""
+    rng = random.Random(6)
+    counts = {"".join(rng.choice("abcd") for _ in range(n)): rng.randint(1, 50) for n in [2, 3, 3, 4, 5, 6, 9, 30, 31, 41]}
+    words = list(counts)
+    names = sorted({"".join(rng.choice([rng.choice(words), "abcd"[rng.randrange(4)]]) for _ in range(rng.randint(1, 40))) for _ in range(40)})
+    names.append("".join(rng.choice(words) for _ in range(2500)))
+    table = spark.createDataFrame(list(counts.items()), "word string, n long")
+    got = {r.name: r.words for r in segmented(spark.createDataFrame([(x,) for x in names], "name string"), table, UrlFilter(anchor=4, piece=16)).collect()}
+    assert got == {x: viterbi(x, counts, float(sum(counts.values()))) for x in names}
+
+
+def test_bayes_scores_recomputed(spark):
+    hosts = ["tea-mugs.example.com", "casino.example.com", "best-casino.example.com", "tea.example.org", "best-tea.example.org"]
+    pages = [(i, f"http://{hosts[i % 5]}/{['bonus', 'shop/12', 'bonus/x'][i % 3]}") for i in range(40)]
+    got = {r.page_id: r.score for r in judged(spark.createDataFrame([(i, u, None) for i, u in pages], "page_id long, url string, html string")).collect()}
+    split = lambda x: re.findall("[a-z]+", x)
+    rows = [(i, split(u.split("/")[2]), ["/" + ("<number>" if t.isdigit() else t) for t in re.findall("[a-z]+|[0-9]+", u.split("/", 3)[3])]) for i, u in pages]
+    blocked = lambda h: any(x in UrlFilter().seeds for x in h)
+    seen = [Counter(t for _, h, p in rows if blocked(h) == k for t in h + p) for k in (True, False)]
+    kinds = len(seen[0] | seen[1])
+    prior = math.log((sum(blocked(h) for _, h, _ in rows) + 1) / (sum(not blocked(h) for _, h, _ in rows) + 1))
+    weight = lambda t: math.log((seen[0][t] + 1) / (sum(seen[0].values()) + kinds + 1)) - math.log((seen[1][t] + 1) / (sum(seen[1].values()) + kinds + 1))
+    assert got == {i: pytest.approx(prior + sum(map(weight, h + p))) for i, h, p in rows}
+
+
 # --- exact top-k ----------------------------------------------------------------------------------
 
 def test_top_k_against_brute_force(spark):

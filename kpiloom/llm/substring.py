@@ -24,7 +24,7 @@ texts of any length are read whole, in overlapping blocks; empty tables give no
 from __future__ import annotations
 
 import hashlib
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -263,7 +263,8 @@ def repeated_spans(docs: DataFrame, cfg: Repeats = Repeats(), id_col: str = "doc
     buckets = max(1, -(-total // cfg.bucket_bytes))
     texts = texts.select("id", _version(F.col("text")).alias("version"), "text")
     # A word and its space take some 6 bytes: blocks of whole texts, estimated.
-    hot = hot_minimizers(texts, cfg, -(-total // (6 * cfg.block_words)))
+    small = replace(cfg, block_words=max(cfg.window, cfg.block_words // 8))       # counting takes an eighth of the memory
+    hot = hot_minimizers(texts, small, -(-total // (6 * small.block_words)))
     edges = texts.mapInArrow(_edges(cfg, buckets, hot), "bucket long, head binary, tail binary")
     # Local spans (bucket -1) are dealt out over groups of their own.
     deal = F.when(F.col("bucket") >= 0, F.lit(0)).otherwise(F.pmod(F.xxhash64("head"), F.lit(buckets)))

@@ -63,7 +63,7 @@ def test_edges_pass_through(spark, edge_docs, no_docs):
 
 def test_every_operator_is_registered(spark):
     names = [q.split("_")[0] for q in entry.queries() if q.startswith("op")]
-    assert sorted(names) == sorted(f"op{i}" for i in range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(names) == sorted(f"op{i}" for i in range(1, 14)) and "pipeline" in entry.queries()
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 

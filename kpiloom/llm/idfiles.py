@@ -6,9 +6,9 @@ of their own. Decoding is numpy only: a table turns control bytes into lengths,
 
 The files are a Parquet table in a shared folder, in ascending order of document id: each row is a
 block of whole documents (shard, block, doc_ids, lengths, control, data), a shard is a range of ids.
-Writing goes through Spark's committer, so lost tasks leave no partial files. Ranks come from one pass
-over the whole corpus (a table as long as the vocabulary), the ids from a second; each worker
-remembers the chunks of text it has encoded in between.
+Writing goes through Spark's committer, so lost tasks leave no partial files. Each text is encoded once,
+into a table of plain ids in the shared folder. Ranks come from one pass over that table (counts as long
+as the vocabulary); a second one orders its documents by range and sort and writes their ranks.
 
 Defined cases: null texts are empty (the end id alone); null ids come first; repeated ids keep one
 entry per row, ordered by id and then by a hash of their text; extra columns are ignored.
@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kpiloom.llm.spark import materialise
 from kpiloom.llm.tokens import append_end, encoder
 from kpiloom.session import scratch_path
 
@@ -65,18 +66,50 @@ def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
-def ranked_ids(docs: DataFrame, cfg: IdFiles, run: str) -> np.ndarray:
-    """All ids from the most to the least frequent (ties: smaller id), counted over the whole corpus."""
+def encoded(texts: DataFrame, cfg: IdFiles, run: str) -> DataFrame:
+    """Ids of (id, text) rows, end id included: 2 bytes each, or 4 if the vocabulary needs them; n of them."""
+    def encode(batches):
+        for batch in batches:
+            enc = encoder(cfg.tokenizer, cfg.spaced, run)
+            kind = np.dtype("<u2" if max(enc.size - 1, cfg.end_id) < 1 << 16 else "<u4")
+            for first, found, n in enc.encode(batch.column(3)):
+                found, n = append_end(found, n, cfg.end_id)
+                offsets = (np.append(0, np.cumsum(n)) * kind.itemsize).astype(np.int32)
+                ids = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(found.astype(kind))])
+                yield pa.RecordBatch.from_arrays([*(c.slice(first, len(n)) for c in batch.columns[:3]), pa.array(n), ids],
+                                                 ["id", "text_hash", "text_bytes", "n", "ids"])
+
+    rows = texts.select("id", F.xxhash64("text").alias("text_hash"), F.octet_length("text").cast("long").alias("text_bytes"), "text")
+    return rows.mapInArrow(encode, "id long, text_hash long, text_bytes long, n long, ids binary")
+
+
+def plain_ids(n: pa.Array, ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(number of ids of each row, all ids) of rows as ``encoded`` leaves them."""
+    n = n.to_numpy()
+    _, offsets, data = ids.buffers()
+    at = np.frombuffer(offsets, np.int32)[ids.offset:ids.offset + len(ids) + 1]
+    raw = np.frombuffer(data, np.uint8)[at[0]:at[-1]]
+    return n, raw.view(f"<u{len(raw) // int(n.sum())}")        # a row has its end id at least
+
+
+def ranked_ids(docs: DataFrame, cfg: IdFiles, run: str, coded: bool = False) -> np.ndarray:
+    """All ids from the most to the least frequent (ties: smaller id), counted over the whole corpus.
+
+    The documents are texts or, if ``coded``, as ``encoded`` leaves them.
+    """
     def count(batches):
         total = None
         for batch in batches:
             enc = encoder(cfg.tokenizer, cfg.spaced, run)
             total = np.zeros(max(enc.size, cfg.end_id + 1), np.int64) if total is None else total
-            total[cfg.end_id] += enc.count(batch.column(0), total)
+            if coded:
+                total += np.bincount(plain_ids(batch.column(0), batch.column(1))[1], minlength=len(total))
+            else:
+                total[cfg.end_id] += enc.count(batch.column(0), total)
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["token", "n"])
 
-    rows = (docs.select(F.col("text").cast("string")).mapInArrow(count, "token long, n long")
+    rows = (docs.select(*(["n", "ids"] if coded else [F.col("text").cast("string")])).mapInArrow(count, "token long, n long")
             .groupBy("token").agg(F.sum("n").alias("n")).toPandas())      # as many rows as the vocabulary has
     return rows.sort_values(["n", "token"], ascending=[False, True])["token"].to_numpy(np.uint32)
 
@@ -85,10 +118,11 @@ def write_id_files(docs: DataFrame, cfg: IdFiles, path: str, id_col: str = "doc_
     """Write the files; returns the ids by rank, which readers need."""
     run = uuid.uuid4().hex
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    by_rank = ranked_ids(texts, cfg, run)
+    coded = materialise(encoded(texts, cfg, run), "plain-ids", compression="zstd")
+    by_rank = ranked_ids(coded, cfg, run, coded=True)
     rank = np.zeros(int(by_rank.max(initial=0)) + 1, np.uint32)
     rank[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
-    total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    total = coded.agg(F.sum("text_bytes")).first()[0] or 0
     shards = max(1, -(-total // cfg.shard_bytes))
 
     def write(batches):
@@ -97,28 +131,32 @@ def write_id_files(docs: DataFrame, cfg: IdFiles, path: str, id_col: str = "doc_
         shard, block, doc_ids, lengths, ids, size = TaskContext.get().partitionId(), 0, [], [], [], 0
 
         def flush():
-            control, data = encode_ranks(np.concatenate(ids) if ids else np.zeros(0, np.uint32))
+            control, data = encode_ranks(np.concatenate(ids))
             return pa.RecordBatch.from_arrays([
                 pa.array([shard], pa.int64()), pa.array([block], pa.int64()), pa.array([doc_ids], pa.list_(pa.int64())),
                 pa.array([np.concatenate(lengths)], pa.list_(pa.int64())), pa.array([control], pa.binary()), pa.array([data], pa.binary())],
                 ["shard", "block", "doc_ids", "lengths", "control", "data"])
 
         for batch in batches:
-            enc, names = encoder(cfg.tokenizer, cfg.spaced, run), batch.column(0).to_pylist()
-            for first, found, n in enc.encode(batch.column(1)):
-                found, n = append_end(found, n, cfg.end_id)
-                doc_ids += names[first:first + len(n)]
-                lengths.append(n)
-                ids.append(rank[found])
-                size += len(found)
+            names = batch.column(0).to_pylist()
+            n, found = plain_ids(batch.column(1), batch.column(2))
+            ends = np.append(0, np.cumsum(n))
+            first = 0
+            while first < len(n):               # a block ends with the document that fills it
+                last = min(len(n), int(np.searchsorted(ends, ends[first] + cfg.block_ids - size)))
+                doc_ids += names[first:last]
+                lengths.append(n[first:last])
+                ids.append(rank[found[ends[first]:ends[last]]])
+                size += int(ends[last] - ends[first])
                 if size >= cfg.block_ids:
                     yield flush()
                     block, doc_ids, lengths, ids, size = block + 1, [], [], [], 0
+                first = last
         if doc_ids:
             yield flush()
 
-    ordered = (texts.repartitionByRange(shards, F.col("id").asc_nulls_first())
-               .sortWithinPartitions(F.col("id").asc_nulls_first(), F.xxhash64("text")))
+    ordered = (coded.select("id", "n", "ids", "text_hash").repartitionByRange(shards, F.col("id").asc_nulls_first())
+               .sortWithinPartitions(F.col("id").asc_nulls_first(), "text_hash").select("id", "n", "ids"))
     ordered.mapInArrow(write, "shard long, block long, doc_ids array<long>, lengths array<long>, control binary, data binary").write.parquet(path)
     return by_rank
 

@@ -16,11 +16,11 @@ ARROW_ROWS = 1000
 ARROW_BYTES = 8 << 20
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write to a new table in the shared checkpoint folder and read it back: lineage is cut there."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -9,10 +9,11 @@ from hypothesis import given
 from hypothesis import strategies as st
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from kpiloom.llm.idfiles import IdFiles, decode_ranks, encode_ranks, id_file_digests, ranked_ids
+from kpiloom.llm.idfiles import IdFiles, decode_ranks, encode_ranks, id_file_digests, ranked_ids, write_id_files
 from kpiloom.llm.packing import Packing, best_fit, pack
 from kpiloom.llm.tokens import Encoder, tokenizer
 from kpiloom.llm.wordpiece import build, byte_characters, piece_counts
+from tests.llm.conftest import DOCS
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 ALPHABET = ["a", "B", "é", " ", "  ", "\n", "\t", "\r\n", "'s", "'ll", "1", "23", "!", "|", "||", "\u00a0", "\u3000", "\u0301", "the",
@@ -51,6 +52,35 @@ def test_id_files_of_edges(edge_docs, no_docs):
     assert id_file_digests(no_docs, IdFiles(BYTES)).collect() == []
 
 
+@pytest.mark.parametrize("end_id", [0, 70_000])
+def test_id_files_read_each_text_once(spark, make_docs, end_id):
+    rows = [(i, f"text number {i} " * (i % 7)) for i in range(200)]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    docs = make_docs(rows).repartition(4).mapInArrow(counted, DOCS)
+    got = sorted(tuple(r) for r in id_file_digests(docs, IdFiles(BYTES, end_id=end_id, block_ids=100, shard_bytes=5000)).collect())
+    assert read.value == len(rows)
+    ids = [np.array(x.ids + [end_id], "<u4") for x in tokenizer(BYTES).encode_batch([x for _, x in rows], add_special_tokens=False)]
+    starts = np.cumsum([0] + [len(x) for x in ids]).tolist()
+    assert got == [(i, starts[i], len(x), zlib.crc32(x.tobytes())) for i, x in enumerate(ids)]
+
+
+def test_blocks_end_with_the_document_that_fills_them(spark, make_docs, tmp_path):
+    docs = make_docs([(i, "one two three four five " * (1 + i % 30)) for i in range(300)])
+    write_id_files(docs, IdFiles(BYTES, block_ids=500, shard_bytes=20_000), str(tmp_path / "files"))
+    rows = spark.read.parquet(str(tmp_path / "files")).orderBy("shard", "block").collect()
+    assert [i for r in rows for i in r.doc_ids] == list(range(300)) and len({r.shard for r in rows}) > 1
+    for r, after in zip(rows, [*rows[1:], None], strict=True):
+        if after is not None and after.shard == r.shard:
+            assert sum(r.lengths) >= 500 and after.block == r.block + 1
+        assert sum(r.lengths[:-1]) < 500
+
+
 def test_ranks_follow_counts(make_docs):
     by_rank = ranked_ids(make_docs([(1, "the the the cat"), (2, " the")]), IdFiles(BYTES), "test")
     t = tokenizer(BYTES)

@@ -244,7 +244,8 @@ def _shards(cfg: ByteRepeats, groups: int, hot: np.ndarray, merge_groups: int):
         keep = np.zeros(len(at), bool)
         for t in np.unique(text).tolist():
             a, b = np.searchsorted(text, [t, t + 1])
-            keep[a:b] = np.isin(nth[a:b], picks[t], assume_unique=True)
+            pick = picks[t] - nth[a]            # a text's runs are numbered one by one
+            keep[a + pick[(pick >= 0) & (pick < b - a)]] = True
         mask = np.zeros(len(s.valid), bool)
         mask[ranges(at[keep], n[keep])] = True
         return mask, carry
@@ -344,11 +345,17 @@ def _merge_bucket(last, shard, ids, versions, starts, windows, seed, loop, cfg):
     first = np.cumsum(size) - size
     raw, lead, again = text.tobytes(), {}, []
     order = np.lexsort((starts, versions, ids))
-    doc = np.empty(len(ids), np.int64)
-    doc[order] = np.cumsum(np.append(True, (ids[order][1:] != ids[order][:-1]) | (versions[order][1:] != versions[order][:-1])))
-    for k in order.tolist():
-        at = lead.setdefault(raw[first[k]:first[k] + size[k]], k)
-        if at != k and (doc[at] != doc[k] or starts[at] != starts[k]):
+    # A window's place in the documents of the bucket, one document after the other.
+    new = np.append(True, (ids[order][1:] != ids[order][:-1]) | (versions[order][1:] != versions[order][:-1]))
+    begin = np.flatnonzero(new)
+    lowest = starts[order][begin]
+    extent = np.maximum.reduceat((starts + windows)[order], begin) - lowest
+    spot = np.empty(len(ids), np.int64)
+    spot[order] = starts[order] + (np.cumsum(extent) - extent - lowest)[np.cumsum(new) - 1]
+    spots, ends = spot.tolist(), (first + size).tolist()
+    for k, a in zip(order.tolist(), first[order].tolist(), strict=True):
+        at = lead.setdefault(raw[a:ends[k]], k)
+        if spots[at] != spots[k]:
             again.append(k)
     kept = np.fromiter(lead.values(), np.int64)
     # The only string of a seed has nothing to be merged with, unless it may repeat itself.
@@ -359,25 +366,27 @@ def _merge_bucket(last, shard, ids, versions, starts, windows, seed, loop, cfg):
     if len(kept):
         held = np.zeros(len(ids), bool)
         held[kept] = True
-        owner = np.repeat(np.arange(len(ids)), size)
-        rank = held[owner[place]]
+        rank = np.repeat(held, size)[place]
         number = np.cumsum(rank) - 1
         at, group = merged(last[rank], number[back[rank]], cfg.window)
         here = place[rank][at]
-        string = owner[here]
+        # Intervals of one rank repeat nothing.
+        alone = np.append(True, group[1:] != group[:-1])
+        alone &= np.append(alone[1:], True)
+        here, group = here[~alone], group[~alone]
+        string = np.repeat(np.arange(len(ids)), size)[here]
         offset = here - first[string]
         window = offset < windows[string]
-        string, offset, group = string[window], offset[window], group[window]
-        by = np.lexsort((starts[string] + offset, doc[string], group))
-        string, offset, group = string[by], offset[by], group[by]
-        new = np.append(True, group[1:] != group[:-1])
-        source = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-        moved = (doc[string] != doc[string[source]]) | (starts[string] + offset != starts[string[source]] + offset[source])
-        string, offset = string[moved], offset[moved]
-        by = np.lexsort((offset, string))
-        string, offset = string[by], offset[by]
-        begin = np.flatnonzero(np.append(True, (string[1:] != string[:-1]) | (offset[1:] != offset[:-1] + 1))[:len(string)])
-        found.append((string[begin], offset[begin], np.diff(np.append(begin, len(string)))))
+        here, string, offset, group = here[window], string[window], offset[window], group[window]
+        key = spot[string] + offset
+        begin = np.flatnonzero(np.append(True, group[1:] != group[:-1])[:len(group)])
+        source = np.minimum.reduceat(key, begin) if len(begin) else key
+        moved = key != np.repeat(source, np.diff(np.append(begin, len(key))))
+        # In the order of the strings, and of the windows in them.
+        here = np.sort(here[moved])
+        begin = np.flatnonzero(np.append(True, here[1:] != here[:-1] + 1)[:len(here)])
+        string = np.searchsorted(first, here[begin], side="right") - 1
+        found.append((string, here[begin] - first[string], np.diff(np.append(begin, len(here)))))
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 

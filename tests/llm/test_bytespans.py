@@ -88,3 +88,42 @@ def test_merged_transforms_are_sorted():
         rotation = [(strings[owner[p]] * (depth + 1))[p - first[owner[p]]:][:depth] for p in place[at]]
         assert rotation == sorted(rotation)
         assert [a == b for a, b in zip(rotation, rotation[1:], strict=False)] == (group[1:] == group[:-1]).tolist()
+
+
+def sorted_values(monkeypatch):
+    """List to which the number of values of each ``np.argsort`` is added."""
+    sizes, plain = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda a, *args, **more: (sizes.append(len(a)), plain(a, *args, **more))[1])
+    return sizes
+
+
+@pytest.mark.parametrize("buckets,alphabet", [(1, b"a"), (3, b"ab"), (300, bytes(range(97, 123)))])
+def test_transform_is_sorted_by_bucket_and_rotation(monkeypatch, buckets, alphabet):
+    rng = random.Random(buckets)
+    texts = sorted({bytes(rng.choices(alphabet, k=rng.randint(2, 60))) for _ in range(600)}, key=lambda _: rng.random())
+    pool = sorted(((rng.randrange(buckets), x) for x in texts), key=lambda x: x[0])
+    size = np.array([len(x) + 1 for _, x in pool])
+    sizes = sorted_values(monkeypatch)
+    got, names = transform(np.frombuffer(b"".join(x + b"\xff" for _, x in pool), np.uint8), np.cumsum(size) - size, size, np.array([7 * b for b, _ in pool]))
+    want = sorted((b, ((x + b"\xff") * 50)[k:k + 130], k, i) for i, (b, x) in enumerate(pool) for k in range(len(x) + 1))
+    assert got.tobytes() == bytes((pool[i][1] + b"\xff")[k - 1] for _, _, k, i in want)
+    assert names.tolist() == [w[3] for w in want if w[2] == 0]
+    # Different texts are settled by one sort, but for a few ties.
+    assert alphabet != bytes(range(97, 123)) or sum(sizes) < 2 * size.sum()
+
+
+def test_many_shards_are_merged_in_rounds_of_double_depth(monkeypatch):
+    rng = random.Random(1)
+    strings = [bytes(rng.choices(b"abc", k=rng.choice([3, 40, 120]))) * rng.randint(1, 2) + b"\xff" for _ in range(300)]
+    size = np.array([len(x) for x in strings])
+    last = np.concatenate([transform(np.frombuffer(x, np.uint8), np.array([0]), np.array([len(x)]), np.array([0]))[0] for x in strings])
+    back = last_to_first(last, np.repeat(np.arange(300), size))
+    text, place = spelled(last, back, size)
+    assert text.tobytes() == b"".join(strings)
+    sizes = sorted_values(monkeypatch)
+    at, group = merged(last, back, 100)
+    assert len(sizes) <= 8          # not one for every eight bytes
+    owner, first = np.repeat(np.arange(len(size)), size), np.cumsum(size) - size
+    rotation = [(strings[owner[p]] * 30)[p - first[owner[p]]:][:100] for p in place[at]]
+    assert rotation == sorted(rotation)
+    assert [a == b for a, b in zip(rotation, rotation[1:], strict=False)] == (group[1:] == group[:-1]).tolist()
